@@ -31,10 +31,15 @@ def split_by_operation(changes: DataFrame) -> tuple[DataFrame, DataFrame]:
             changes.filter(F.col(OP).isin(INSERT, DELETE)))
 
 
+def is_effective(spec: TableSpec) -> Column:
+    """Inserts, deletes, and updates that mention a value column of the table."""
+    mentions = any_not_null(*[F.col(c) for c in spec.columns]) if spec.columns else F.lit(False)
+    return F.col(OP).isin(INSERT, DELETE) | ((F.col(OP) == UPDATE) & mentions)
+
+
 def effective_changes(changes: DataFrame, spec: TableSpec) -> DataFrame:
     """Without updates that mention none of the table's value columns."""
-    mentions = any_not_null(*[F.col(c) for c in spec.columns]) if spec.columns else F.lit(False)
-    return changes.filter(F.col(OP).isin(INSERT, DELETE) | ((F.col(OP) == UPDATE) & mentions))
+    return changes.filter(is_effective(spec))
 
 
 def latest_by_key(changes: DataFrame, keys: list[str], order: Column | None = None) -> DataFrame:

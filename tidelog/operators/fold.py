@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.operators.filters import effective_changes
+from tidelog.operators.filters import is_effective
 from tidelog.spec import DELETE, INSERT, OFFSET, OP, PARTITION, UPDATE, TableSpec
 
 DELETED_AT = "__deleted_at"
@@ -24,11 +24,15 @@ RESET = "__reset"
 
 
 def lift_changes(changes: DataFrame, spec: TableSpec) -> DataFrame:
-    """One state per effective change."""
-    offset = F.col(OFFSET)
+    """One state per change; the state of a change without effect is empty.
+
+    Such changes are blanked here and not filtered: a filter would be pushed into
+    the parsing and evaluate part of it twice.
+    """
+    offset = F.when(is_effective(spec), F.col(OFFSET))
     live = F.col(OP).isin(INSERT, UPDATE)
-    return effective_changes(changes, spec).select(
-        *spec.pk, PARTITION, OFFSET,
+    return changes.select(
+        *spec.pk, PARTITION, offset.alias(OFFSET),
         F.when(F.col(OP) == DELETE, offset).alias(DELETED_AT),
         F.when(live, offset).alias(LIVE_AT),
         *[F.when(live & F.col(c).isNotNull(),
@@ -48,14 +52,15 @@ def lift_rows(image: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def combine_states(states: DataFrame, spec: TableSpec) -> DataFrame:
-    """One state per key."""
-    return states.groupBy(*spec.pk).agg(
+    """One state per key that has any."""
+    combined = states.groupBy(*spec.pk).agg(
         F.max_by(PARTITION, OFFSET).alias(PARTITION),
         F.max(OFFSET).alias(OFFSET),
         F.max(DELETED_AT).alias(DELETED_AT),
         F.max(LIVE_AT).alias(LIVE_AT),
         *[F.max_by(c, F.col(c)["at"]).alias(c) for c in spec.columns],
     )
+    return combined.filter(F.col(OFFSET).isNotNull())
 
 
 def finish_states(states: DataFrame, spec: TableSpec) -> DataFrame:

@@ -47,6 +47,22 @@ def tombstone_op(value: Column, op: Column) -> Column:
     return F.when(value.isNull(), F.lit(DELETE)).otherwise(op)
 
 
+def _documents(raw: DataFrame) -> DataFrame:
+    """Key and value as variants, each text parsed exactly once.
+
+    The variants come out of a one-element generator, because a filter on parsed
+    columns is pushed through a projection by repeating its expressions, but not
+    through a generator. Filters on partition and offset still reach the scan.
+    """
+    pair = F.struct(F.try_parse_json(F.col("KEY")).alias("key"),
+                    F.try_parse_json(F.col("VALUE")).alias("value"))
+    return raw.select(
+        F.explode(F.array(pair)).alias("__docs"), F.col("VALUE").isNull().alias("__gone"),
+        F.col("partition").alias(PARTITION), F.col("offset").alias(OFFSET),
+    ).select(F.col("__docs")["key"].alias("__key"), F.col("__docs")["value"].alias("__doc"),
+             "__gone", PARTITION, OFFSET)
+
+
 def parse_changes(raw: DataFrame, spec: TableSpec, strict: bool = True) -> DataFrame:
     """Typed changes: key columns, operation, partition, offset, presence structs.
 
@@ -54,13 +70,7 @@ def parse_changes(raw: DataFrame, spec: TableSpec, strict: bool = True) -> DataF
     a complete key or without one of the operations I, U, D fails the job;
     otherwise its operation is kept as found (and the fold passes it by).
     """
-    docs = raw.select(
-        F.try_parse_json(F.col("KEY")).alias("__key"),
-        F.try_parse_json(F.col("VALUE")).alias("__doc"),
-        F.col("VALUE").isNull().alias("__gone"),
-        F.col("partition").alias(PARTITION),
-        F.col("offset").alias(OFFSET),
-    )
+    docs = _documents(raw)
     keys = [
         F.coalesce(payload_value(F.col("__key"), f.name, f.dataType),
                    payload_value(F.col("__doc"), f.name, f.dataType)).alias(f.name)

@@ -145,8 +145,8 @@ def merge_snapshot(spark, sf_dir):
 
 @query
 def merge_snapshot_small_batch(spark, sf_dir):
-    image = written_table(fx.early_image(spark, sf_dir))
-    return merge.merge_small_batch(image, fx.late_changes(spark, sf_dir), EVT)
+    return merge.merge_small_batch(
+        fx.early_image(spark, sf_dir), fx.late_changes(spark, sf_dir), EVT)
 
 
 @query
@@ -191,11 +191,10 @@ def kv_row_mutations(spark, sf_dir):
 
 @query
 def kv_apply(spark, sf_dir):
-    store = _stored(spark, sf_dir)
-    late = fx.late_changes(spark, sf_dir)
-    gated = merge.offset_gate(late, fx.early_image(spark, sf_dir))
+    image = fx.early_image(spark, sf_dir)
+    gated = merge.offset_gate(fx.late_changes(spark, sf_dir), image)
     return hash_store.apply_mutations(
-        store, hash_store.folded_mutations(fold.fold_changes(gated, EVT), EVT))
+        hash_store.image_to_store(image, EVT), hash_store.folded_mutations(fold.fold_changes(gated, EVT), EVT))
 
 
 @query
@@ -414,7 +413,8 @@ def jdbc_slice_replace(spark, sf_dir):
     """The BUILDING customers are replaced by the MACHINERY ones under their code."""
     options = _database(spark)
     customer = fx.table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-    jdbc_sink.append(customer, options, "segments")
+    jdbc_sink.append(customer, options, "segments",
+                     column_types="c_mktsegment VARCHAR(32)")
     fresh = customer.filter(F.col("c_mktsegment") == "MACHINERY").withColumn(
         "c_mktsegment", F.lit("BUILDING"))
     jdbc_sink.replace_slice(spark, fresh, options, "segments", '"c_mktsegment"', ["BUILDING"])

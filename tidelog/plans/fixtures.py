@@ -12,6 +12,7 @@ from pyspark.sql.types import DecimalType, LongType, StringType
 
 from tidelog.operators.fold import current_rows, fold_changes
 from tidelog.operators.parse import parse_changes
+from tidelog.sinks.tables import written_table
 from tidelog.spec import OFFSET, PARTITION, TableSpec
 
 EVT = TableSpec.of("EVT", key={"user_id": LongType()},
@@ -51,10 +52,10 @@ def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_changes(raw_changes(spark, sf_dir), EVT)
 
 
-def log_length(spark: SparkSession, sf_dir: str) -> int:
-    """One past the last offset of the log."""
+def log_position(spark: SparkSession, sf_dir: str, tenths: int) -> int:
+    """First offset after the given tenths of the log."""
     last = table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0]
-    return -1 if last is None else last + 1
+    return 0 if last is None else -(-(last + 1) * tenths // 10)
 
 
 def image(log: DataFrame) -> DataFrame:
@@ -62,21 +63,19 @@ def image(log: DataFrame) -> DataFrame:
 
 
 def early_image(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Image of the first 60 % of the log by offset."""
-    limit = log_length(spark, sf_dir) * 6
-    return image(changes(spark, sf_dir).filter(F.col(OFFSET) * 10 < limit))
+    """Image of the first 60 % of the log by offset, as a stored table."""
+    return written_table(
+        image(changes(spark, sf_dir).filter(F.col(OFFSET) < log_position(spark, sf_dir, 6))))
 
 
 def late_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last 60 % of the log: it overlaps the image by 20 %."""
-    limit = log_length(spark, sf_dir) * 4
-    return changes(spark, sf_dir).filter(F.col(OFFSET) * 10 >= limit)
+    return changes(spark, sf_dir).filter(F.col(OFFSET) >= log_position(spark, sf_dir, 4))
 
 
 def lagging_image(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a sync job would have stored that is behind on the upper half of the partitions."""
-    limit = log_length(spark, sf_dir) * 6
-    applied = (F.col(PARTITION) < PARTITIONS // 2) | (F.col(OFFSET) * 10 < limit)
+    applied = (F.col(PARTITION) < PARTITIONS // 2) | (F.col(OFFSET) < log_position(spark, sf_dir, 6))
     return image(changes(spark, sf_dir).filter(applied))
 
 
