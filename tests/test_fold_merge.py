@@ -28,7 +28,7 @@ FEW = settings(max_examples=3, deadline=None,
 COLUMN = st.sampled_from([ABSENT, None, "v1", "v2"])
 NUMBER = st.sampled_from([ABSENT, None, 1, 2])
 CHANGE = st.tuples(st.integers(0, 24), st.sampled_from(["I", "U", "U", "D", "tombstone"]), COLUMN, NUMBER)
-LOG = st.lists(CHANGE, max_size=250)
+LOG = st.lists(CHANGE, min_size=40, max_size=250)
 
 
 def build(log, start=0):

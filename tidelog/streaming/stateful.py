@@ -39,6 +39,7 @@ class KeyedSync(StatefulProcessor):
     def __init__(self, spec: TableSpec):
         self.columns = spec.columns
         self.schema = _state_schema(spec)
+        self.names = [*spec.pk, ALIVE, *spec.columns, PARTITION, OFFSET]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("row", self.schema)
@@ -66,7 +67,7 @@ class KeyedSync(StatefulProcessor):
         self.state.update((seen, deleted, live, *cells))
         shown = [v if a is not None and _newer(a, deleted) else None for a, v in zip(at, values)]
         alive = live is not None and _newer(live, deleted)
-        yield Row(*key, alive, *shown, partition, seen)
+        yield Row(**dict(zip(self.names, [*key, alive, *shown, partition, seen])))
 
     def close(self) -> None:
         pass
