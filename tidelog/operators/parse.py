@@ -47,20 +47,17 @@ def tombstone_op(value: Column, op: Column) -> Column:
     return F.when(value.isNull(), F.lit(DELETE)).otherwise(op)
 
 
-def _documents(raw: DataFrame) -> DataFrame:
-    """Key and value as variants, each text parsed exactly once.
+def _evaluate_once(df: DataFrame, passed: list[str]) -> DataFrame:
+    """The same rows, with every column but ``passed`` computed exactly once.
 
-    The variants come out of a one-element generator, because a filter on parsed
-    columns is pushed through a projection by repeating its expressions, but not
-    through a generator. Filters on partition and offset still reach the scan.
+    The columns go through a one-element generator. A filter on a parsed column
+    would otherwise be pushed through the projections below by repeating their
+    expressions, parsing included; filters on ``passed`` still reach the scan.
     """
-    pair = F.struct(F.try_parse_json(F.col("KEY")).alias("key"),
-                    F.try_parse_json(F.col("VALUE")).alias("value"))
-    return raw.select(
-        F.explode(F.array(pair)).alias("__docs"), F.col("VALUE").isNull().alias("__gone"),
-        F.col("partition").alias(PARTITION), F.col("offset").alias(OFFSET),
-    ).select(F.col("__docs")["key"].alias("__key"), F.col("__docs")["value"].alias("__doc"),
-             "__gone", PARTITION, OFFSET)
+    computed = [c for c in df.columns if c not in passed]
+    row = F.explode(F.array(F.struct(*computed))).alias("__row")
+    return df.select(row, *passed).select(
+        *[F.col(c) if c in passed else F.col("__row")[c].alias(c) for c in df.columns])
 
 
 def parse_changes(raw: DataFrame, spec: TableSpec, strict: bool = True) -> DataFrame:
@@ -70,7 +67,11 @@ def parse_changes(raw: DataFrame, spec: TableSpec, strict: bool = True) -> DataF
     a complete key or without one of the operations I, U, D fails the job;
     otherwise its operation is kept as found (and the fold passes it by).
     """
-    docs = _documents(raw)
+    docs = raw.select(
+        F.try_parse_json(F.col("KEY")).alias("__key"),
+        F.try_parse_json(F.col("VALUE")).alias("__doc"),
+        F.col("VALUE").isNull().alias("__gone"),
+        F.col("partition").alias(PARTITION), F.col("offset").alias(OFFSET))
     keys = [
         F.coalesce(payload_value(F.col("__key"), f.name, f.dataType),
                    payload_value(F.col("__doc"), f.name, f.dataType)).alias(f.name)
@@ -85,12 +86,13 @@ def parse_changes(raw: DataFrame, spec: TableSpec, strict: bool = True) -> DataF
     ]
     parsed = docs.select(*keys, op.alias(OP), PARTITION, OFFSET, *cells)
     if not strict:
-        return parsed
+        return _evaluate_once(parsed, [PARTITION, OFFSET])
     valid = F.coalesce(F.col(OP).isin(INSERT, UPDATE, DELETE), F.lit(False))
     for name in spec.pk:
         valid = valid & F.col(name).isNotNull()
     where = F.concat_ws(" ", F.lit("malformed change, partition and offset:"), PARTITION, OFFSET)
-    return parsed.withColumn(OP, F.when(valid, F.col(OP)).otherwise(F.raise_error(where)))
+    checked = parsed.withColumn(OP, F.when(valid, F.col(OP)).otherwise(F.raise_error(where)))
+    return _evaluate_once(checked, [PARTITION, OFFSET])
 
 
 def flatten(changes: DataFrame, spec: TableSpec) -> DataFrame:

@@ -11,20 +11,22 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType, Tim
 from tidelog.functions.sentinels import decode_nulls, encode_nulls
 from tidelog.operators import enrich, filters, fold, hash_store, index_sync, lag, lookup, merge
 from tidelog.operators import records, versioned_lookup
-from tidelog.operators.parse import flatten, presence_flags
+from tidelog.operators.parse import flatten, parse_changes, presence_flags
 from tidelog.operators.quality import split_keys
 from tidelog.plans import fixtures as fx
 from tidelog.plans.fixtures import EVT
 from tidelog.session import configure, work_dir
 from tidelog.sinks import jdbc as jdbc_sink
 from tidelog.sinks.change_store import ChangeStore
+from tidelog.sinks.records import write_record_files
 from tidelog.sinks.tables import replace_slice_files, written_table
 from tidelog.sources import jdbc as jdbc_source
 from tidelog.sources.change_stream import RAW_SCHEMA
 from tidelog.spec import OFFSET, OP, PARTITION, TableSpec
+from tidelog.streaming.business import enriched_batch
 from tidelog.streaming.micro_batch import run_micro_batches, sync_store
+from tidelog.streaming.stateful import stateful_sync
 from tidelog.streaming.stats import BatchStats
-from tidelog.operators.parse import parse_changes
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -33,6 +35,7 @@ EVT_STORED = StructType([*EVT.values.fields, StructField(PARTITION, LongType()),
                          StructField(OFFSET, LongType())])
 INDEX_KEYS = [["TAG"], ["TAG", "AMT"]]
 INDEX_VALUES = ["AMT", "PROPS"]
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 LOAD_TIME = "2024-11-11 00:00:00"
 
 
@@ -212,7 +215,7 @@ def kv_index_unpack(spark, sf_dir):
 
 @query
 def kv_index_lookup(spark, sf_dir):
-    """Rows stored under the tags that purchases' users last had."""
+    """All rows stored under the tag the view changes carry."""
     sensors = flatten(fx.changes(spark, sf_dir), EVT).filter(F.col("TAG") == "view")
     return hash_store.index_lookup(_index(spark, sf_dir), sensors, EVT, ["TAG"], EVT.values)
 
@@ -389,12 +392,13 @@ def _database(spark: SparkSession) -> dict[str, str]:
 
 @query
 def jdbc_query_scan(spark, sf_dir):
+    """Parallel read of two market segments; the condition runs in the database."""
     options = _database(spark)
-    jdbc_sink.append(fx.table(spark, sf_dir, "customer"), options, "customer")
-    spec = jdbc_source.probe_schema(spark, options, "customer")
+    customer = fx.table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    jdbc_sink.append(customer, options, "customer", column_types="c_mktsegment VARCHAR(32)")
+    names = jdbc_source.probe_schema(spark, options, "customer").fieldNames()
     scanned = jdbc_source.read_table(spark, options, "customer", '"c_custkey"', 4)
-    return scanned.filter(F.col("c_nationkey").isin(1, 2, 3)).select(
-        *[c for c in spec.fieldNames() if c in ("c_custkey", "c_name", "c_nationkey")])
+    return scanned.filter(F.col("c_mktsegment").isin("BUILDING", "MACHINERY")).select(*names)
 
 
 @query
@@ -470,6 +474,37 @@ def stream_sync_image(spark, sf_dir):
     return store.image()
 
 
+@query
+def stream_keyed_state(spark, sf_dir):
+    """The same image from the state store: newest emitted row per key, if alive."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    target = work_dir(spark, "emitted")
+    changes = parse_changes(_stream(spark, _log_files(spark, sf_dir, 8), 4), EVT)
+    run_micro_batches(stateful_sync(changes, EVT),
+                      lambda rows, n: rows.withColumn("batch", F.lit(n)).write.mode("append").parquet(target),
+                      work_dir(spark, "offsets")).awaitTermination()
+    emitted = filters.latest_by_key(spark.read.parquet(target), EVT.pk, F.col("batch"))
+    return emitted.filter(fold.ALIVE).drop(fold.ALIVE, "batch")
+
+
+@query
+def stream_business_records(spark, sf_dir):
+    """Records of the business job: changed BUILDING customers, tombstones for the others."""
+    target = work_dir(spark, "records")
+    customer = (fx.table(spark, sf_dir, "customer").filter(F.col("c_mktsegment") == "BUILDING")
+                .select(F.col("c_custkey").alias("user_id"), "c_name", "c_nationkey"))
+    on_batch = enriched_batch(
+        EVT, "stage.CUSTOMER",
+        select=lambda changes: filters.effective_changes(changes, EVT),
+        touched=lambda changes: changes.select("user_id"),
+        result=lambda changes: enrich.enrich_latest(changes, customer, EVT.pk).select(*customer.columns),
+        key_columns=["user_id"], value_columns=customer.columns,
+        emit=lambda sent: write_record_files(sent, target))
+    stream = _stream(spark, _log_files(spark, sf_dir, 4), 2)
+    run_micro_batches(stream, on_batch, work_dir(spark, "offsets")).awaitTermination()
+    return spark.read.parquet(target).distinct()
+
+
 @query
 def batch_stats(spark, sf_dir):
     """Rows per step over all micro-batches of the log."""

@@ -147,6 +147,16 @@ _VALUE = _record(_VALUE_SCHEMA, (
     f"'o_day', {_DAY}, 'o_at', epoch_ms(o_orderdate))::VARCHAR"))
 _SMALL = _record(_SMALL_SCHEMA, f"json_object('o_orderkey', o_orderkey, 'o_day', {_DAY})::VARCHAR")
 
+_USER_FIELD = '{"field":"user_id","type":"int64","optional":true}'
+_CUSTOMER_KEY = _record(
+    '{"type":"struct","optional":false,"name":"stage.CUSTOMER.Key","fields":[' + _USER_FIELD + "]}",
+    "json_object('user_id', user_id)::VARCHAR")
+_CUSTOMER_VALUE = _record(
+    '{"type":"struct","optional":false,"name":"stage.CUSTOMER.Value","fields":[' + _USER_FIELD
+    + ',{"field":"c_name","type":"string","optional":true}'
+    + ',{"field":"c_nationkey","type":"int64","optional":true}]}',
+    "json_object('user_id', user_id, 'c_name', c_name, 'c_nationkey', c_nationkey)::VARCHAR")
+
 _FOLDED_ROWS = f"WITH {_NOW} SELECT {_ROW} FROM now"
 _MERGED_ROWS = (f"WITH {_IMG},\n{_GATED},\n{_fold('f2', 'gated')},\n{_BEFORE_AFTER}\n"
                 "SELECT img.user_id, img.amt AS AMT, img.tag AS TAG, img.props AS PROPS, "
@@ -254,7 +264,8 @@ def all_sql() -> dict[str, str]:
                    || CASE WHEN tag IS NULL THEN '' ELSE ',"TAG":"' || tag || '"' END
                    || CASE WHEN amt IS NULL THEN '' ELSE ',"AMT":"' || amt || '"' END || '}',
                    'dropped' FROM cl""",
-        "jdbc_query_scan": "SELECT c_custkey, c_name, c_nationkey FROM customer WHERE c_nationkey IN (1, 2, 3)",
+        "jdbc_query_scan": "SELECT c_custkey, c_nationkey, c_mktsegment FROM customer "
+                           "WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')",
         "jdbc_append": "SELECT s_nationkey, CAST(COUNT(*) AS BIGINT) AS suppliers FROM supplier GROUP BY 1",
         "jdbc_slice_replace": "SELECT c_custkey, c_mktsegment FROM customer WHERE c_mktsegment <> 'BUILDING' "
                               "UNION ALL SELECT c_custkey, 'BUILDING' FROM customer "
@@ -268,6 +279,11 @@ def all_sql() -> dict[str, str]:
                               "UNION ALL SELECT c_custkey, 'BUILDING' FROM customer "
                               "WHERE c_mktsegment = 'MACHINERY'",
         "stream_sync_image": _FOLDED_ROWS,
+        "stream_keyed_state": _FOLDED_ROWS,
+        "stream_business_records": cl + f"""SELECT DISTINCT {_CUSTOMER_KEY} AS key,
+            CASE WHEN c_custkey IS NOT NULL THEN {_CUSTOMER_VALUE} END AS value
+            FROM (SELECT DISTINCT user_id FROM cl WHERE {_EFFECTIVE}) t
+            LEFT JOIN (SELECT * FROM customer WHERE c_mktsegment = 'BUILDING') ON c_custkey = user_id""",
         "batch_stats": cl + f"""SELECT 'BATCH_STATS' AS APP_NAME, 'read' AS MSG, CAST(1 AS INTEGER) AS STEM_NUM,
             CAST(COUNT(*) AS BIGINT) AS ROW_CNT FROM cl UNION ALL
             SELECT 'BATCH_STATS', 'effective', 2, CAST(COUNT(*) AS BIGINT) FROM cl WHERE {_EFFECTIVE}""",

@@ -51,16 +51,18 @@ class KeyedSync(StatefulProcessor):
         at, values = known[3::2], known[4::2]
         partition, moved = None, False
         for row in rows:
-            offset = row[OFFSET]
+            offset, partition = row[OFFSET], row[PARTITION]
             if _newer(offset, seen):
-                seen, partition, moved = offset, row[PARTITION], True
+                seen, moved = offset, True
             if row[OP] == DELETE:
-                deleted = offset if _newer(offset, deleted) else deleted
+                if _newer(offset, deleted):
+                    deleted, moved = offset, True
                 continue
-            live = offset if _newer(offset, live) else live
+            if _newer(offset, live):
+                live, moved = offset, True
             for i, column in enumerate(self.columns):
                 if row[column] is not None and _newer(offset, at[i]):
-                    at[i], values[i] = offset, row[column]["v"]
+                    at[i], values[i], moved = offset, row[column]["v"], True
         if not moved:
             return
         cells = [x for pair in zip(at, values) for x in pair]
@@ -77,7 +79,8 @@ def stateful_sync(changes: DataFrame, spec: TableSpec) -> DataFrame:
     """Row-level changes of a streaming change frame: newest row per touched key and batch.
 
     Needs the RocksDB state store provider. A key whose changes were all seen
-    before emits nothing.
+    before emits nothing. Of two rows of one key the later batch's is current; a
+    change delivered late alters the row but not its offset.
     """
     partition_type = changes.schema[PARTITION].dataType
     offsets = changes.withColumn(OFFSET, F.col(OFFSET).cast("bigint"))
