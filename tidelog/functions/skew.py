@@ -22,6 +22,15 @@ def spread_join(big: DataFrame, unique: DataFrame, on: list[str], how: str,
     return salted.join(repeated, [*on, "__salt"], how).drop("__salt")
 
 
+def spread_small_input(df: DataFrame, by: str) -> DataFrame:
+    """Give an input of fewer splits than cores to all cores, for costly row work.
+
+    Large inputs have more splits than cores and stay as they are, unshuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, by) if df.rdd.getNumPartitions() < cores else df
+
+
 def pin_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> tuple[DataFrame, bool]:
     """Evaluate ``df`` if it has at most ``max_rows`` rows, so it may be broadcast.
 

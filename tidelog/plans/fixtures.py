@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, LongType, StringType
 
+from tidelog.functions.skew import spread_small_input
 from tidelog.operators.fold import current_rows, fold_changes
 from tidelog.operators.parse import parse_changes
 from tidelog.sinks.tables import written_table
@@ -31,7 +32,8 @@ def _payload(**fields: Column) -> Column:
 
 def raw_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log as a topic would deliver it: JSON key and value with partition and offset."""
-    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", "props")
+    columns = ["event_id", "user_id", "event_type", "value", "props"]
+    events = spread_small_input(table(spark, sf_dir, "events").select(*columns), "event_id")
     key, kind = F.col("user_id"), F.col("event_type")
     amount = F.col("value").cast("decimal(12,2)")
     update = {"user_id": key, "__OP_TYPE": F.lit("U")}
