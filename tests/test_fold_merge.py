@@ -127,24 +127,37 @@ def test_change_store_survives_repeats_and_partial_compaction(spark, tmp_path):
     parse = lambda r: parse_changes(frame(spark, r), SPEC)
     store = ChangeStore(spark, str(tmp_path / "s"), SPEC, buckets=4)
     assert store.image().isEmpty()
-    store.append(0, parse(first))
-    store.append(1, parse(second))
+    store.append(parse(first))
+    store.append(parse(second))
     assert as_rows(store.image()) == replay(first + second)
-    store.compact()
+    old = store.compact()
     assert as_rows(store.image()) == replay(first + second)
-    store.append(1, parse(second))
-    store.append(2, parse(third))
-    store.append(2, parse(third))
+    store.append(parse(second))
+    store.append(parse(third))
+    store.append(parse(third))
     expected = replay(first + second + third)
     assert as_rows(store.image()) == expected
+    assert as_rows(current_rows(finish_states(store.states(max_keys=1), SPEC), SPEC)) == expected
     keys = spark.createDataFrame([(1,), (4,), (5,), (77,)], "ID bigint")
     wanted = {k: v for k, v in expected.items() if k in (1, 4, 5)}
     assert as_rows(store.rows_of(keys)) == wanted
     assert as_rows(store.rows_of(keys, max_keys=2)) == wanted
-    store.compact()
-    store.retire(deltas_below=3)
-    assert store._folders("base") == [2] and store._folders("delta") == []
+    store.retire(old)
     assert as_rows(store.image()) == expected
+    store.retire(store.compact())
+    assert store._complete("base") == ["00000001"] and store._complete("delta") == []
+    assert as_rows(store.image()) == expected
+
+
+def test_interrupted_writes_are_not_read(spark, tmp_path):
+    store = ChangeStore(spark, str(tmp_path / "s"), SPEC, buckets=2)
+    records = [record(1, "I", 0, A="a")]
+    store.append(parse_changes(frame(spark, records), SPEC))
+    for folder in ("base/00000007/__bucket=0", "delta/half"):
+        (tmp_path / "s" / folder).mkdir(parents=True)
+    assert as_rows(store.image()) == replay(records)
+    store.compact()
+    assert as_rows(store.image()) == replay(records)
 
 
 def test_change_store_from_a_seed(spark, tmp_path):
@@ -152,7 +165,7 @@ def test_change_store_from_a_seed(spark, tmp_path):
                                  "ID bigint, A string, B bigint, KFK_PTT int, KFK_OFFSET bigint")
     store = ChangeStore(spark, str(tmp_path / "s"), SPEC, buckets=2)
     store.seed(seed)
-    store.append(0, parse_changes(frame(spark, [record(1, "U", 0, A=None), record(2, "tombstone", 1)]), SPEC))
+    store.append(parse_changes(frame(spark, [record(1, "U", 0, A=None), record(2, "tombstone", 1)]), SPEC))
     assert as_rows(store.image()) == {1: ({"A": None, "B": 1}, 0, 0)}
     assert as_rows(current_rows(finish_states(combine_states(lift_rows(seed, SPEC), SPEC), SPEC), SPEC)) == \
         as_rows(seed)

@@ -83,7 +83,8 @@ def connector(path):
 def test_stream_equals_batch_and_resumes(spark, tmp_path):
     topic, first, second = str(tmp_path / "topic"), log(1, 60), log(2, 60, start=60)
     store = ChangeStore(spark, str(tmp_path / "store"), SPEC, buckets=4)
-    run = lambda: sync_store(file_stream(spark, topic), SPEC, store, str(tmp_path / "cp")).awaitTermination()
+    run = lambda: sync_store(file_stream(spark, topic), SPEC, store, str(tmp_path / "cp"),
+                             compact_every=2).awaitTermination()
     deliver(spark, topic, first[:30])
     deliver(spark, topic, first[30:])
     run()

@@ -158,10 +158,10 @@ def merge_snapshot_versioned(spark, sf_dir):
     store = ChangeStore(spark, work_dir(spark, "store"), EVT, buckets=8)
     store.seed(fx.early_image(spark, sf_dir))
     late = written_table(fx.late_changes(spark, sf_dir))
-    store.append(0, late.filter(F.col(PARTITION) < 3))
-    store.append(1, late.filter(F.col(PARTITION) >= 3))
+    store.append(late.filter(F.col(PARTITION) < 3))
+    store.append(late.filter(F.col(PARTITION) >= 3))
     store.compact()
-    store.append(2, late)
+    store.append(late)
     return store.image()
 
 
@@ -184,11 +184,11 @@ def kv_mutations(spark, sf_dir):
 @query
 def kv_row_mutations(spark, sf_dir):
     """Field writes, field deletes and key deletes straight from table rows."""
-    nation = fx.table(spark, sf_dir, "nation")
-    keyed = ["n_regionkey"]
-    written = hash_store.hset_mutations(nation, "NATION", keyed, ["n_name"], ["n_nationkey"], True)
-    fields = hash_store.hdel_mutations(nation, "NATION", keyed, ["n_name"], ["n_nationkey"])
-    keys = hash_store.del_mutations(fx.table(spark, sf_dir, "region"), "REGION", ["r_regionkey"])
+    customer = fx.table(spark, sf_dir, "customer")
+    keyed, field = ["c_nationkey"], ["c_custkey"]
+    written = hash_store.hset_mutations(customer, "CUSTOMER", keyed, ["c_name"], field, True)
+    fields = hash_store.hdel_mutations(customer, "CUSTOMER", keyed, ["c_mktsegment"], field)
+    keys = hash_store.del_mutations(fx.table(spark, sf_dir, "orders"), "ORDERS", ["o_orderkey"])
     return written.unionByName(fields).unionByName(keys)
 
 
@@ -332,9 +332,10 @@ def anti_join_deletes(spark, sf_dir):
 
 @query
 def reload_or_keep(spark, sf_dir):
-    nation = fx.table(spark, sf_dir, "nation")
-    first = lookup.reload_or_keep(nation, spark.createDataFrame([], nation.schema), ["n_nationkey"])
-    return lookup.reload_or_keep(nation.filter(F.lit(False)), first, ["n_nationkey"])
+    """A mapping loaded once and kept, because the second load finds nothing."""
+    mapping = lookup.mapping_max(fx.table(spark, sf_dir, "orders"), "o_custkey", "o_orderkey")
+    first = lookup.reload_or_keep(mapping, spark.createDataFrame([], mapping.schema), ["o_custkey"])
+    return lookup.reload_or_keep(mapping.filter(F.lit(False)), first, ["o_custkey"])
 
 
 # -- records ---------------------------------------------------------------------------

@@ -203,10 +203,10 @@ def all_sql() -> dict[str, str]:
         "merge_snapshot_versioned": _FOLDED_ROWS,
         "kv_mutations": f"WITH {_CL}, {_fold('f1', 'cl')} {_mutations('f1')}",
         "kv_row_mutations":
-            "SELECT 'NATION:' || n_regionkey AS rk, n_nationkey || ':n_name' AS field, "
-            "n_name AS value, 'set' AS op FROM nation WHERE n_name IS NOT NULL UNION ALL "
-            "SELECT 'NATION:' || n_regionkey, n_nationkey || ':n_name', NULL, 'hdel' FROM nation UNION ALL "
-            "SELECT 'REGION:' || r_regionkey, NULL, NULL, 'del' FROM region",
+            "SELECT 'CUSTOMER:' || c_nationkey AS rk, c_custkey || ':c_name' AS field, "
+            "c_name AS value, 'set' AS op FROM customer WHERE c_name IS NOT NULL UNION ALL "
+            "SELECT 'CUSTOMER:' || c_nationkey, c_custkey || ':c_mktsegment', NULL, 'hdel' FROM customer "
+            "UNION ALL SELECT 'ORDERS:' || o_orderkey, NULL, NULL, 'del' FROM orders",
         "kv_apply": f"WITH {_IMG}, {_GATED}, {_fold('f2', 'gated')}, m AS ({_mutations('f2')}), "
                     f"s AS ({_store('img')}) "
                     "SELECT rk, field, value FROM m WHERE op = 'set' UNION ALL "
@@ -254,7 +254,8 @@ def all_sql() -> dict[str, str]:
                                 "ELSE '01' END AS B_BK, '00000' AS CODE FROM part",
         "anti_join_deletes": "SELECT DISTINCT c_custkey AS K FROM customer WHERE NOT EXISTS (SELECT 1 "
                              "FROM orders WHERE o_orderstatus = 'P' AND o_custkey = c_custkey)",
-        "reload_or_keep": "SELECT * FROM nation",
+        "reload_or_keep": "SELECT o_custkey, MAX(o_orderkey) AS o_orderkey FROM orders "
+                          "WHERE o_custkey IS NOT NULL GROUP BY o_custkey",
         "connect_upsert": f"SELECT {_KEY} AS key, {_VALUE} AS value FROM orders",
         "connect_tombstone": f"SELECT {_KEY} AS key, CAST(NULL AS VARCHAR) AS value FROM orders",
         "connect_value_only": f"SELECT {_SMALL} AS value FROM orders",

@@ -1,15 +1,16 @@
-"""Durable state of a replicated table: a base plus one delta per micro-batch.
+"""Durable state of a replicated table: a base and one small delta per micro-batch.
 
-A batch is reduced to one state per key and written to its own delta folder; the
+A batch is reduced to one state per key and written to a delta folder of its own; the
 image is never rewritten for it. Reading combines the base with all deltas. As
-combining is idempotent, a replayed batch, a delta already merged into the base, or
-an interrupted compaction does not change the result, so no commit log is needed.
-``compact`` merges the deltas into a new base, partitioned by a bucket of the key so
-that lookups of few keys prune buckets.
+combining is idempotent, a batch written twice, a delta already merged into the base,
+or an interrupted compaction does not change the result, so no commit log is needed
+and nothing is overwritten. ``compact`` merges the deltas into a new base, partitioned
+by a bucket of the key so that the lookup of few keys reads few buckets.
 """
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +30,7 @@ from tidelog.operators.fold import (
 from tidelog.spec import OFFSET, PARTITION, TableSpec
 
 BUCKET = "__bucket"
+FILES_PER_BUCKET = 4
 
 
 class ChangeStore:
@@ -43,21 +45,13 @@ class ChangeStore:
         jvm_path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         return jvm_path, jvm_path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
-    def _folders(self, kind: str) -> list[int]:
-        """Numbers of the existing base versions or deltas."""
+    def _complete(self, kind: str) -> list[str]:
+        """Names of the completely written folders of a kind."""
         path, files = self._files(f"{self.root}/{kind}")
         if not files.exists(path):
             return []
-        names = [s.getPath().getName() for s in files.listStatus(path) if s.isDirectory()]
-        return sorted(int(n.split("=")[1]) for n in names if n.startswith("n="))
-
-    def _complete_bases(self) -> list[int]:
-        done = []
-        for n in self._folders("base"):
-            marker, files = self._files(f"{self.root}/base/n={n}/_SUCCESS")
-            if files.exists(marker):
-                done.append(n)
-        return done
+        marked = files.globStatus(self._files(f"{self.root}/{kind}/*/_SUCCESS")[0])
+        return sorted(status.getPath().getParent().getName() for status in marked)
 
     def _state_schema(self) -> StructType:
         at = lambda f: StructType([StructField("at", LongType()), StructField("v", f.dataType)])
@@ -71,60 +65,81 @@ class ChangeStore:
         return F.pmod(F.xxhash64(*self.spec.pk), F.lit(self.buckets)).cast("int")
 
     # -- writing ---------------------------------------------------------
+    def _cast(self, states: DataFrame) -> DataFrame:
+        return states.select(*[F.col(f.name).cast(f.dataType).alias(f.name)
+                               for f in self._state_schema()])
+
+    def _write_base(self, states: DataFrame) -> None:
+        bases = self._complete("base")
+        name = f"{int(bases[-1]) + 1 if bases else 0:08d}"
+        part = F.pmod(F.hash(*self.spec.pk), F.lit(FILES_PER_BUCKET))
+        (self._cast(states).withColumn(BUCKET, self._bucket()).repartition(BUCKET, part)
+         .write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.root}/base/{name}"))
+
     def seed(self, image: DataFrame) -> None:
-        """Start from a table image (offsets -1 if it was bulk loaded)."""
-        self._write_base(combine_states(lift_rows(image, self.spec), self.spec), 0)
+        """Take in a table image (offsets -1 if it was bulk loaded)."""
+        rows = self._cast(lift_rows(image, self.spec))
+        self._write_base(combine_states(self.states().unionByName(rows), self.spec))
 
-    def append(self, batch_id: int, changes: DataFrame) -> None:
-        """Store the net effect of a micro-batch; repeating a batch id is harmless."""
+    def append(self, changes: DataFrame) -> None:
+        """Store the net effect of a batch of changes; storing it again is harmless."""
         states = combine_states(lift_changes(changes, self.spec), self.spec)
-        self._cast(states).write.mode("overwrite").parquet(f"{self.root}/delta/n={batch_id}")
-
-    def compact(self) -> None:
-        """Merge all deltas into a new base version."""
-        bases = self._complete_bases()
-        self._write_base(self.states(), (bases[-1] if bases else 0) + 1)
-
-    def retire(self, deltas_below: int) -> None:
-        """Delete superseded bases and the deltas below a number, once compacted."""
-        bases = self._complete_bases()
-        old = [f"base/n={n}" for n in self._folders("base") if n < bases[-1]] if bases else []
-        old += [f"delta/n={n}" for n in self._folders("delta") if bases and n < deltas_below]
-        for name in old:
+        self._cast(states).write.parquet(f"{self.root}/delta/{uuid.uuid4().hex}")
+
+    def compact(self) -> list[str]:
+        """Merge all deltas into a new base; returns the folders it replaces."""
+        merged = [f"base/{n}" for n in self._complete("base")]
+        merged += [f"delta/{n}" for n in self._complete("delta")]
+        self._write_base(self.states())
+        return merged
+
+    def retire(self, folders: list[str]) -> None:
+        """Delete folders a compaction has replaced, once no reader uses them."""
+        for name in folders:
             path, files = self._files(f"{self.root}/{name}")
             files.delete(path, True)
 
-    def _cast(self, states: DataFrame) -> DataFrame:
-        return states.select(*[F.col(f.name).cast(f.dataType).alias(f.name)
-                               for f in self._state_schema()])
-
-    def _write_base(self, states: DataFrame, version: int) -> None:
-        (self._cast(states).withColumn(BUCKET, self._bucket())
-         .repartition(BUCKET, F.pmod(F.hash(*self.spec.pk), F.lit(4)))
-         .write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.root}/base/n={version}"))
-
     # -- reading ---------------------------------------------------------
-    def _parts(self) -> tuple[DataFrame | None, DataFrame | None]:
-        schema = self._state_schema()
-        bases, deltas = self._complete_bases(), self._folders("delta")
-        base = delta = None
-        if bases:
-            base = self.spark.read.schema(schema.add(StructField(BUCKET, IntegerType()))).parquet(
-                f"{self.root}/base/n={bases[-1]}")
-        if deltas:
-            delta = self.spark.read.schema(self._state_schema()).parquet(
-                *[f"{self.root}/delta/n={n}" for n in deltas])
-        return base, delta
-
-    def states(self) -> DataFrame:
-        """One state per key, deleted keys included."""
-        base, delta = self._parts()
-        parts = [p.drop(BUCKET) for p in (base, delta) if p is not None]
-        if not parts:
-            return self.spark.createDataFrame([], self._state_schema())
-        if delta is None:
-            return parts[0]
-        return combine_states(reduce(DataFrame.unionByName, parts), self.spec)
+    def _base(self) -> DataFrame | None:
+        bases = self._complete("base")
+        if not bases:
+            return None
+        schema = self._state_schema().add(StructField(BUCKET, IntegerType()))
+        return self.spark.read.schema(schema).parquet(f"{self.root}/base/{bases[-1]}")
+
+    def _deltas(self) -> DataFrame | None:
+        deltas = self._complete("delta")
+        if not deltas:
+            return None
+        return self.spark.read.schema(self._state_schema()).parquet(
+            *[f"{self.root}/delta/{n}" for n in deltas])
+
+    def _base_of(self, base: DataFrame, keys: DataFrame) -> DataFrame:
+        """Base rows of pinned keys, reading only the buckets they fall into."""
+        hit = [r[0] for r in keys.select(self._bucket().alias("b")).distinct().collect()]
+        return base.filter(F.col(BUCKET).isin(hit)).drop(BUCKET).join(
+            F.broadcast(keys), self.spec.pk, "left_semi")
+
+    def states(self, max_keys: int = SMALL_ROWS) -> DataFrame:
+        """One state per key, deleted keys included.
+
+        While the deltas touch at most ``max_keys`` keys (checked), the untouched
+        part of the base is passed through without a shuffle.
+        """
+        base, deltas = self._base(), self._deltas()
+        if deltas is None:
+            empty = self.spark.createDataFrame([], self._state_schema())
+            return empty if base is None else base.drop(BUCKET)
+        fresh = self._cast(combine_states(deltas, self.spec))
+        if base is None:
+            return fresh
+        pinned, small = pin_small(fresh, max_keys)
+        if not small:
+            return combine_states(base.drop(BUCKET).unionByName(deltas), self.spec)
+        keys = pinned.select(*self.spec.pk)
+        touched = combine_states(self._base_of(base, keys).unionByName(pinned), self.spec)
+        untouched = base.drop(BUCKET).join(F.broadcast(keys), self.spec.pk, "left_anti")
+        return untouched.unionByName(self._cast(touched))
 
     def image(self) -> DataFrame:
         """Current rows of the table."""
@@ -133,20 +148,16 @@ class ChangeStore:
     def rows_of(self, keys: DataFrame, max_keys: int = SMALL_ROWS) -> DataFrame:
         """Current rows of the given keys.
 
-        Up to ``max_keys`` keys (checked) are broadcast and prune the base to their
-        buckets; more are joined to the whole image.
+        Up to ``max_keys`` keys (checked) are broadcast and read only their buckets
+        of the base; more are joined to the whole image.
         """
         wanted, small = pin_small(keys.select(*self.spec.pk).distinct(), max_keys)
         if not small:
             return self.image().join(wanted, self.spec.pk, "left_semi")
-        base, delta = self._parts()
-        parts = []
-        if base is not None:
-            hinted = F.broadcast(wanted.withColumn(BUCKET, self._bucket()))
-            parts.append(base.join(hinted, [BUCKET, *self.spec.pk], "left_semi").drop(BUCKET))
-        if delta is not None:
-            parts.append(delta.join(F.broadcast(wanted), self.spec.pk, "left_semi"))
-        if not parts:
-            return self.image()
+        base, deltas = self._base(), self._deltas()
+        parts = [] if base is None else [self._base_of(base, wanted)]
+        if deltas is not None:
+            parts.append(deltas.join(F.broadcast(wanted), self.spec.pk, "left_semi"))
+        parts = parts or [self.spark.createDataFrame([], self._state_schema())]
         combined = combine_states(reduce(DataFrame.unionByName, parts), self.spec)
         return current_rows(finish_states(combined, self.spec), self.spec)

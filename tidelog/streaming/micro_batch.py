@@ -15,6 +15,8 @@ from tidelog.operators.parse import parse_changes
 from tidelog.sinks.change_store import ChangeStore
 from tidelog.spec import TableSpec
 
+COMPACT_EVERY = 200
+
 BatchFunction = Callable[[DataFrame, int], None]
 
 
@@ -31,10 +33,20 @@ def run_micro_batches(stream: DataFrame, on_batch: BatchFunction, checkpoint: st
 
 
 def sync_store(stream: DataFrame, spec: TableSpec, store: ChangeStore, checkpoint: str,
-               continuous: bool = False) -> StreamingQuery:
-    """Keep a change store in step with a raw change stream."""
+               continuous: bool = False, compact_every: int = COMPACT_EVERY) -> StreamingQuery:
+    """Keep a change store in step with a raw change stream.
+
+    Every ``compact_every`` batches the deltas are merged; what a compaction replaced
+    is deleted at the next one, so that readers have that long to finish.
+    """
+    replaced: list[str] = []
+
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        store.append(batch_id, parse_changes(batch, spec))
+        store.append(parse_changes(batch, spec))
+        if (batch_id + 1) % compact_every == 0:
+            merged = store.compact()
+            store.retire(replaced)
+            replaced[:] = [name for name in merged if name not in replaced]
 
     return run_micro_batches(stream, on_batch, checkpoint, continuous)
 
@@ -67,7 +79,7 @@ def sync_hashes(stream: DataFrame, spec: TableSpec, store: ChangeStore, checkpoi
                 touched = touched_before_after(before, folded, narrow)
                 write(index_mutations(touched, narrow, pseudo_keys, value_columns))
             write(folded_mutations(folded, narrow))
-            store.append(batch_id, changes)
+            store.append(changes)
             first = False
         finally:
             folded.unpersist()
