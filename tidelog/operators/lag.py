@@ -69,14 +69,17 @@ def status_runs(samples: DataFrame, max_gap: int | None = None,
                 block: int = BLOCK_SAMPLES) -> DataFrame:
     """Samples with ``run``, the number of consecutive samples in the same status.
 
-    ``samples`` has one row per consumer and ``sample_no`` with its ``status``. A
-    sample number more than ``max_gap`` after the previous one starts a new run.
+    ``samples`` has one row per consumer and ``sample_no`` with its ``status``; rows
+    without either belong to no run. A sample number more than ``max_gap`` after the previous one starts a new run.
 
     A consumer with very many samples is cut into blocks of sample numbers: runs
     are found inside each block in parallel, one summary row per block carries
     the previous status and the start of the open run across blocks.
     """
-    blocked = samples.withColumn("__block", F.floor(F.col("sample_no") / block))
+    # stated up front so that the rows and their block summaries share one shuffle
+    blocked = (samples.withColumn("__block", F.expr(f"sample_no div {int(block)}"))
+               .filter(F.col("consumer").isNotNull() & F.col("sample_no").isNotNull()
+                       & F.col("__block").isNotNull()))
     inside = Window.partitionBy("consumer", "__block").orderBy("sample_no")
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
