@@ -56,6 +56,12 @@ def test_row_mutations(spark):
     assert {(r.rk, r.op) for r in hs.del_mutations(df, "T", ["id"]).collect()} == {("T:1", "del"), ("T:2", "del")}
 
 
+def test_encoded_nulls_are_stored_as_none(spark):
+    df = spark.createDataFrame([(1, "__UPDATE_NULL__", None), (2, "x", -999999999)], "id bigint, a string, b bigint")
+    assert entries(hs.hset_mutations(df, "T", ["id"], ["a", "b"], ignore_null=True, decode_defaults=True)) == {
+        ("T:1", "a"): "None", ("T:2", "a"): "x", ("T:2", "b"): "None"}
+
+
 def test_change_without_known_columns_writes_nothing(spark):
     assert hs.folded_mutations(folded(spark, [record(1, "I", 0)]), SPEC).isEmpty()
 
@@ -143,6 +149,14 @@ def test_inspection(spark):
     assert hs.without_prefix(store, "T:").count() == 1
     assert {r.rk for r in hs.matching(store, "T:1?:*").collect()} == {f"T:{i}:z" for i in range(10, 20)}
     assert hs.matching(store, "T_:*").count() == 1
+    assert {r.rk for r in hs.matching(store, "T:[12]:z").collect()} == {"T:1:z", "T:2:z"}
+    assert {r.rk for r in hs.matching(store, "T:[^0-9]*").collect()} == set()
+    assert {r.rk for r in hs.entries_of(store, "T:3:z").collect()} == {"T:3:z"}
+    odd = spark.createDataFrame([("a*b", "f", "v"), ("axb", "f", "v"), ("a.b+(", "f", "v")],
+                                "rk string, field string, value string")
+    assert [r.rk for r in hs.matching(odd, "a\\*b").collect()] == ["a*b"]
+    assert [r.rk for r in hs.matching(odd, "a.b+(").collect()] == ["a.b+("]
+    assert hs.matching(odd, "*b*").count() == 3
 
 
 def test_sync_columns():

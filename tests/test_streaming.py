@@ -8,6 +8,7 @@ from tests.model import SPEC, as_rows, frame, record, replay
 from tidelog.operators import hash_store as hs
 from tidelog.operators.fold import fold_changes
 from tidelog.operators.parse import parse_changes
+from tidelog.operators.records import connect_records
 from tidelog.sinks.change_store import ChangeStore
 from tidelog.sinks.hash_writer import write_mutations
 from tidelog.sinks.records import write_record_files
@@ -181,7 +182,9 @@ def test_business_batch_sends_tombstones_and_upserts(spark, tmp_path):
     entries = stats.flush(spark)
     assert {(r.EPOCH_ID, r.STEM_NUM, r.MSG, r.ROW_CNT) for r in entries.collect()} == {
         (0, 1, "changes", 3), (0, 2, "rows sent", 2)}
-    assert set(STATS_KEY) <= set(entries.columns) and stats.flush(spark).isEmpty()
+    record_of_stats = connect_records(entries, "st.STAT", STATS_KEY, entries.columns).first()
+    assert json.loads(record_of_stats.key)["payload"] == {"APP_NAME": "APP", "CASE_NM": "case", "EPOCH_ID": 0}
+    assert stats.flush(spark).isEmpty()
 
 
 def test_pending_lookups_across_batches(spark, tmp_path):

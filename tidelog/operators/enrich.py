@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +15,12 @@ def enrich_latest(changes: DataFrame, view: DataFrame, keys: list[str]) -> DataF
     return latest_by_key(changes, keys).join(view, keys)
 
 
+def with_load_time(df: DataFrame, at: datetime.datetime | str | None = None,
+                   name: str = "L_DT") -> DataFrame:
+    """``df`` with the time of loading: the given one, or the query's current time."""
+    return df.withColumn(name, F.current_timestamp() if at is None else F.lit(at).cast("timestamp"))
+
+
 def compact_time(column: Column) -> Column:
     """Timestamp as ``yyyyMMddHHmmss`` text."""
     return F.date_format(column, "yyyyMMddHHmmss")

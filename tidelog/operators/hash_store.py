@@ -7,6 +7,8 @@ a field is written at most once, so mutations may be applied in any task.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -18,6 +20,7 @@ from tidelog.functions.keys import (
     key_part,
     split_field,
 )
+from tidelog.functions.sentinels import decode_value
 from tidelog.functions.skew import SALTS, spread_join
 from tidelog.functions.stored_text import from_stored_text, to_stored_text
 from tidelog.operators.fold import ALIVE, RESET
@@ -39,17 +42,21 @@ def _emit(df: DataFrame, entries: list[Column]) -> DataFrame:
 
 
 def hset_mutations(df: DataFrame, table: str, key_columns: list[str], value_columns: list[str],
-                   prefix_columns: list[str] | None = None, ignore_null: bool = False) -> DataFrame:
+                   prefix_columns: list[str] | None = None, ignore_null: bool = False,
+                   decode_defaults: bool = False) -> DataFrame:
     """Field writes for every row; a field may be prefixed with column *values*.
 
-    Null is stored as ``None``, or skipped with ``ignore_null``.
+    Null is stored as ``None``, or skipped with ``ignore_null``. With
+    ``decode_defaults`` a value equal to the default of its type is stored as
+    ``None``: for frames whose explicit nulls were encoded as defaults.
     """
     rk = hash_key(table, [F.col(c) for c in key_columns])
     prefix = [F.col(c) for c in (prefix_columns or [])]
     entries = []
     for name in value_columns:
-        entry = _entry(SET, rk, composite_field(prefix, F.lit(name)),
-                       to_stored_text(F.col(name), df.schema[name].dataType))
+        dtype = df.schema[name].dataType
+        value = decode_value(F.col(name), dtype) if decode_defaults else F.col(name)
+        entry = _entry(SET, rk, composite_field(prefix, F.lit(name)), to_stored_text(value, dtype))
         entries.append(F.when(F.col(name).isNotNull(), entry) if ignore_null else entry)
     return _emit(df, entries)
 
@@ -182,10 +189,26 @@ def field_names(store: DataFrame, prefix: str) -> DataFrame:
             .orderBy("field"))
 
 
+def entries_of(store: DataFrame, key: str) -> DataFrame:
+    """All fields of one hash."""
+    return store.filter(F.col("rk") == key)
+
+
 def matching(store: DataFrame, pattern: str) -> DataFrame:
-    """Entries whose key matches a glob pattern (``*`` and ``?``)."""
-    like = pattern.replace("\\", "\\\\").replace("%", "\\%").replace("_", "\\_")
-    return store.filter(F.col("rk").like(like.replace("*", "%").replace("?", "_")))
+    """Entries whose key matches a glob: ``*``, ``?``, ``[abc]``, ``[^abc]``, ``\\`` escapes.
+
+    The literal head of the pattern is also given as a prefix, which a scan can use.
+    """
+    parts = re.findall(r"\\.|\[\^?[^\]]*\]|.", pattern, re.DOTALL)
+    wild = {"*": ".*", "?": "."}
+    regex, head = "", ""
+    for i, part in enumerate(parts):
+        special = part in wild or (part.startswith("[") and part.endswith("]") and len(part) > 2)
+        literal = part[1] if len(part) == 2 and part.startswith("\\") else part
+        regex += (wild.get(part) or part) if special else re.escape(literal)
+        if not special and len(head) == i:
+            head += literal
+    return store.filter(F.col("rk").startswith(head) & F.col("rk").rlike(f"(?s)^{regex}$"))
 
 
 def first_keys(store: DataFrame, prefix: str, limit: int = 10, key_width: int = 1) -> DataFrame:

@@ -237,7 +237,7 @@ def kv_fields(spark, sf_dir):
 
 @query
 def kv_scan(spark, sf_dir):
-    return hash_store.matching(_stored(spark, sf_dir), "EVT:1*")
+    return hash_store.matching(_stored(spark, sf_dir), "EVT:[1-4]*")
 
 
 @query
@@ -289,7 +289,7 @@ def multi_view_sql(spark, sf_dir):
     """Order totals per nation; orders are reduced per customer before the join."""
     read = lambda name: fx.table(spark, sf_dir, name)
     return lookup.query_with_frames(spark, """
-        SELECT n.n_name, COUNT(*) AS customers, SUM(t.orders) AS orders, SUM(t.total) AS total
+        SELECT n.n_name, COUNT(*) AS customers, SUM(t.orders) AS orders, CAST(SUM(t.total) AS DECIMAL(38,2)) AS total
           FROM (SELECT o_custkey, COUNT(*) AS orders,
                        SUM(CAST(o_totalprice AS DECIMAL(15,2))) AS total
                   FROM df1 WHERE o_orderstatus = 'F' GROUP BY o_custkey) t
@@ -310,8 +310,9 @@ def enrich_latest(spark, sf_dir):
         F.col("c_custkey").alias("user_id"), "c_name", "c_mktsegment")
     events = fx.table(spark, sf_dir, "events").select(F.col("event_id").alias(OFFSET), "ts")
     joined = enrich.enrich_latest(changes, customer, EVT.pk).join(events, OFFSET)
-    return joined.select("user_id", OP, OFFSET, "AMT", "c_name", "c_mktsegment",
-                         enrich.compact_time(F.col("ts")).alias("A_DT"))
+    result = joined.select("user_id", OP, OFFSET, "AMT", "c_name", "c_mktsegment",
+                           enrich.compact_time(F.col("ts")).alias("A_DT"))
+    return enrich.with_load_time(result, LOAD_TIME).withColumn("L_DT", F.col("L_DT").cast("timestamp_ntz"))
 
 
 @query

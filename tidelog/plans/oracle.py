@@ -222,7 +222,7 @@ def all_sql() -> dict[str, str]:
         "kv_select": img + f", s AS ({_store('img')}) SELECT rk, substr(rk, 5) AS PK0, field, value FROM s "
                            "WHERE rk IN (SELECT DISTINCT rk FROM s ORDER BY rk LIMIT 10)",
         "kv_fields": "SELECT unnest(['AMT', 'KFK_OFFSET', 'KFK_PTT', 'PROPS', 'TAG']) AS field",
-        "kv_scan": img + f", s AS ({_store('img')}) SELECT * FROM s WHERE rk LIKE 'EVT:1%'",
+        "kv_scan": img + f", s AS ({_store('img')}) SELECT * FROM s WHERE substr(rk, 5, 1) BETWEEN '1' AND '4'",
         "kv_delete_prefix": img + _store("img"),
         "kv_typed_decode": img + "SELECT user_id, amt AS AMT, tag AS TAG, props AS PROPS, "
                                  "CAST(ptt AS BIGINT) AS KFK_PTT, off AS KFK_OFFSET FROM img",
@@ -247,8 +247,8 @@ def all_sql() -> dict[str, str]:
         "mapping_max": "SELECT o_custkey, MAX(o_orderkey) AS o_orderkey FROM orders "
                        "WHERE o_custkey IS NOT NULL GROUP BY o_custkey",
         "enrich_latest": cl + """SELECT l.user_id, l.op AS "__OP_TYPE", l.off AS KFK_OFFSET, l.amt AS AMT,
-            c_name, c_mktsegment, strftime(e.ts, '%Y%m%d%H%M%S') AS A_DT
-            FROM (SELECT * FROM cl QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY off DESC) = 1) l
+            c_name, c_mktsegment, strftime(e.ts, '%Y%m%d%H%M%S') AS A_DT,
+            TIMESTAMP '2024-11-11 00:00:00' AS L_DT FROM (SELECT * FROM cl QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY off DESC) = 1) l
             JOIN customer ON c_custkey = l.user_id JOIN events e ON e.event_id = l.off""",
         "case_code_projection": "SELECT DISTINCT p_partkey AS A_PK, CASE WHEN p_name LIKE 'r%' THEN '02' "
                                 "ELSE '01' END AS B_BK, '00000' AS CODE FROM part",
