@@ -29,14 +29,15 @@ from tidelog.spec import OFFSET, PARTITION, TableSpec
 SET, HDEL, DEL = "set", "hdel", "del"
 
 
-def _entry(op: str, rk: Column, field: Column | None, value: Column | None) -> Column:
+def entry(op: str, rk: Column, field: Column | None, value: Column | None) -> Column:
+    """One mutation as a struct."""
     none = F.lit(None).cast("string")
     return F.struct(rk.alias("rk"), (none if field is None else field).alias("field"),
                     (none if value is None else value).alias("value"), F.lit(op).alias("op"))
 
 
-def _emit(df: DataFrame, entries: list[Column]) -> DataFrame:
-    """One output row per non-null entry; the list is as long as the column list."""
+def emit(df: DataFrame, entries: list[Column]) -> DataFrame:
+    """One output row per non-null mutation; their number follows the column list."""
     packed = df.select(F.explode(F.array_compact(F.array(*entries))).alias("m"))
     return packed.select("m.rk", "m.field", "m.value", "m.op")
 
@@ -56,9 +57,9 @@ def hset_mutations(df: DataFrame, table: str, key_columns: list[str], value_colu
     for name in value_columns:
         dtype = df.schema[name].dataType
         value = decode_value(F.col(name), dtype) if decode_defaults else F.col(name)
-        entry = _entry(SET, rk, composite_field(prefix, F.lit(name)), to_stored_text(value, dtype))
-        entries.append(F.when(F.col(name).isNotNull(), entry) if ignore_null else entry)
-    return _emit(df, entries)
+        write = entry(SET, rk, composite_field(prefix, F.lit(name)), to_stored_text(value, dtype))
+        entries.append(F.when(F.col(name).isNotNull(), write) if ignore_null else write)
+    return emit(df, entries)
 
 
 def hdel_mutations(df: DataFrame, table: str, key_columns: list[str], value_columns: list[str],
@@ -66,14 +67,14 @@ def hdel_mutations(df: DataFrame, table: str, key_columns: list[str], value_colu
     """Field deletes for every row."""
     rk = hash_key(table, [F.col(c) for c in key_columns])
     prefix = [F.col(c) for c in (prefix_columns or [])]
-    return _emit(df, [_entry(HDEL, rk, composite_field(prefix, F.lit(c)), None)
+    return emit(df, [entry(HDEL, rk, composite_field(prefix, F.lit(c)), None)
                       for c in value_columns])
 
 
 def del_mutations(df: DataFrame, table: str, key_columns: list[str]) -> DataFrame:
     """Key deletes for every row."""
     rk = hash_key(table, [F.col(c) for c in key_columns])
-    return _emit(df, [_entry(DEL, rk, None, None)])
+    return emit(df, [entry(DEL, rk, None, None)])
 
 
 def folded_mutations(folded: DataFrame, spec: TableSpec, with_offsets: bool = True) -> DataFrame:
@@ -85,16 +86,16 @@ def folded_mutations(folded: DataFrame, spec: TableSpec, with_offsets: bool = Tr
     rk = hash_key(spec.name, [F.col(c) for c in spec.pk])
     alive = F.col(ALIVE)
     present = [F.col(c).isNotNull() for c in spec.columns]
-    entries = [F.when(F.col(RESET), _entry(DEL, rk, None, None))]
+    entries = [F.when(F.col(RESET), entry(DEL, rk, None, None))]
     for name, here in zip(spec.columns, present):
         value = to_stored_text(F.col(name)["v"], spec.type_of(name))
-        entries.append(F.when(alive & here, _entry(SET, rk, F.lit(name), value)))
+        entries.append(F.when(alive & here, entry(SET, rk, F.lit(name), value)))
     if with_offsets:
         anything = F.array_contains(F.array(*present), True)
         for name in (PARTITION, OFFSET):
-            entries.append(F.when(alive & anything, _entry(
+            entries.append(F.when(alive & anything, entry(
                 SET, rk, F.lit(name), to_stored_text(F.col(name)))))
-    return _emit(folded, entries)
+    return emit(folded, entries)
 
 
 def apply_mutations(store: DataFrame, mutations: DataFrame) -> DataFrame:
@@ -127,8 +128,8 @@ def image_to_index(image: DataFrame, spec: TableSpec, pseudo_key: list[str],
     """Secondary hash content: all rows sharing a pseudo key under one hash."""
     rk = hash_key(spec.name, [F.col(c) for c in pseudo_key], pseudo_key)
     owner = [F.col(c) for c in spec.pk if c not in pseudo_key]
-    return _emit(image, [
-        _entry(SET, rk, composite_field(owner, F.lit(c)), to_stored_text(F.col(c), spec.type_of(c)))
+    return emit(image, [
+        entry(SET, rk, composite_field(owner, F.lit(c)), to_stored_text(F.col(c), spec.type_of(c)))
         for c in value_columns]).drop("op")
 
 

@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.functions.keys import composite_field, hash_key
-from tidelog.functions.skew import SMALL_ROWS, pin_small
+from tidelog.functions.skew import pin_small
 from tidelog.functions.stored_text import to_stored_text
 from tidelog.operators.fold import ALIVE, RESET
-from tidelog.operators.hash_store import HDEL, SET, _emit, _entry
+from tidelog.operators.hash_store import HDEL, SET, emit, entry
 from tidelog.spec import TableSpec
 
 
@@ -56,11 +56,11 @@ def index_mutations(touched: DataFrame, spec: TableSpec, pseudo_keys: list[list[
         rewritten = before.isNull() | moved | F.col(RESET)
         for name in value_columns:
             field = composite_field(owner, F.lit(name))
-            entries.append(F.when(leaves, _entry(HDEL, old_rk, field, None)))
+            entries.append(F.when(leaves, entry(HDEL, old_rk, field, None)))
             value = to_stored_text(after[name], spec.type_of(name))
             changed = after.isNotNull() & (rewritten | F.col(f"__set_{name}"))
-            entries.append(F.when(changed, _entry(SET, new_rk, field, value)))
-    return _emit(touched, entries)
+            entries.append(F.when(changed, entry(SET, new_rk, field, value)))
+    return emit(touched, entries)
 
 
 def sync_columns(spec: TableSpec, pseudo_keys: list[list[str]], value_columns: list[str]) -> list[str]:
@@ -68,5 +68,3 @@ def sync_columns(spec: TableSpec, pseudo_keys: list[list[str]], value_columns: l
     wanted = dict.fromkeys([c for q in pseudo_keys for c in q] + value_columns)
     return [c for c in wanted if c not in spec.pk]
 
-
-__all__ = ["SMALL_ROWS", "index_mutations", "sync_columns", "touched_before_after"]

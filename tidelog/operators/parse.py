@@ -15,36 +15,32 @@ from pyspark.sql.types import DataType, DateType, StringType, TimestampNTZType,
 from tidelog.spec import DELETE, INSERT, OFFSET, OP, PARTITION, UPDATE, TableSpec
 
 
-def _path(column: str) -> str:
-    return f'$.payload["{column}"]'
-
-
-def payload_value(document: Column, column: str, dtype: DataType) -> Column:
-    """Typed value of a payload field.
+def typed_value(field: Column, dtype: DataType) -> Column:
+    """Typed value of a variant field.
 
     Text is trimmed. Whole numbers in a timestamp column are epoch milliseconds,
     in a date column days since the epoch.
     """
-    path = _path(column)
     if isinstance(dtype, StringType):
-        return F.trim(F.variant_get(document, path, "string"))
+        return F.trim(field.cast(dtype))
     if isinstance(dtype, (TimestampType, TimestampNTZType)):
-        millis = F.timestamp_millis(F.try_variant_get(document, path, "bigint"))
-        return F.coalesce(millis.cast(dtype), F.variant_get(document, path, dtype.simpleString()))
+        millis = F.timestamp_millis(F.try_variant_get(field, "$", "bigint"))
+        return F.coalesce(millis.cast(dtype), field.cast(dtype))
     if isinstance(dtype, DateType):
-        days = F.date_from_unix_date(F.try_variant_get(document, path, "int"))
-        return F.coalesce(days, F.variant_get(document, path, "date"))
-    return F.variant_get(document, path, dtype.simpleString())
+        days = F.date_from_unix_date(F.try_variant_get(field, "$", "int"))
+        return F.coalesce(days, field.cast(dtype))
+    return field.cast(dtype)
 
 
-def is_present(document: Column, column: str) -> Column:
-    """Whether the payload mentions the field, with a value or with null."""
-    return F.variant_get(document, _path(column), "variant").isNotNull()
+def _payload(text: str, fields: list[str]) -> Column:
+    """The named payload fields of a JSON text as variants; a missing field is a null."""
+    schema = ", ".join(f"`{f}`: variant" for f in fields)
+    return F.try_variant_get(F.try_parse_json(F.col(text)), "$.payload", f"struct<{schema}>")
 
 
-def tombstone_op(value: Column, op: Column) -> Column:
+def tombstone_op(without_value: Column, op: Column) -> Column:
     """A record without value deletes its key."""
-    return F.when(value.isNull(), F.lit(DELETE)).otherwise(op)
+    return F.when(without_value, F.lit(DELETE)).otherwise(op)
 
 
 def _evaluate_once(df: DataFrame, passed: list[str]) -> DataFrame:
@@ -68,22 +64,17 @@ def parse_changes(raw: DataFrame, spec: TableSpec, strict: bool = True) -> DataF
     otherwise its operation is kept as found (and the fold passes it by).
     """
     docs = raw.select(
-        F.try_parse_json(F.col("KEY")).alias("__key"),
-        F.try_parse_json(F.col("VALUE")).alias("__doc"),
+        _payload("KEY", spec.pk).alias("__key"),
+        _payload("VALUE", [*spec.pk, OP, *spec.columns]).alias("__doc"),
         F.col("VALUE").isNull().alias("__gone"),
         F.col("partition").alias(PARTITION), F.col("offset").alias(OFFSET))
-    keys = [
-        F.coalesce(payload_value(F.col("__key"), f.name, f.dataType),
-                   payload_value(F.col("__doc"), f.name, f.dataType)).alias(f.name)
-        for f in spec.key
-    ]
-    op = F.when(F.col("__gone"), F.lit(DELETE)).otherwise(
-        payload_value(F.col("__doc"), OP, StringType()))
-    cells = [
-        F.when(is_present(F.col("__doc"), f.name),
-               F.struct(payload_value(F.col("__doc"), f.name, f.dataType).alias("v"))).alias(f.name)
-        for f in spec.values
-    ]
+    key, doc = F.col("__key"), F.col("__doc")
+    keys = [F.coalesce(typed_value(key[f.name], f.dataType), typed_value(doc[f.name], f.dataType)).alias(f.name)
+            for f in spec.key]
+    op = tombstone_op(F.col("__gone"), typed_value(doc[OP], StringType()))
+    cells = [F.when(doc[f.name].isNotNull(),
+                    F.struct(typed_value(doc[f.name], f.dataType).alias("v"))).alias(f.name)
+             for f in spec.values]
     parsed = docs.select(*keys, op.alias(OP), PARTITION, OFFSET, *cells)
     if not strict:
         return _evaluate_once(parsed, [PARTITION, OFFSET])

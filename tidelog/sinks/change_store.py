@@ -46,7 +46,7 @@ class ChangeStore:
         return jvm_path, jvm_path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
     def _complete(self, kind: str) -> list[str]:
-        """Names of the completely written folders of a kind."""
+        """Names of the completely written folders of a kind (those with a success marker)."""
         path, files = self._files(f"{self.root}/{kind}")
         if not files.exists(path):
             return []
