@@ -4,18 +4,40 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidelog.llm.mixing import taken_words
 from tidelog.llm.near_dedup import near_duplicates
+from tidelog.llm.packing import pack
 from tidelog.llm.sharding import shard_documents
 from tidelog.llm.topk import top_k
+from tidelog.llm.warc import archive_round_trip, record_number
+
+
+VOCABULARY = "byte_bpe_50k.json"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    records = pages.select(F.col("page_id").alias("record_id"), F.col("url").alias("target_uri"),
+                           F.col("html").cast("binary").alias("payload"))
+    last = archive_round_trip(spark, records).filter("last")
+    return last.select(
+        record_number("record_id").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"), "record_type",
+        record_number("refers_to").alias("refers_to"), (F.col("chunk_no") + 1).alias("chunks"))
+
+
+def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack(_table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken_words(_table(spark, sf_dir, "documents"))
 
@@ -33,6 +55,8 @@ def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_warc": warc,
+    "op3_packing": packing,
     "op5_mixing": mixing,
     "op6_topk": search,
     "op7_near_dedup": near_dedup,
@@ -53,4 +77,15 @@ ranked AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
-SQL: dict[str, str] = {"op6_topk": TOPK_SQL}
+WARC_SQL = """
+WITH sized AS (
+  SELECT page_id, coalesce(html, '') AS html, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS n FROM pages),
+winners AS (SELECT html, max(page_id) AS winner FROM sized WHERE n >= 1000 GROUP BY html)
+SELECT page_id, n AS payload_bytes, sha1(s.html) AS payload_digest,
+       CASE WHEN winner IS NULL OR winner = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN winner <> page_id THEN winner END AS refers_to,
+       CASE WHEN winner <> page_id THEN 1 ELSE greatest(1, CAST(ceil(n / 65536) AS BIGINT)) END AS chunks
+FROM sized s LEFT JOIN winners w ON s.html = w.html
+"""
+
+SQL: dict[str, str] = {"op2_warc": WARC_SQL, "op6_topk": TOPK_SQL}
