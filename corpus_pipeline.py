@@ -4,23 +4,51 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidelog.llm.language import fit_languages, keep_identified
+from tidelog.llm.mixing import repeated_documents
 from tidelog.llm.near_dedup import near_duplicates
+from tidelog.llm.packing import pack
+from tidelog.llm.quality import fit_quality, keep_good
 from tidelog.sinks.tables import written_table
 
+VOCABULARY = "byte_bpe_50k.json"
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is identified."""
+    return keep_identified(docs, fit_languages(docs))
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are likely to have more than the lowest grade."""
+    return keep_good(docs, fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group: the one with the least id."""
-    kept = near_duplicates(docs).filter("kept").select("doc_id")
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    kept = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("__kept")).hint("shuffle_hash")
+    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("__kept")), "left_semi")
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of the sources takes them."""
+    return repeated_documents(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in sequences of 1024 tokens."""
+    return pack(docs, public_tokenizers.path(VOCABULARY))
 
 
-STAGES: list[tuple[str, Stage]] = [("near_dedup", near_dedup)]
+STAGES: list[tuple[str, Stage]] = [
+    ("language", language), ("quality", quality), ("near_dedup", near_dedup), ("mixing", mixing), ("packing", packing)]
 
-# trained models and packing have no SQL equivalent
+# the trained stages have no SQL equivalent
 ORACLE_SQL = None
 
 

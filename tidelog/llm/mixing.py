@@ -116,3 +116,18 @@ def taken_words(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: fl
     taken = F.coalesce(F.sum(F.col("words") * F.col("times")), F.lit(0)).cast("long")
     sums = joined.groupBy("row", "doc_id", "size", "source_size", "target").agg(taken.alias("taken"))
     return sums.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def repeated_documents(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, block: int = BLOCK) -> DataFrame:
+    """The rows of ``docs``, all columns, as often as the mix takes them.
+
+    A document is repeated its taken words by its size, rounded up with the probability
+    of the rest by a hash of ``doc_id``, so the sources still come near their targets.
+    Documents without words stay once. Rows of one id are counted together.
+    """
+    taken = taken_words(docs, weights, share, block).groupBy("doc_id").agg(F.sum("taken").alias("taken"), F.sum("size").alias("size"))
+    chance = F.pmod(F.xxhash64("doc_id", F.lit("mix")), F.lit(1 << 20)) / (1 << 20)
+    times = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + chance)).otherwise(1)
+    times = taken.select(F.col("doc_id").alias("__doc"), times.cast("int").alias("__times")).filter("__times > 0").hint("shuffle_hash")
+    joined = docs.join(times, docs["doc_id"].eqNullSafe(F.col("__doc")))
+    return joined.withColumn("__turn", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*[docs[c] for c in docs.columns])

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidelog.llm.graph import components
 from tidelog.llm.linking import GROUP_ITEMS, verified_links
-from tidelog.llm.textnum import constants, groups_of, minhash, mix, permutations, shingles, utf8, word_hashes
+from tidelog.llm.textnum import BY_SPACE_FOLDED, constants, groups_of, minhash, mix, permutations, shingles, utf8, word_hashes
 from tidelog.sinks.tables import written_table
 
 ROWS = 3    # minhashes in one half key
@@ -23,7 +23,7 @@ def _sets_of(batch: pa.RecordBatch, words: int) -> Iterator[np.ndarray]:
     data, offsets = utf8(batch["text"])
     for first, last in groups_of(offsets):
         part = offsets[first:last + 1]
-        hashes, _, upto = word_hashes(data[part[0]:part[-1]], part - part[0], fold=True)
+        hashes, _, upto = word_hashes(data[part[0]:part[-1]], part - part[0], BY_SPACE_FOLDED)
         for row in range(last - first):
             yield shingles(hashes[upto[row]:upto[row + 1]], words)
 

@@ -8,11 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidelog.llm.fingerprints import fingerprints
+from tidelog.llm.language import language_of
 from tidelog.llm.mixing import taken_words
 from tidelog.llm.near_dedup import near_duplicates
 from tidelog.llm.packing import pack
+from tidelog.llm.quality import SELECT, fit_quality, grade
 from tidelog.llm.sharding import shard_documents
 from tidelog.llm.topk import top_k
+from tidelog.llm.toxicity import toxicity_of
 from tidelog.llm.warc import archive_round_trip, record_number
 
 
@@ -23,6 +27,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(_table(spark, sf_dir, "documents"))
+
+
 def warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
     records = pages.select(F.col("page_id").alias("record_id"), F.col("url").alias("target_uri"),
@@ -38,6 +46,11 @@ def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity_of(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return scored.withColumn("offending", F.size("offending"))
+
+
 def mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken_words(_table(spark, sf_dir, "documents"))
 
@@ -50,16 +63,30 @@ def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), words=4, percent=80)
 
 
+def language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_of(_table(spark, sf_dir, "documents"))
+
+
+def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    graded = grade(docs, fit_quality(docs, _table(spark, sf_dir, "labels")))
+    return graded.withColumn("selected", (F.col("tail") >= SELECT).cast("int"))
+
+
 def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(_table(spark, sf_dir, "documents"), shards=8)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_fingerprints": fingerprint,
     "op2_warc": warc,
     "op3_packing": packing,
+    "op4_toxicity": toxicity,
     "op5_mixing": mixing,
     "op6_topk": search,
     "op7_near_dedup": near_dedup,
+    "op8_language": language,
+    "op9_quality": quality,
     "op10_sharding": sharding,
 }
 

@@ -27,13 +27,25 @@ def constants(n: int, seed: int) -> np.ndarray:
     return mix(steps + np.uint64(seed)) | np.uint64(1)
 
 
-_BYTE = constants(256, 11)
-_BYTE[_WHITE] = 0
-_FOLDED = _BYTE.copy()
-_FOLDED[ord("A"):ord("Z") + 1] = _BYTE[ord("a"):ord("z") + 1]
 _PLACE = constants(64, 12)
 
 
+def _byte_values(between: np.ndarray, fold: bool) -> np.ndarray:
+    """Number of each byte, 0 for those between words; ``fold`` gives A to Z the numbers of a to z."""
+    values = constants(256, 11)
+    if fold:
+        values[ord("A"):ord("Z") + 1] = values[ord("a"):ord("z") + 1]
+    values[between] = 0
+    return values
+
+
+_MARKS = np.array([b < 0x80 and not chr(b).isalnum() for b in range(256)])
+# ways to split a text: which bytes are between words, and the numbers of the others
+BY_SPACE = _WHITE, _byte_values(_WHITE, False)
+BY_SPACE_FOLDED = _WHITE, _byte_values(_WHITE, True)
+BY_MARK = _MARKS, _byte_values(_MARKS, False)
+
+
 def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all values and their offsets; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -64,9 +76,10 @@ def _powers(n: int) -> np.ndarray:
     return _PLACE
 
 
-def _piece_hashes(data: np.ndarray, breaks: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _piece_hashes(data: np.ndarray, breaks: np.ndarray, split: tuple, prefix: int) -> tuple[np.ndarray, np.ndarray]:
     """Start and hash of every word of ``data``; a word also ends at the positions ``breaks``."""
-    solid = ~_WHITE[data]
+    between, values = split
+    solid = ~between[data]
     first = solid.copy()
     first[1:] &= ~solid[:-1]
     breaks = breaks[breaks < len(data)]
@@ -76,30 +89,34 @@ def _piece_hashes(data: np.ndarray, breaks: np.ndarray, table: np.ndarray) -> tu
         return starts, np.zeros(0, np.uint64)
     here = np.arange(len(data))
     place = here - np.maximum.accumulate(np.where(first, here, 0))
-    sums = table[data] * _powers(int(place.max()) + 1)[place]
+    sums = values[data] * _powers(int(place.max()) + 1)[place]
+    if prefix:
+        sums[place >= prefix] = 0
     return starts, mix(np.add.reduceat(sums, starts))
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, fold: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, offsets: np.ndarray, split: tuple = BY_SPACE, prefix: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash and start byte of each word of the texts, and the number of words up to each text.
 
-    Words are runs of bytes other than 0x20 and 0x09 to 0x0D; ``fold`` lower-cases A to Z.
+    ``BY_SPACE`` words are runs of bytes other than 0x20 and 0x09 to 0x0D, the folded
+    ones with A to Z in lower case; ``BY_MARK`` words are runs of ASCII letters and
+    digits and of bytes beyond ASCII. ``prefix`` hashes only so many first bytes.
     """
-    table, hashes, places, at, end = _FOLDED if fold else _BYTE, [], [], 0, len(data)
+    between, hashes, places, at, end = split[0], [], [], 0, len(data)
     while at < end:
         stop = min(end, at + PIECE)
-        if stop < end:  # on to the next white space or text
+        if stop < end:  # on to the next gap or text
             text_end = int(offsets[np.searchsorted(offsets, stop, "left")])
             white = stop
             while white < text_end:
-                gap = np.flatnonzero(_WHITE[data[white:white + 4096]])
+                gap = np.flatnonzero(between[data[white:white + 4096]])
                 if len(gap):
                     white += int(gap[0])
                     break
                 white += 4096
             stop = min(white, text_end)
         inside = offsets[np.searchsorted(offsets, at):np.searchsorted(offsets, stop, "right")] - at
-        starts, sums = _piece_hashes(data[at:stop], inside, table)
+        starts, sums = _piece_hashes(data[at:stop], inside, split, prefix)
         hashes.append(sums)
         places.append(starts + at)
         at = stop
@@ -142,3 +159,38 @@ def minhash(values: np.ndarray, functions: tuple[np.ndarray, np.ndarray]) -> np.
 def codes(text: str) -> np.ndarray:
     """Code points of a text."""
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def _letters() -> np.ndarray:
+    import regex
+
+    every = "".join(map(chr, (c for c in range(0x110000) if not 0xD800 <= c < 0xE000)))
+    table = np.zeros(0x110000, bool)
+    for match in regex.finditer(r"\p{L}+", every):
+        table[codes(match[0])] = True
+    return table
+
+
+_LETTERS: list[np.ndarray] = []
+
+
+def is_letter() -> np.ndarray:
+    """Whether each code point is a letter; made once per worker."""
+    if not _LETTERS:
+        _LETTERS.append(_letters())
+    return _LETTERS[0]
+
+
+def gram_buckets(points: np.ndarray, sizes: tuple[int, ...], bits: int) -> np.ndarray:
+    """Buckets, below 2 ** ``bits``, of all runs of ``sizes`` code points."""
+    found = [np.zeros(0, np.int64)]
+    times = constants(max(sizes), 51)
+    wide = points.astype(np.uint64) + np.uint64(1)
+    for size in sizes:
+        if len(wide) >= size:
+            sums = np.full(len(wide) - size + 1, np.uint64(size))
+            for i in range(size):
+                sums += wide[i:len(wide) - size + 1 + i] * times[i]
+            sums = (sums ^ (sums >> np.uint64(32))) * times[0]
+            found.append((sums >> np.uint64(64 - bits)).astype(np.int64))
+    return np.concatenate(found)
