@@ -46,11 +46,11 @@ def _search(k: int):
         found = {"query_row": [none], "query_id": [none], "rank_id": [none], "score": [none]}
         if len(queries) and len(candidates):
             # null ids come last among equal scores
-            ids = candidates["vec_id"].combine_chunks().fill_null(NO_ID).to_numpy()
-            candidates = candidates.take(pa.array(np.lexsort((candidates["row"].to_numpy(), ids))))
+            ids = candidates["other_id"].combine_chunks().fill_null(NO_ID).to_numpy()
+            candidates = candidates.take(pa.array(np.lexsort((candidates["other_row"].to_numpy(), ids))))
             ids = np.sort(ids)
-            rows = candidates["row"].to_numpy()
-            doc, doc_term, weight = _matrix(candidates["terms"].combine_chunks())
+            rows = candidates["other_row"].to_numpy()
+            doc, doc_term, weight = _matrix(candidates["other_terms"].combine_chunks())
             order = np.argsort(doc_term, kind="stable")
             doc, weight, ends = doc[order], weight[order], np.searchsorted(doc_term[order], np.arange(int(doc_term.max(initial=-1)) + 2))
             query, query_term, factor = _matrix(queries["terms"].combine_chunks())
@@ -102,7 +102,8 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = 5, scale: int = 256, blo
     blocks = max(1, -(-rows.count() // block_rows))
     groups = max(1, -(-queries.count() // block_rows))
     # rows are numbered within their files, so the remainder deals them out evenly whatever the ids
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)))
+    dealt = rows.select(F.col("vec_id").alias("other_id"), F.col("terms").alias("other_terms"), F.col("row").alias("other_row"),
+                        F.pmod(F.xxhash64("row"), F.lit(blocks)).alias("block"))
     asked = queries.withColumn("group", F.pmod(F.xxhash64("row"), F.lit(groups)))
     dealt = dealt.withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
     asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
