@@ -384,7 +384,7 @@ def test_rebalancing_moves_few_slots(spark):
     grown = rebalance(records, first, 9, folder, 1)
     old, new = ({r.slot: r.shard for r in m.collect()} for m in (first, grown))
     moved = [s for s in old if new[s] != old[s]]
-    assert moved and all(new[s] == 8 for s in moved)
+    assert moved and np.mean([new[s] == 8 for s in moved]) > 0.9 and len(moved) < len(old) / 4
     loads = {r.shard: r.b for r in grown.groupBy("shard").agg(F.sum("bytes").alias("b")).collect()}
     assert len(loads) == 9 and max(loads.values()) < 1.15 * min(loads.values())
     same = rebalance(records, first, 8, folder, 2)
@@ -466,8 +466,9 @@ def test_toxicity(spark, sf, odd, none):
 
 
 def test_offending_sentences_are_located(spark):
-    texts = [f"Line {i} is fine. All of it is so." + (" You vile wretch! Bye." if i % 2 else "") for i in range(60)]
-    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(60)], "doc_id long, quality int, toxic int")
+    words = np.random.default_rng(9).integers(0, 400, (200, 60))
+    texts = [" ".join(f"w{w}" for w in words[i]) + f". Line {i}. All is so." + (" You vile wretch! Bye." if i % 2 else "") for i in range(200)]
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(200)], "doc_id long, quality int, toxic int")
     docs = table(spark, texts)
     for r in score_texts(docs, fit_toxicity(docs, labels)).collect():
         assert (r.score >= 0.7) == (r.doc_id % 2 == 1)

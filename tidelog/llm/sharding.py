@@ -34,7 +34,8 @@ def placed(weights: list[tuple[int, int, int]], shards: int, old: dict[int, int]
 
     Without an ``old`` map the heaviest slot goes to the lightest shard, and so on.
     With one, slots stay where they are; new slots go to the lightest shard, and slots
-    move from the heaviest to the lightest shard while that narrows the gap.
+    move from the heaviest to the lightest shard until the two differ by a hundredth of
+    a shard or no move narrows the gap.
     """
     load = [0] * shards
     where = {s: old[s] for s, _, _ in weights if old and old.get(s, shards) < shards}
@@ -68,7 +69,7 @@ def _level(weights: list[tuple[int, int, int]], where: dict[int, int], shards: i
         full, light = load.index(max(load)), load.index(min(load))
         gap = load[full] - load[light]
         fits = [(size, slot) for slot, size in held[full].items() if 0 < size < gap]
-        if not fits:
+        if not fits or gap * shards * 100 <= sum(load):  # within a hundredth of a shard
             return
         size, slot = min(fits, key=lambda f: (abs(2 * f[0] - gap), f[1]))
         where[slot] = light

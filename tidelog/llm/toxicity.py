@@ -19,8 +19,10 @@ PREFIX = 4          # bytes of a word's beginning
 PER_CLASS = 3000    # texts of each label that a model is fitted on
 MIN_TEXTS, MIN_Z = 5, 5.0  # a word has weight if that many texts have it and its labels are so many deviations off
 BANDS, BAND_ROWS = 6, 8    # texts of the sample that share a band of minhashes of their words are copies
-STEPS, RATE = 150, 0.1
-DECAY = 0.1                # of a weight, against the pull of one toxic text
+STEPS, RATE = 200, 0.1
+BASE = 0.02                # chance that nineteen of twenty texts are called toxic at most, whatever their words
+LEAK = 0.05                # share of toxic labels that no sentence explains
+DECAY = 0.02               # of a weight, against the pull of one toxic text
 _ENDS = np.zeros(256, bool)
 _ENDS[[ord(c) for c in ".!?\n\r"]] = True
 
@@ -85,20 +87,21 @@ class ToxicityModel:
         telling = np.append(used, -1)[places] == features.ravel()
         places, holder = places[telling], np.tile(sentence, 2)[telling]
         share = np.where(labels == 1, 0.5 / toxic, 0.5 / max(1, (labels == 0).sum()))
-        place = np.append(np.zeros(len(used)), -5.0)  # the weights, then the bias
-        decay = np.append(np.full(len(used), DECAY * 0.5 / toxic), 0)
+        # many sentences alone must not make a text toxic, so the bias is set, not learned
+        bias = float(np.log(BASE / max(1.0, np.quantile(np.bincount(text, minlength=len(labels)), 0.95))))
+        place = np.zeros(len(used))
         mean, square = np.zeros_like(place), np.zeros_like(place)
         for step in range(1, STEPS + 1):
-            logits = place[-1] + _sums(holder, place[places], len(text))
-            clean = np.minimum(-_sums(text, np.logaddexp(0, logits), len(labels)), -1e-9)
+            logits = bias + _sums(holder, place[places], len(text))
+            clean = np.log1p(-LEAK) - _sums(text, np.logaddexp(0, logits), len(labels))
             odds = np.where(labels == 1, np.exp(clean) / -np.expm1(clean), -1.0)
             by_sentence = (odds * share)[text] * 0.5 * (1 + np.tanh(logits / 2))
-            up = np.append(_sums(places, by_sentence[holder], len(used)), by_sentence.sum()) - decay * place
+            up = _sums(places, by_sentence[holder], len(used)) - DECAY * 0.5 / toxic * place
             mean, square = 0.9 * mean + 0.1 * up, 0.99 * square + 0.01 * up ** 2
             place = place + RATE * (mean / (1 - 0.9 ** step)) / (np.sqrt(square / (1 - 0.99 ** step)) + 1e-5)
         weights = np.zeros(2 << BITS, np.float32)
-        weights[used] = place[:-1]
-        return ToxicityModel(weights, float(place[-1]))
+        weights[used] = place
+        return ToxicityModel(weights, bias)
 
 
 def _distinct(features: list[np.ndarray]) -> list[int]:
