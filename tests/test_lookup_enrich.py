@@ -1,3 +1,5 @@
+from datetime import datetime, timezone
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
@@ -39,14 +41,27 @@ def test_pending_keys_are_retried_then_dropped_or_fail(spark):
     changes = parse_changes(frame(spark, [record(1, "I", 1, A="x"), record(2, "U", 2, A="x")]), SPEC)
     kv = store(spark, {2: {"A": "o", "KFK_OFFSET": "1"}})
     got = vl.versioned_lookup(changes, kv, "T", ["ID"], SCHEMA)
-    first = vl.pending_rows(got, ["ID"], None, max_attempts=3)
-    second = vl.pending_rows(got, ["ID"], first, max_attempts=3)
+    at = [datetime(2024, 1, 1, 0, n, tzinfo=timezone.utc) for n in range(3)]
+    first = vl.waiting_rows(got, ["ID"], None, at[0])
+    second = vl.waiting_rows(got, ["ID"], first, at[1])
     assert {(r.ID, r.status, r.attempts) for r in second.collect()} == {(1, "missing", 2), (2, "stale", 2)}
-    third = vl.pending_rows(got, ["ID"], second, max_attempts=3)
+    assert vl.pending_rows(second, ["ID"], at[1], 120).count() == 2 and vl.expired_rows(second, at[1], 120).isEmpty()
+    third = vl.waiting_rows(got, ["ID"], second, at[2])
     with pytest.raises(Exception, match="stale"):
-        third.collect()
-    only_missing = vl.pending_rows(got.filter("ID = 1"), ["ID"], second, max_attempts=3)
-    assert only_missing.isEmpty()
+        vl.pending_rows(third, ["ID"], at[2], 120).collect()
+    assert vl.pending_rows(third.filter("ID = 1"), ["ID"], at[2], 120).isEmpty()
+    assert [r.ID for r in vl.expired_rows(third, at[2], 120).collect()] == [1]
+
+
+def test_newer_change_starts_waiting_anew(spark):
+    kv = store(spark, {1: {"A": "o", "KFK_OFFSET": "1"}})
+    found = [vl.versioned_lookup(parse_changes(frame(spark, [record(1, "U", offset, A="x")]), SPEC), kv, "T", ["ID"], SCHEMA)
+             for offset in (5, 99)]
+    at = [datetime(2024, 1, 1, 0, n, tzinfo=timezone.utc) for n in range(2)]
+    old = vl.waiting_rows(found[0], ["ID"], vl.waiting_rows(found[0], ["ID"], None, at[0]), at[0])
+    new = vl.waiting_rows(found[1], ["ID"], old, at[1])
+    assert [(r.KFK_OFFSET, r.attempts) for r in new.collect()] == [(99, 1)]
+    assert vl.pending_rows(new, ["ID"], at[1], 60).count() == 1
 
 
 def test_stored_text_round_trip(spark):

@@ -11,7 +11,10 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as contract
 from check_oracle import TABLES, canonical
 
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+from tidelog.plans.catalog import all_queries
+from tidelog.plans.oracle import all_sql
+
+QUERIES, SQL = all_queries(), all_sql()
 
 
 @pytest.fixture(scope="module")
@@ -32,5 +35,9 @@ def test_query_matches_sql(spark, db, small_sf, name):
     assert got == canonical(db.sql(SQL[name]).to_arrow_table())
 
 
+def test_all_queries_are_registered():
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
+
+
 def test_flagship(spark):
     assert contract.entry(spark).count() > 0

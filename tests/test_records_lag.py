@@ -83,7 +83,10 @@ def test_offset_log_files(spark, tmp_path):
         ("TWO", 10, "prod.b", 0, 100), ("TWO", 10, "prod.b", 1, 10)}
     ends = spark.createDataFrame([("prod.a", 0, 130), ("prod.a", 1, 9)], "topic string, partition int, end_offset bigint")
     assert {(r.app, r.partition, r.lag) for r in lag.consumer_lag(got, ends).collect()} == {
-        ("ONE", 0, 30), ("ONE", 1, 0)}
+        ("ONE", 0, 30), ("ONE", 1, 0), ("TWO", 0, None), ("TWO", 1, None)}
+    more = spark.createDataFrame([("prod.a", 0, 130), ("prod.a", 2, 7), ("prod.c", 0, 4)], ends.schema)
+    assert {(r.app, r.topic, r.partition, r.committed, r.lag) for r in lag.consumer_lag(got.filter("app = 'ONE'"), more).collect()} == {
+        ("ONE", "prod.a", 0, 100, 30), ("ONE", "prod.a", 1, 10, None), ("ONE", "prod.a", 2, None, 7), (None, "prod.c", 0, None, 4)}
 
 
 def test_lag_totals(spark):

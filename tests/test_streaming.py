@@ -2,11 +2,12 @@ import fcntl
 import json
 import os
 import random
+from datetime import datetime, timezone
 
 
 from tests.model import SPEC, as_rows, frame, record, replay
 from tidelog.operators import hash_store as hs
-from tidelog.operators.fold import fold_changes
+from tidelog.operators.fold import current_rows, finish_states, fold_changes
 from tidelog.operators.parse import parse_changes
 from tidelog.operators.records import connect_records
 from tidelog.sinks.change_store import ChangeStore
@@ -172,7 +173,7 @@ def test_business_batch_sends_tombstones_and_upserts(spark, tmp_path):
     stats = BatchStats("APP", "case")
     on_batch = enriched_batch(
         SPEC, "st.OUT", select=lambda c: c.filter("A.v is not null"),
-        touched=lambda c: c.select("ID"), result=lambda c: c.join(view, "ID").select("ID", "NAME"),
+        touched=lambda c, n: c.select("ID"), result=lambda c, n: c.join(view, "ID").select("ID", "NAME"),
         key_columns=["ID"], value_columns=["ID", "NAME"],
         emit=lambda df: write_record_files(df, sent), stats=stats)
     run_micro_batches(file_stream(spark, topic), on_batch, str(tmp_path / "cp")).awaitTermination()
@@ -188,18 +189,55 @@ def test_business_batch_sends_tombstones_and_upserts(spark, tmp_path):
 
 
 def test_pending_lookups_across_batches(spark, tmp_path):
-    lookups = PendingLookups(spark, str(tmp_path / "p"), "T", ["ID"], SPEC.values, max_attempts=4)
+    minute = [0]
+    lookups = PendingLookups(spark, str(tmp_path / "p"), "T", ["ID"], SPEC.values, 240, lambda: datetime(2024, 1, 1, 0, minute[0], tzinfo=timezone.utc))
     changes = parse_changes(frame(spark, [record(1, "U", 5, A="x"), record(2, "I", 6, A="y")]), SPEC)
     kv = lambda offset: spark.createDataFrame(
         [("T:1", "A", "x"), ("T:1", "KFK_OFFSET", str(offset))], "rk string, field string, value string")
     assert lookups.resolve(0, changes, kv(4)).isEmpty()
     nothing = changes.limit(0)
+    minute[0] = 1
     for _ in range(2):
         assert lookups.resolve(1, nothing, kv(4)).isEmpty()
     assert {(r.ID, r.attempts) for r in lookups.waiting(1, changes).collect()} == {(1, 2), (2, 2)}
-    assert [tuple(r) for r in lookups.resolve(2, nothing, kv(5)).collect()] == [(1, "x", None)]
-    assert lookups.resolve(3, nothing, kv(5)).isEmpty()
-    assert lookups.waiting(3, changes).isEmpty()
+    minute[0] = 2
+    assert [tuple(r) for r in lookups.resolve(3, nothing, kv(5)).collect()] == [(1, "x", None)]  # batch 2 was left out
+    assert [(r.ID, r.attempts) for r in lookups.waiting(3, changes).collect()] == [(2, 3)]
+    minute[0] = 4
+    assert lookups.resolve(4, nothing, kv(5)).isEmpty()
+    assert lookups.waiting(4, changes).isEmpty()
+    assert [(r.ID, r.n) for r in lookups.given_up(changes).collect()] == [(2, 4)]
+    assert lookups._batches(lookups.root) == [3, 4]
+
+
+def test_waiting_keys_get_no_tombstone(spark, tmp_path):
+    sent = []
+    waiting = spark.createDataFrame([(2,)], "ID bigint")
+    on_batch = enriched_batch(
+        SPEC, "st.OUT", select=lambda c: c, touched=lambda c, n: c.select("ID"),
+        result=lambda c, n: c.filter("ID = 1").select("ID"), key_columns=["ID"], value_columns=["ID"],
+        emit=lambda df: sent.extend(df.collect()), waiting=lambda n: waiting)
+    on_batch(frame(spark, [record(1, "I", 0, A="x"), record(2, "I", 1, A="y"), record(3, "I", 2, A="z")]), 0)
+    assert sorted((json.loads(r.key)["payload"]["ID"], r.value is None) for r in sent) == [(1, False), (3, True)]
+
+
+def test_reopened_store_gives_one_answer(spark, tmp_path):
+    root = str(tmp_path / "s")
+    image = spark.createDataFrame([(i, f"a{i}", i, -1, -1) for i in range(20)], "ID bigint, A string, B bigint, KFK_PTT int, KFK_OFFSET bigint")
+    ChangeStore(spark, root, SPEC, buckets=8).seed(image)
+    updates = parse_changes(frame(spark, [record(i, "U", i, A="new") for i in range(20)]), SPEC)
+    other = ChangeStore(spark, root, SPEC)
+    other.append(updates)
+    want = [(i, "new", i) for i in range(20)]
+    rows = lambda df: sorted((r.ID, r.A, r.B) for r in df.collect())
+    for buckets in (1, 8, 64):
+        store = ChangeStore(spark, root, SPEC, buckets=buckets)
+        for limit in (0, 5, 10_000):
+            assert rows(current_rows(finish_states(store.states(limit), SPEC), SPEC)) == want
+            assert rows(store.rows_of(image, limit)) == want
+    other.retire(other.compact())
+    assert rows(ChangeStore(spark, root, SPEC, buckets=8).image()) == want
+    assert rows(ChangeStore(spark, root, SPEC, buckets=8).rows_of(image)) == want
 
 
 def test_stats_number_steps_within_a_batch(spark):
@@ -213,4 +251,5 @@ def test_kafka_projection_and_options(spark):
     raw = spark.sql("SELECT binary('k') AS key, CAST(NULL AS BINARY) AS value, 't' AS topic, 1 AS partition, 2L AS offset")
     assert tuple(project_raw(raw).first()) == ("k", None, "t", 1, 2)
     options = kafka_options("h:1", "topic", "earliest", 5)
-    assert options["maxOffsetsPerTrigger"] == "5" and options["failOnDataLoss"] == "false"
+    assert options["maxOffsetsPerTrigger"] == "5" and options["failOnDataLoss"] == "true"
+    assert kafka_options("h:1", "topic", fail_on_data_loss=False)["failOnDataLoss"] == "false"

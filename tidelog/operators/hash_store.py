@@ -8,16 +8,19 @@ a field is written at most once, so mutations may be applied in any task.
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidelog.functions.keys import (
+    NULL_TEXT,
     composite_field,
     decode_part,
     hash_key,
     key_part,
+    key_parts,
     split_field,
 )
 from tidelog.functions.sentinels import decode_value
@@ -101,12 +104,12 @@ def folded_mutations(folded: DataFrame, spec: TableSpec, with_offsets: bool = Tr
 def apply_mutations(store: DataFrame, mutations: DataFrame) -> DataFrame:
     """Next content of the store.
 
-    Removed keys are joined away with the rows of one key spread over tasks; the
-    rest is one aggregate per ``(rk, field)``, in which a mutation outranks the
-    stored value.
+    Removed keys are joined away; the rest is one aggregate per ``(rk, field)``, in
+    which a mutation outranks the stored value. Only row hashes, of a few fields each,
+    are removed as a whole, so the join needs no spreading.
     """
     gone = mutations.filter(F.col("op") == DEL).select("rk").distinct()
-    kept = spread_join(store.select("rk", "field", "value"), gone, ["rk"], "left_anti", by=["field"])
+    kept = store.select("rk", "field", "value").join(gone, "rk", "left_anti")
     ranked = kept.select("rk", "field", F.struct(F.lit(0).alias("rank"), "value",
                                                  F.lit(SET).alias("op")).alias("m"))
     fresh = mutations.filter(F.col("op") != DEL).select(
@@ -134,12 +137,22 @@ def image_to_index(image: DataFrame, spec: TableSpec, pseudo_key: list[str],
 
 
 def decode_store(store: DataFrame, spec: TableSpec, schema: StructType) -> DataFrame:
-    """Typed rows of the primary hash: key columns, then the columns of ``schema``."""
+    """Typed rows of the primary hash: key columns, then the columns of ``schema``.
+
+    The store may hold secondary hashes too: a row's hash has exactly the key's
+    parts, and fields without an owner, of which one at least is in ``schema`` or a
+    column of the table. Keys that do not fit the key's types are not rows.
+    """
     prefix = f"{spec.name}:"
-    wide = store.filter(F.col("rk").startswith(prefix)).groupBy("rk").agg(
+    names = [*dict.fromkeys([*schema.names, *spec.columns, PARTITION, OFFSET])]
+    parts = key_parts(F.col("rk"), prefix)
+    own = store.filter(F.col("rk").startswith(prefix) & (F.size(parts) == len(spec.pk)) & F.col("field").isin(names))
+    wide = own.groupBy("rk").agg(
         *[F.max(F.when(F.col("field") == f.name, F.col("value"))).alias(f.name) for f in schema])
-    keys = [key_part(F.col("rk"), prefix, i).cast(f.dataType).alias(f.name)
-            for i, f in enumerate(spec.key)]
+    text = [key_part(F.col("rk"), prefix, i) for i in range(len(spec.pk))]
+    keys = [t.try_cast(f.dataType).alias(f.name) for t, f in zip(text, spec.key)]
+    fits = [t.try_cast(f.dataType).isNotNull() | (t == NULL_TEXT) for t, f in zip(text, spec.key)]
+    wide = wide.filter(reduce(Column.__and__, fits))
     return wide.select(*keys, *[from_stored_text(F.col(f.name), f.dataType).alias(f.name)
                                 for f in schema])
 
@@ -149,12 +162,16 @@ def index_rows(index: DataFrame, spec: TableSpec, pseudo_key: list[str],
     """Rows of a secondary hash: pseudo key, remaining key columns, ``schema`` columns.
 
     Composite fields are regrouped per original row, never per hash, so a pseudo
-    key shared by most rows stays spread over the tasks.
+    key shared by most rows stays spread over the tasks. Only keys with exactly the
+    pseudo key's parts and fields with exactly the owner's count: hashes of longer
+    pseudo keys begin alike.
     """
     owner, column = split_field(F.col("field"))
     prefix = f"{spec.name}:{':'.join(pseudo_key)}:"
     owner_columns = [c for c in spec.pk if c not in pseudo_key]
-    wide = (index.filter(F.col("rk").startswith(prefix))
+    hashes = index.filter(F.col("rk").startswith(prefix) & (F.size(key_parts(F.col("rk"), prefix)) == len(pseudo_key)))
+    owned = (owner != "") & (F.size(F.split(owner, ":")) == len(owner_columns)) if owner_columns else owner == ""
+    wide = (hashes.filter(owned)
             .withColumns({"__owner": owner, "__column": column})
             .groupBy("rk", "__owner")
             .agg(*[F.max(F.when(F.col("__column") == f.name, F.col("value"))).alias(f"__f_{f.name}")
@@ -217,7 +234,7 @@ def first_keys(store: DataFrame, prefix: str, limit: int = 10, key_width: int =
     below = store.filter(F.col("rk").startswith(prefix))
     chosen = below.select("rk").distinct().orderBy("rk").limit(limit)
     parts = [key_part(F.col("rk"), prefix, i).alias(f"PK{i}") for i in range(key_width)]
-    hit = spread_join(below, chosen, ["rk"], "left_semi", by=["field"])
+    hit = below.join(F.broadcast(chosen), "rk", "left_semi")  # at most ``limit`` keys
     return hit.select("rk", *parts, "field", "value")
 
 

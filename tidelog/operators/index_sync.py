@@ -18,12 +18,13 @@ def touched_before_after(image: DataFrame, folded: DataFrame, spec: TableSpec,
     """Per touched key the old row (``before``) and the new row (``after``), null if none.
 
     With ``max_keys`` the touched keys are counted first and, if few, filter the
-    image by broadcast, so that it is not shuffled.
+    image by broadcast, so that it is not shuffled. This evaluates ``folded`` once
+    more; persist it.
     """
     if max_keys:
-        folded, small = pin_small(folded, max_keys)
+        keys, small = pin_small(folded.select(*spec.pk), max_keys)
         if small:
-            image = image.join(F.broadcast(folded.select(*spec.pk)), spec.pk, "left_semi")
+            image = image.join(F.broadcast(keys), spec.pk, "left_semi")
     old = image.select(*spec.pk, F.struct(*spec.columns).alias("before"))
     pair = folded.join(old, spec.pk, "left")
 

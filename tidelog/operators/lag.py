@@ -12,6 +12,19 @@ REPEAT_PERIOD = 5
 BLOCK_SAMPLES = 100_000
 
 
+def log_number(lines: DataFrame) -> DataFrame:
+    """Add ``app`` and the number ``batch`` of the log file in ``path``; other files go."""
+    number = F.regexp_extract("path", r"/offsets/([0-9]+)(?:/|$)", 1)
+    return lines.filter(number != "").withColumns({
+        "app": F.regexp_extract("path", r"([^/]+)/offsets/", 1), "batch": number.cast("bigint")})
+
+
+def newest_log(numbered: DataFrame) -> DataFrame:
+    """Rows of the newest log file of every application."""
+    newest = numbered.groupBy("app").agg(F.max("batch").alias("batch"))
+    return numbered.join(newest, ["app", "batch"])
+
+
 def offset_log_entries(lines: DataFrame) -> DataFrame:
     """Offsets of the newest log file of every application.
 
@@ -19,13 +32,9 @@ def offset_log_entries(lines: DataFrame) -> DataFrame:
     Files hold a version line and metadata besides the offsets, so lines are
     chosen by content: a JSON map of topics to maps of partitions to offsets.
     """
-    number = F.regexp_extract("path", r"/offsets/([0-9]+)(?:/|$)", 1)
-    numbered = (lines.filter(number != "")
-                .select(F.regexp_extract("path", r"([^/]+)/offsets/", 1).alias("app"),
-                        number.cast("bigint").alias("batch"), "value"))
-    newest = numbered.groupBy("app").agg(F.max("batch").alias("batch"))
+    numbered = log_number(lines).select("app", "batch", "value")
     offsets = F.from_json("value", "map<string,map<string,bigint>>")
-    topics = (numbered.join(newest, ["app", "batch"])
+    topics = (newest_log(numbered)
               .filter(F.col("value").startswith("{"))
               .select("app", "batch", F.explode(offsets).alias("topic", "partitions")))
     return (topics.filter(F.col("partitions").isNotNull())
@@ -36,10 +45,23 @@ def offset_log_entries(lines: DataFrame) -> DataFrame:
 
 
 def consumer_lag(committed: DataFrame, ends: DataFrame) -> DataFrame:
-    """Lag per application, topic and partition; zero when the commit is ahead."""
-    lag = F.greatest(F.col("end_offset") - F.col("committed"), F.lit(0))
-    return (committed.join(ends, ["topic", "partition"])
-            .select("app", "topic", "partition", "committed", "end_offset", lag.alias("lag")))
+    """Lag per application, topic and partition; zero when the commit is ahead.
+
+    An application is shown for every partition with an end offset of the topics it
+    has committed to; where it has committed nothing, ``committed`` is null and the lag
+    counts from 0. A commit without an end offset, and a topic nobody commits to
+    (``app`` null), are shown with what is known.
+    """
+    apps = committed.select("topic", "app").distinct()
+    expected = ends.join(apps, "topic", "left")
+    c, e = committed.alias("c"), expected.alias("e")
+    same = [F.col(f"c.{k}").eqNullSafe(F.col(f"e.{k}")) for k in ("app", "topic", "partition")]
+    known = lambda k: F.coalesce(f"c.{k}", f"e.{k}").alias(k)
+    joined = c.join(e, same, "full_outer").select(
+        known("app"), known("topic"), known("partition"), "committed", "end_offset")
+    lag = F.when(F.col("end_offset").isNotNull(),
+                 F.greatest(F.col("end_offset") - F.coalesce("committed", F.lit(0)), F.lit(0)))
+    return joined.withColumn("lag", lag)
 
 
 def lag_by_topic(samples: DataFrame) -> DataFrame:

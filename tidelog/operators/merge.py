@@ -60,15 +60,18 @@ def merge_small_batch(image: DataFrame, changes: DataFrame, spec: TableSpec,
                       max_keys: int = SMALL_ROWS) -> DataFrame:
     """``merge_snapshot`` for a micro-batch against a large image.
 
-    When the batch touches at most ``max_keys`` keys the image is filtered by the
-    broadcast keys and never shuffled; otherwise this is the plain merge.
+    When the changes mention at most ``max_keys`` keys (checked before they are
+    folded) the image is filtered by the broadcast keys and never shuffled;
+    otherwise this is the plain merge. Only keys pass through the driver.
     """
-    folded = fold_changes(offset_gate(effective_changes(changes, spec), image), spec)
-    pinned, small = pin_small(folded, max_keys)
+    effective = effective_changes(changes, spec)
+    folded = fold_changes(offset_gate(effective, image), spec)
+    keys, small = pin_small(effective.select(*spec.pk).distinct(), max_keys)
     if not small:
         return overlay(image, folded, spec)
-    keys = F.broadcast(pinned.select(*spec.pk))
-    untouched = image.join(keys, spec.pk, "left_anti")
-    before = image.join(keys, spec.pk, "left_semi")
+    touched = keys.withColumn("__touched", F.lit(True))
+    marked = image.join(F.broadcast(touched), spec.pk, "left")
+    untouched = marked.filter("__touched IS NULL").drop("__touched")
+    before = marked.filter("__touched").drop("__touched")
     return untouched.select(*spec.pk, *spec.columns, PARTITION, OFFSET).unionByName(
-        overlay(before, pinned, spec))
+        overlay(before, folded, spec))

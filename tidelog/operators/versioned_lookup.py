@@ -7,12 +7,13 @@ that is tried again with the next micro-batch.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from datetime import datetime
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidelog.functions.keys import hash_key
-from tidelog.functions.skew import spread_join
 from tidelog.functions.stored_text import from_stored_text
 from tidelog.operators.filters import distinct_keys, latest_by_key
 from tidelog.spec import DELETE, OFFSET, OP, UPDATE
@@ -22,7 +23,8 @@ OK, MISSING, UNVERSIONED, STALE = "ok", "missing", "unversioned", "stale"
 
 def _hashes(store: DataFrame, wanted: DataFrame, schema: StructType) -> DataFrame:
     """One row per wanted hash that exists, with its typed columns and stored offset."""
-    hit = spread_join(store, wanted.select("rk"), ["rk"], "left_semi", by=["field"])
+    # a row's hash has a few fields: one shuffle by rk serves the join, the decoding and the join after it
+    hit = store.join(wanted.select("rk"), "rk", "left_semi")
     stored = lambda name: F.max(F.when(F.col("field") == name, F.col("value")))
     return hit.groupBy("rk").agg(
         F.lit(True).alias("__found"),
@@ -68,22 +70,40 @@ def ready_rows(looked_up: DataFrame, keys: list[str], schema: StructType) -> Dat
     return looked_up.filter(F.col("status") == OK).select(*keys, *columns)
 
 
-def pending_rows(looked_up: DataFrame, keys: list[str], previous: DataFrame | None,
-                 max_attempts: int) -> DataFrame:
-    """Keys to try again, with their attempt count.
+def waiting_rows(looked_up: DataFrame, keys: list[str], previous: DataFrame | None, now: datetime) -> DataFrame:
+    """Keys that are not ready, with ``attempts`` and the time of the first one, ``since``.
 
-    After ``max_attempts`` a missing key is taken as deleted and dropped; a stale
-    or unversioned one fails the job.
+    A change newer than the one that waited before starts anew.
     """
     waiting = looked_up.filter(F.col("status") != OK).select(*keys, OP, OFFSET, "status")
+    start = F.lit(now).cast("timestamp")
     if previous is None:
-        counted = waiting.withColumn("attempts", F.lit(1))
-    else:
-        before = previous.select(*keys, F.col("attempts").alias("__before"))
-        counted = (waiting.join(before, keys, "left")
-                   .withColumn("attempts", F.coalesce("__before", F.lit(0)) + 1).drop("__before"))
-    over = F.col("attempts") >= max_attempts
+        return waiting.withColumn("attempts", F.lit(1)).withColumn("since", start)
+    before = previous.select(*keys, OFFSET, F.col("attempts").alias("__before"), F.col("since").alias("__since"))
+    same = [F.col(f"w.{c}").eqNullSafe(F.col(f"b.{c}")) for c in (*keys, OFFSET)]
+    return waiting.alias("w").join(before.alias("b"), same, "left").select(
+        "w.*", (F.coalesce("__before", F.lit(0)) + 1).cast("int").alias("attempts"),
+        F.coalesce("__since", start).alias("since"))
+
+
+def expired(now: datetime, max_wait: float) -> Column:
+    """Whether a waiting key has waited ``max_wait`` seconds."""
+    return F.lit(now).cast("timestamp").cast("double") - F.col("since").cast("double") >= max_wait
+
+
+def pending_rows(waiting: DataFrame, keys: list[str], now: datetime, max_wait: float) -> DataFrame:
+    """Waiting keys to try again.
+
+    A missing key that has expired is taken as deleted and left out (see
+    ``expired_rows``); a stale or unversioned one fails the job.
+    """
+    over = expired(now, max_wait)
     failed = F.raise_error(F.concat_ws(" ", F.lit("hash store still"), "status", F.lit("for key"),
                                        *[F.col(k).cast("string") for k in keys]))
-    return (counted.filter(~(over & (F.col("status") == MISSING)))
+    return (waiting.filter(~(over & (F.col("status") == MISSING)))
             .withColumn("attempts", F.when(over, failed.cast("int")).otherwise(F.col("attempts"))))
+
+
+def expired_rows(waiting: DataFrame, now: datetime, max_wait: float) -> DataFrame:
+    """Keys given up: missing for ``max_wait`` seconds, so deleted."""
+    return waiting.filter(expired(now, max_wait) & (F.col("status") == MISSING))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import datetime
+import itertools
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,10 +24,11 @@ from tidelog.sinks.change_store import ChangeStore
 from tidelog.sinks.records import write_record_files
 from tidelog.sinks.tables import replace_slice_files, written_table
 from tidelog.sources import jdbc as jdbc_source
-from tidelog.sources.change_stream import RAW_SCHEMA
+from tidelog.sources.change_stream import file_stream, project_raw
 from tidelog.spec import OFFSET, OP, PARTITION, TableSpec
 from tidelog.streaming.business import enriched_batch
-from tidelog.streaming.micro_batch import run_micro_batches, sync_store
+from tidelog.streaming.micro_batch import run_micro_batches, sync_hashes, sync_store
+from tidelog.streaming.pending import PendingLookups
 from tidelog.streaming.stateful import stateful_sync
 from tidelog.streaming.stats import BatchStats
 
@@ -119,8 +123,9 @@ def deleted_keys(spark, sf_dir):
 
 @query
 def key_partition_check(spark, sf_dir):
-    """Keys seen in more than one partition: none."""
-    return split_keys(fx.changes(spark, sf_dir), EVT.pk)
+    """Keys seen in more than one partition, of a log dealt out by offset instead of key."""
+    dealt = fx.changes(spark, sf_dir).withColumn(PARTITION, (F.col(OFFSET) % fx.PARTITIONS).cast("int"))
+    return split_keys(dealt, EVT.pk)
 
 
 # -- fold and merge --------------------------------------------------------------
@@ -165,6 +170,20 @@ def merge_snapshot_versioned(spark, sf_dir):
     return store.image()
 
 
+@query
+def change_store_reopened(spark, sf_dir):
+    """The image of a store seeded, read and compacted through handles of different layouts."""
+    root = work_dir(spark, "store")
+    narrow, plain = (ChangeStore(spark, root, EVT, buckets=n) for n in (8, 64))
+    narrow.seed(fx.early_image(spark, sf_dir))
+    plain.append(written_table(fx.late_changes(spark, sf_dir)))
+    before = written_table(plain.image())
+    merged = plain.compact()
+    plain.retire(merged)
+    agreed = [before, narrow.image(), plain.rows_of(before.select(*EVT.pk))]
+    return agreed[0].intersectAll(agreed[1]).intersectAll(agreed[2])
+
+
 # -- keyed hashes ------------------------------------------------------------------
 
 def _stored(spark, sf_dir):
@@ -220,6 +239,33 @@ def kv_index_lookup(spark, sf_dir):
     return hash_store.index_lookup(_index(spark, sf_dir), sensors, EVT, ["TAG"], EVT.values)
 
 
+def _mixed(spark, sf_dir):
+    """One store with the row hashes and two secondary hashes whose keys begin alike."""
+    image = fx.image(fx.changes(spark, sf_dir))
+    parts = [hash_store.image_to_store(image, EVT)]
+    parts += [hash_store.image_to_index(image, EVT, key, ["AMT", "TAG", "PROPS"]) for key in INDEX_KEYS]
+    return written_table(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+
+
+@query
+def kv_decode_mixed(spark, sf_dir):
+    return hash_store.decode_store(_mixed(spark, sf_dir), EVT, EVT_STORED)
+
+
+@query
+def kv_index_unpack_mixed(spark, sf_dir):
+    return hash_store.index_rows(_mixed(spark, sf_dir), EVT, ["TAG"], EVT.values)
+
+
+@query
+def kv_index_apply(spark, sf_dir):
+    """The secondary hash of the early image, brought up to date by field writes and deletes."""
+    image = fx.early_image(spark, sf_dir)
+    folded = fold.fold_changes(merge.offset_gate(fx.late_changes(spark, sf_dir), image), EVT)
+    changed = index_sync.index_mutations(index_sync.touched_before_after(image, folded, EVT), EVT, [["TAG"]], INDEX_VALUES)
+    return hash_store.apply_mutations(hash_store.image_to_index(image, EVT, ["TAG"], INDEX_VALUES), changed)
+
+
 @query
 def kv_count(spark, sf_dir):
     return hash_store.count_keys(_stored(spark, sf_dir), "EVT:")
@@ -436,6 +482,17 @@ def jdbc_key_lookup(spark, sf_dir):
         {"s_nationkey": '"c_nationkey"'}, ['"c_custkey"', '"c_nationkey"'], keys_per_query=10)
 
 
+@query
+def jdbc_bulk_copy(spark, sf_dir):
+    """A table copied to another one over parallel connections and stamped as a seed."""
+    options = _database(spark)
+    customer = fx.table(spark, sf_dir, "customer").select("c_custkey", F.col("c_acctbal").cast("decimal(12,2)").alias("c_acctbal"))
+    jdbc_sink.append(customer, options, "customer")
+    jdbc_sink.copy_table(spark, options, "customer", options, "seeded", split_column='"c_acctbal"', partitions=4,
+                         seeded_at=LOAD_TIME)
+    return jdbc_source.read_table(spark, options, "seeded").withColumn("KFK_PRDC_TS", F.col("KFK_PRDC_TS").cast("timestamp_ntz"))
+
+
 @query
 def initial_load_stamped(spark, sf_dir):
     customer = fx.table(spark, sf_dir, "customer").select("c_custkey", "c_name")
@@ -465,7 +522,10 @@ def _log_files(spark, sf_dir, parts: int) -> str:
 
 
 def _stream(spark, path, files: int):
-    return spark.readStream.schema(RAW_SCHEMA).option("maxFilesPerTrigger", files).parquet(path)
+    """The files as a topic delivers its records, projected to the change columns."""
+    records = file_stream(spark, path, files).selectExpr(
+        "CAST(KEY AS BINARY) AS key", "CAST(VALUE AS BINARY) AS value", "topic", "partition", "offset")
+    return project_raw(records)
 
 
 @query
@@ -476,6 +536,47 @@ def stream_sync_image(spark, sf_dir):
     return store.image()
 
 
+@query
+def stream_sync_hashes(spark, sf_dir):
+    """Row hashes and a secondary hash kept in step with the log: the mutations of all batches, applied."""
+    target, batches = work_dir(spark, "mutations"), itertools.count()
+    store = ChangeStore(spark, work_dir(spark, "store"), EVT)
+    # one file after the other, so that the batches come in the order of the log
+    path, raw = work_dir(spark, "topic"), written_table(fx.raw_changes(spark, sf_dir))
+    bounds = [fx.log_position(spark, sf_dir, tenths) for tenths in (0, 3, 5, 8, 10)]
+    for low, high in zip(bounds[:-1], bounds[1:]):
+        raw.filter(F.col("offset").between(low, high - 1)).coalesce(1).write.mode("append").parquet(path)
+    stream = _stream(spark, path, 1)
+    sync_hashes(stream, EVT, store, work_dir(spark, "offsets"),
+                lambda m: m.withColumn("n", F.lit(next(batches))).write.mode("append").parquet(target),
+                [["TAG"]], ["AMT", "TAG"], compact_every=3).awaitTermination()
+    written = spark.read.parquet(target)
+    content = spark.createDataFrame([], "rk string, field string, value string")
+    for n in range(next(batches)):
+        content = written_table(hash_store.apply_mutations(content, written.filter(F.col("n") == n).drop("n")))
+    return content
+
+
+@query
+def stream_pending_lookups(spark, sf_dir):
+    """Keys looked up in a store that lags behind: the status of what was ready, late or given up.
+
+    Four batches a minute apart see the store of the early image, then that of the final
+    one; missing keys are given up after two minutes.
+    """
+    clock = iter([datetime.datetime(2024, 1, 1, 0, n, tzinfo=datetime.timezone.utc) for n in range(4)])
+    pending = PendingLookups(spark, work_dir(spark, "pending"), EVT.name, EVT.pk, EVT.values, 120, lambda: next(clock))
+    inserts = written_table(fx.changes(spark, sf_dir).filter(F.col(OP) == "I"))
+    early = hash_store.image_to_store(fx.early_image(spark, sf_dir), EVT)
+    final = hash_store.image_to_store(written_table(fx.image(fx.changes(spark, sf_dir))), EVT)
+    empty = inserts.limit(0)
+    ready = [written_table(pending.resolve(n, changes, stored)) for n, changes, stored in [
+        (0, inserts, early), (1, empty, final), (2, empty, final), (3, empty, final)]]
+    rows = [r.select("user_id", F.lit(n).alias("batch"), F.lit("ready").alias("outcome")) for n, r in enumerate(ready)]
+    rows.append(pending.given_up(inserts).select("user_id", F.col("n").alias("batch"), F.lit("expired").alias("outcome")))
+    return reduce(DataFrame.unionByName, rows)
+
+
 @query
 def stream_keyed_state(spark, sf_dir):
     """The same image from the state store: newest emitted row per key, if alive."""
@@ -498,8 +599,8 @@ def stream_business_records(spark, sf_dir):
     on_batch = enriched_batch(
         EVT, "stage.CUSTOMER",
         select=lambda changes: filters.effective_changes(changes, EVT),
-        touched=lambda changes: changes.select("user_id"),
-        result=lambda changes: enrich.enrich_latest(changes, customer, EVT.pk).select(*customer.columns),
+        touched=lambda changes, n: changes.select("user_id"),
+        result=lambda changes, n: enrich.enrich_latest(changes, customer, EVT.pk).select(*customer.columns),
         key_columns=["user_id"], value_columns=customer.columns,
         emit=lambda sent: write_record_files(sent, target))
     stream = _stream(spark, _log_files(spark, sf_dir, 4), 2)

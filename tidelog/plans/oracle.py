@@ -165,6 +165,14 @@ _MERGED_ROWS = (f"WITH {_IMG},\n{_GATED},\n{_fold('f2', 'gated')},\n{_BEFORE_AFT
                 "SELECT ba.user_id, n_amt, n_tag, n_props, f2.ptt, f2.off "
                 "FROM ba JOIN f2 USING (user_id) WHERE ba.alive")
 
+
+def _tag_hash(rows: str, fields: list[str]) -> str:
+    """Secondary hash by TAG of a table expression."""
+    return " UNION ALL ".join(
+        f"SELECT 'EVT:TAG:' || COALESCE(TAG, 'None') AS rk, user_id || ':{f}' AS field, "
+        f"COALESCE(CAST({f} AS VARCHAR), 'None') AS value FROM {rows} m" for f in fields)
+
+
 _ENCODED_AMT = "CASE WHEN op = 'U' AND amt_p AND amt IS NULL THEN CAST(-999999999 AS DECIMAL(12,2)) ELSE amt END"
 
 
@@ -192,8 +200,9 @@ def all_sql() -> dict[str, str]:
         "deleted_keys": cl + "SELECT user_id, ptt AS KFK_PTT, off AS KFK_OFFSET FROM (SELECT *, "
                              "ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY off DESC) AS rn FROM cl) "
                              "WHERE rn = 1 AND op = 'D'",
-        "key_partition_check": cl + "SELECT user_id, MIN(ptt) AS first_partition, MAX(ptt) AS last_partition "
-                                    "FROM cl GROUP BY user_id HAVING MIN(ptt) <> MAX(ptt)",
+        "key_partition_check": "SELECT user_id, CAST(MIN(event_id % 6) AS INTEGER) AS first_partition, "
+                               "CAST(MAX(event_id % 6) AS INTEGER) AS last_partition "
+                               "FROM events GROUP BY user_id HAVING MIN(event_id % 6) <> MAX(event_id % 6)",
         "max_offset_per_partition": img + "SELECT ptt AS KFK_PTT, MAX(off) AS MAX_KFK_OFFSET FROM img "
                                           "WHERE ptt IS NOT NULL GROUP BY ptt",
         "offset_gate": f"WITH {_IMG}, {_GATED} SELECT {_FLAT} FROM gated",
@@ -201,6 +210,7 @@ def all_sql() -> dict[str, str]:
         "merge_snapshot": _MERGED_ROWS,
         "merge_snapshot_small_batch": _MERGED_ROWS,
         "merge_snapshot_versioned": _FOLDED_ROWS,
+        "change_store_reopened": _FOLDED_ROWS,
         "kv_mutations": f"WITH {_CL}, {_fold('f1', 'cl')} {_mutations('f1')}",
         "kv_row_mutations":
             "SELECT 'CUSTOMER:' || c_nationkey AS rk, c_custkey || ':c_name' AS field, "
@@ -216,6 +226,11 @@ def all_sql() -> dict[str, str]:
                               + _index_mutations(),
         "kv_index_unpack": now + "SELECT 'EVT:TAG:' || COALESCE(tag, 'None') AS rk, tag AS TAG, user_id, "
                                  "amt AS AMT, props AS PROPS FROM now",
+        "kv_decode_mixed": now + "SELECT user_id, amt AS AMT, tag AS TAG, props AS PROPS, "
+                                 "CAST(ptt AS BIGINT) AS KFK_PTT, off AS KFK_OFFSET FROM now",
+        "kv_index_unpack_mixed": now + "SELECT 'EVT:TAG:' || COALESCE(tag, 'None') AS rk, tag AS TAG, user_id, "
+                                       "amt AS AMT, props AS PROPS FROM now",
+        "kv_index_apply": _tag_hash(f"({_MERGED_ROWS})", ["AMT", "PROPS"]),
         "kv_index_lookup": now + "SELECT 'EVT:TAG:view' AS rk, tag AS TAG, user_id, amt AS AMT, "
                                  "props AS PROPS FROM now WHERE tag = 'view'",
         "kv_count": img + "SELECT CAST(COUNT(*) AS BIGINT) AS keys FROM img",
@@ -273,6 +288,9 @@ def all_sql() -> dict[str, str]:
                               "WHERE c_mktsegment = 'MACHINERY'",
         "jdbc_key_lookup": "SELECT c_custkey, c_nationkey FROM customer "
                            "WHERE c_nationkey IN (SELECT s_nationkey FROM supplier)",
+        "jdbc_bulk_copy": "SELECT c_custkey, CAST(c_acctbal AS DECIMAL(12,2)) AS c_acctbal, "
+                          "CAST(-1 AS INTEGER) AS KFK_PTT, CAST(-1 AS BIGINT) AS KFK_OFFSET, "
+                          "TIMESTAMP '2024-11-11 00:00:00' AS KFK_PRDC_TS FROM customer",
         "initial_load_stamped": "SELECT c_custkey, c_name, CAST(-1 AS INTEGER) AS KFK_PTT, "
                                 "CAST(-1 AS BIGINT) AS KFK_OFFSET, "
                                 "TIMESTAMP '2024-11-11 00:00:00' AS KFK_PRDC_TS FROM customer",
@@ -281,6 +299,14 @@ def all_sql() -> dict[str, str]:
                               "WHERE c_mktsegment = 'MACHINERY'",
         "stream_sync_image": _FOLDED_ROWS,
         "stream_keyed_state": _FOLDED_ROWS,
+        "stream_sync_hashes": "SELECT rk, field, value FROM (" + now + _store("now") + ") WHERE field <> 'PROPS' AND NOT (field = 'TAG' AND value = 'None') "
+                              "UNION ALL " + _tag_hash(f"({_FOLDED_ROWS})", ["AMT", "TAG"]),
+        "stream_pending_lookups": f"""WITH early AS ({img} SELECT user_id FROM img),
+            final AS ({now} SELECT user_id FROM now),
+            asked AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'signup')
+            SELECT user_id, CAST(CASE WHEN user_id IN (FROM early) THEN 0 WHEN user_id IN (FROM final) THEN 1 ELSE 2 END AS INTEGER) AS batch,
+                   CASE WHEN user_id IN (FROM early) OR user_id IN (FROM final) THEN 'ready' ELSE 'expired' END AS outcome
+              FROM asked""",
         "stream_business_records": cl + f"""SELECT DISTINCT {_CUSTOMER_KEY} AS key,
             CASE WHEN c_custkey IS NOT NULL THEN {_CUSTOMER_VALUE} END AS value
             FROM (SELECT DISTINCT user_id FROM cl WHERE {_EFFECTIVE}) t
@@ -292,8 +318,12 @@ def all_sql() -> dict[str, str]:
         "consumer_lag": f"WITH {_COMMITTED}, " + """ends AS (
             SELECT 't' || (event_id % 3) AS topic, CAST(user_id % 6 AS INTEGER) AS "partition",
                    MAX(event_id) AS end_offset FROM events GROUP BY 1, 2)
-            SELECT app, topic, "partition", committed, end_offset, end_offset - committed AS lag
-              FROM committed JOIN ends USING (topic, "partition")""",
+            SELECT app, topic, "partition", committed, end_offset,
+                   CASE WHEN end_offset IS NOT NULL THEN greatest(end_offset - coalesce(committed, 0), 0) END AS lag
+              FROM (SELECT app, topic, "partition", committed FROM committed) FULL JOIN
+                   (SELECT app, topic, "partition", end_offset
+                      FROM ends LEFT JOIN (SELECT DISTINCT app, topic FROM committed) USING (topic))
+                   USING (app, topic, "partition")""",
         "lag_by_topic": f"WITH {_LAG} " + """SELECT consumer, topic, FALSE AS is_total,
             CAST(SUM(current_lag) AS BIGINT) AS lag FROM lag GROUP BY 1, 2 UNION ALL
             SELECT consumer, NULL, TRUE, CAST(SUM(current_lag) AS BIGINT) FROM lag GROUP BY 1""",

@@ -5,7 +5,8 @@ image is never rewritten for it. Reading combines the base with all deltas. As
 combining is idempotent, a batch written twice, a delta already merged into the base,
 or an interrupted compaction does not change the result, so no commit log is needed
 and nothing is overwritten. ``compact`` merges the deltas into a new base, partitioned
-by a bucket of the key so that the lookup of few keys reads few buckets.
+by a bucket of the key so that the lookup of few keys reads few buckets. The number of
+buckets is part of a base's name; whoever opens the store reads each base by its own.
 """
 
 from __future__ import annotations
@@ -30,10 +31,11 @@ from tidelog.operators.fold import (
 from tidelog.spec import OFFSET, PARTITION, TableSpec
 
 BUCKET = "__bucket"
-FILES_PER_BUCKET = 4
 
 
 class ChangeStore:
+    """``buckets`` is the layout of the bases this handle writes; it does not affect reading."""
+
     def __init__(self, spark: SparkSession, root: str, spec: TableSpec, buckets: int = 64):
         self.spark = spark
         self.root = root.rstrip("/")
@@ -61,8 +63,8 @@ class ChangeStore:
                StructField(DELETED_AT, LongType()), StructField(LIVE_AT, LongType())]
             + [StructField(f.name, at(f)) for f in self.spec.values])
 
-    def _bucket(self):
-        return F.pmod(F.xxhash64(*self.spec.pk), F.lit(self.buckets)).cast("int")
+    def _bucket(self, buckets: int):
+        return F.pmod(F.xxhash64(*self.spec.pk), F.lit(buckets)).cast("int")
 
     # -- writing ---------------------------------------------------------
     def _cast(self, states: DataFrame) -> DataFrame:
@@ -71,10 +73,11 @@ class ChangeStore:
 
     def _write_base(self, states: DataFrame) -> None:
         bases = self._complete("base")
-        name = f"{int(bases[-1]) + 1 if bases else 0:08d}"
-        part = F.pmod(F.hash(*self.spec.pk), F.lit(FILES_PER_BUCKET))
-        (self._cast(states).withColumn(BUCKET, self._bucket()).repartition(BUCKET, part)
-         .write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.root}/base/{name}"))
+        number = int(bases[-1].partition("-")[0]) + 1 if bases else 0
+        # adaptive execution sizes the files: large buckets are split, small ones share a task
+        (self._cast(states).withColumn(BUCKET, self._bucket(self.buckets)).hint("rebalance", BUCKET)
+         .write.mode("overwrite").partitionBy(BUCKET)
+         .parquet(f"{self.root}/base/{number:08d}-{self.buckets}"))
 
     def seed(self, image: DataFrame) -> None:
         """Take in a table image (offsets -1 if it was bulk loaded)."""
@@ -100,12 +103,15 @@ class ChangeStore:
             files.delete(path, True)
 
     # -- reading ---------------------------------------------------------
-    def _base(self) -> DataFrame | None:
+    def _base(self) -> tuple[DataFrame, int | None] | None:
+        """The newest base and its number of buckets, None if its name does not tell it."""
         bases = self._complete("base")
         if not bases:
             return None
         schema = self._state_schema().add(StructField(BUCKET, IntegerType()))
-        return self.spark.read.schema(schema).parquet(f"{self.root}/base/{bases[-1]}")
+        layout = bases[-1].partition("-")[2]
+        base = self.spark.read.schema(schema).parquet(f"{self.root}/base/{bases[-1]}")
+        return base, int(layout) if layout else None
 
     def _deltas(self) -> DataFrame | None:
         deltas = self._complete("delta")
@@ -114,30 +120,31 @@ class ChangeStore:
         return self.spark.read.schema(self._state_schema()).parquet(
             *[f"{self.root}/delta/{n}" for n in deltas])
 
-    def _base_of(self, base: DataFrame, keys: DataFrame) -> DataFrame:
+    def _base_of(self, base: DataFrame, buckets: int | None, keys: DataFrame) -> DataFrame:
         """Base rows of pinned keys, reading only the buckets they fall into."""
-        hit = [r[0] for r in keys.select(self._bucket().alias("b")).distinct().collect()]
-        return base.filter(F.col(BUCKET).isin(hit)).drop(BUCKET).join(
-            F.broadcast(keys), self.spec.pk, "left_semi")
+        if buckets:
+            hit = [r[0] for r in keys.select(self._bucket(buckets).alias("b")).distinct().collect()]
+            base = base.filter(F.col(BUCKET).isin(hit))
+        return base.drop(BUCKET).join(F.broadcast(keys), self.spec.pk, "left_semi")
 
     def states(self, max_keys: int = SMALL_ROWS) -> DataFrame:
         """One state per key, deleted keys included.
 
         While the deltas touch at most ``max_keys`` keys (checked), the untouched
-        part of the base is passed through without a shuffle.
+        part of the base is passed through without a shuffle. Only keys are counted and
+        broadcast; the rows of the deltas stay on the executors.
         """
-        base, deltas = self._base(), self._deltas()
+        found, deltas = self._base(), self._deltas()
         if deltas is None:
             empty = self.spark.createDataFrame([], self._state_schema())
-            return empty if base is None else base.drop(BUCKET)
-        fresh = self._cast(combine_states(deltas, self.spec))
-        if base is None:
-            return fresh
-        pinned, small = pin_small(fresh, max_keys)
+            return empty if found is None else found[0].drop(BUCKET)
+        if found is None:
+            return self._cast(combine_states(deltas, self.spec))
+        base, buckets = found
+        keys, small = pin_small(deltas.select(*self.spec.pk).distinct(), max_keys)
         if not small:
-            return combine_states(base.drop(BUCKET).unionByName(deltas), self.spec)
-        keys = pinned.select(*self.spec.pk)
-        touched = combine_states(self._base_of(base, keys).unionByName(pinned), self.spec)
+            return self._cast(combine_states(base.drop(BUCKET).unionByName(deltas), self.spec))
+        touched = combine_states(self._base_of(base, buckets, keys).unionByName(deltas), self.spec)
         untouched = base.drop(BUCKET).join(F.broadcast(keys), self.spec.pk, "left_anti")
         return untouched.unionByName(self._cast(touched))
 
@@ -154,8 +161,8 @@ class ChangeStore:
         wanted, small = pin_small(keys.select(*self.spec.pk).distinct(), max_keys)
         if not small:
             return self.image().join(wanted, self.spec.pk, "left_semi")
-        base, deltas = self._base(), self._deltas()
-        parts = [] if base is None else [self._base_of(base, wanted)]
+        found, deltas = self._base(), self._deltas()
+        parts = [] if found is None else [self._base_of(*found, wanted)]
         if deltas is not None:
             parts.append(deltas.join(F.broadcast(wanted), self.spec.pk, "left_semi"))
         parts = parts or [self.spark.createDataFrame([], self._state_schema())]

@@ -15,12 +15,14 @@ def project_raw(records: DataFrame) -> DataFrame:
 
 
 def kafka_options(servers: str, topics: str, starting: str = "latest",
-                  max_offsets: int = MAX_OFFSETS_PER_TRIGGER) -> dict[str, str]:
+                  max_offsets: int = MAX_OFFSETS_PER_TRIGGER,
+                  fail_on_data_loss: bool = True) -> dict[str, str]:
+    """Reader options; with ``fail_on_data_loss=False`` offsets the topic has lost are passed over."""
     return {
         "kafka.bootstrap.servers": servers,
         "subscribe": topics,
         "startingOffsets": starting,
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
         "maxOffsetsPerTrigger": str(max_offsets),
     }
 

@@ -39,21 +39,32 @@ def sync_store(stream: DataFrame, spec: TableSpec, store: ChangeStore, checkpoin
     Every ``compact_every`` batches the deltas are merged; what a compaction replaced
     is deleted at the next one, so that readers have that long to finish.
     """
-    replaced: list[str] = []
+    compact = _compaction(store, compact_every)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         store.append(parse_changes(batch, spec))
-        if (batch_id + 1) % compact_every == 0:
+        compact(batch_id)
+
+    return run_micro_batches(stream, on_batch, checkpoint, continuous)
+
+
+def _compaction(store: ChangeStore, every: int) -> Callable[[int], None]:
+    """Merge the deltas every so many batches; delete what the merge before has replaced."""
+    replaced: list[str] = []
+
+    def step(batch_id: int) -> None:
+        if (batch_id + 1) % every == 0:
             merged = store.compact()
             store.retire(replaced)
             replaced[:] = [name for name in merged if name not in replaced]
 
-    return run_micro_batches(stream, on_batch, checkpoint, continuous)
+    return step
 
 
 def sync_hashes(stream: DataFrame, spec: TableSpec, store: ChangeStore, checkpoint: str,
                 write: Callable[[DataFrame], None], pseudo_keys: list[list[str]] | None = None,
-                value_columns: list[str] | None = None, continuous: bool = False) -> StreamingQuery:
+                value_columns: list[str] | None = None, continuous: bool = False,
+                compact_every: int = COMPACT_EVERY) -> StreamingQuery:
     """Mirror a change stream into a hash store, with optional secondary hashes.
 
     ``store`` keeps the table state and gives the old rows of the touched keys.
@@ -61,18 +72,22 @@ def sync_hashes(stream: DataFrame, spec: TableSpec, store: ChangeStore, checkpoi
     ``tidelog.sinks.hash_writer.write_mutations``. The first batch after a start is
     gated by the offsets the store holds: it may have been applied before. Mutations
     are written before the store moves on, so an interrupted batch is derived anew.
+    The changes of a key must come in the order of their offsets, as a topic gives them.
+    The store keeps all columns of ``spec``; ``value_columns`` only narrows what is
+    written. Its deltas are merged every ``compact_every`` batches.
     """
     first = True
     pseudo_keys = pseudo_keys or []
     value_columns = value_columns or spec.columns
     kept = sync_columns(spec, pseudo_keys, value_columns)
+    compact = _compaction(store, compact_every)
     narrow = TableSpec(spec.name, spec.key, type(spec.values)([spec.values[c] for c in kept]))
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         nonlocal first
-        parsed = parse_changes(batch, narrow)
+        parsed = parse_changes(batch, spec)
         changes = (offset_gate(parsed, store.states()) if first else parsed).persist()
-        folded = fold_changes(changes, narrow).persist()
+        folded = fold_changes(changes, spec).persist()
         try:
             if pseudo_keys:
                 before = store.rows_of(folded)
@@ -81,6 +96,7 @@ def sync_hashes(stream: DataFrame, spec: TableSpec, store: ChangeStore, checkpoi
             write(folded_mutations(folded, narrow))
             store.append(changes)
             first = False
+            compact(batch_id)
         finally:
             folded.unpersist()
             changes.unpersist()
