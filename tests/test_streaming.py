@@ -11,7 +11,7 @@ from tidelog.operators.fold import current_rows, finish_states, fold_changes
 from tidelog.operators.parse import parse_changes
 from tidelog.operators.records import connect_records
 from tidelog.sinks.change_store import ChangeStore
-from tidelog.sinks.hash_writer import write_mutations
+from tidelog.sinks.hash_writer import fetch_hashes, write_mutations
 from tidelog.sinks.records import write_record_files
 from tidelog.sources.change_stream import file_stream, kafka_options, project_raw
 from tidelog.streaming.business import enriched_batch
@@ -63,6 +63,9 @@ class FileClient:
     def delete(self, *keys):
         self._change(lambda d: [d.pop(k, None) for k in keys])
 
+    def hgetall(self, key):
+        return self.content().get(key, {})
+
     def content(self):
         return json.load(open(self.path)) if os.path.exists(self.path) else {}
 
@@ -240,6 +243,15 @@ def test_reopened_store_gives_one_answer(spark, tmp_path):
     assert rows(ChangeStore(spark, root, SPEC, buckets=8).rows_of(image)) == want
 
 
+def test_external_store_is_read_on_the_executors(spark, tmp_path):
+    path = str(tmp_path / "store.json")
+    with open(path, "w") as f:
+        json.dump({"T:1": {"A": "x", "KFK_OFFSET": "5"}, "T:2": {"A": "y"}, "U:1": {"A": "z"}}, f)
+    wanted = spark.createDataFrame([("T:1",), ("T:1",), ("T:2",), ("T:9",), (None,)], "rk string")
+    got = fetch_hashes(wanted, connector(path))
+    assert sorted(tuple(r) for r in got.collect()) == [("T:1", "A", "x"), ("T:1", "KFK_OFFSET", "5"), ("T:2", "A", "y")]
+
+
 def test_stats_number_steps_within_a_batch(spark):
     stats = BatchStats("APP")
     for epoch, message in [(0, "a"), (0, "b"), (1, "a")]:

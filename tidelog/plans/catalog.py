@@ -21,7 +21,7 @@ from tidelog.plans.fixtures import EVT
 from tidelog.session import configure, work_dir
 from tidelog.sinks import jdbc as jdbc_sink
 from tidelog.sinks.change_store import ChangeStore
-from tidelog.sinks.records import write_record_files
+from tidelog.sinks.records import write_csv, write_record_files
 from tidelog.sinks.tables import replace_slice_files, written_table
 from tidelog.sources import jdbc as jdbc_source
 from tidelog.sources.change_stream import file_stream, project_raw
@@ -30,7 +30,7 @@ from tidelog.streaming.business import enriched_batch
 from tidelog.streaming.micro_batch import run_micro_batches, sync_hashes, sync_store
 from tidelog.streaming.pending import PendingLookups
 from tidelog.streaming.stateful import stateful_sync
-from tidelog.streaming.stats import BatchStats
+from tidelog.streaming.stats import STATS_KEY, BatchStats
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -580,12 +580,17 @@ def stream_pending_lookups(spark, sf_dir):
 @query
 def stream_keyed_state(spark, sf_dir):
     """The same image from the state store: newest emitted row per key, if alive."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    target = work_dir(spark, "emitted")
-    changes = parse_changes(_stream(spark, _log_files(spark, sf_dir, 8), 4), EVT)
-    run_micro_batches(stateful_sync(changes, EVT),
-                      lambda rows, n: rows.withColumn("batch", F.lit(n)).write.mode("append").parquet(target),
-                      work_dir(spark, "offsets")).awaitTermination()
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    spark.conf.set(provider, ROCKSDB)
+    try:
+        target = work_dir(spark, "emitted")
+        changes = parse_changes(_stream(spark, _log_files(spark, sf_dir, 8), 4), EVT)
+        run_micro_batches(stateful_sync(changes, EVT),
+                          lambda rows, n: rows.withColumn("batch", F.lit(n)).write.mode("append").parquet(target),
+                          work_dir(spark, "offsets")).awaitTermination()
+    finally:
+        spark.conf.set(provider, before)
     emitted = filters.latest_by_key(spark.read.parquet(target), EVT.pk, F.col("batch"))
     return emitted.filter(fold.ALIVE).drop(fold.ALIVE, "batch")
 
@@ -626,6 +631,26 @@ def batch_stats(spark, sf_dir):
         F.sum("ROW_CNT").alias("ROW_CNT"))
 
 
+@query
+def batch_stats_records(spark, sf_dir):
+    """The statistics of one pass over the log as records of a topic."""
+    stats = BatchStats("BATCH_STATS", "log", lambda: datetime.datetime(2024, 11, 11, tzinfo=datetime.timezone.utc))
+    read = stats.observe(0, "read", fx.changes(spark, sf_dir))
+    kept = stats.observe(0, "effective", filters.effective_changes(read, EVT))
+    kept.write.format("noop").mode("overwrite").save()
+    return records.connect_records(stats.flush(spark), "stage.STATS", STATS_KEY, [*STATS_KEY, "STEM_NUM", "MSG", "ROW_CNT"])
+
+
+@query
+def csv_round_trip(spark, sf_dir):
+    """A table replaced as headerless CSV files and read back."""
+    path = work_dir(spark, "csv")
+    parts = fx.table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
+    write_csv(parts.limit(0), path)
+    write_csv(parts, path)
+    return spark.read.schema(parts.schema).csv(path)
+
+
 # -- lag ---------------------------------------------------------------------------------------
 
 @query

@@ -157,6 +157,18 @@ _CUSTOMER_VALUE = _record(
     + ',{"field":"c_nationkey","type":"int64","optional":true}]}',
     "json_object('user_id', user_id, 'c_name', c_name, 'c_nationkey', c_nationkey)::VARCHAR")
 
+_STATS_FIELDS = ('{"field":"APP_NAME","type":"string","optional":true},'
+                 '{"field":"CASE_NM","type":"string","optional":true},'
+                 '{"field":"EPOCH_ID","type":"int64","optional":true}')
+_STATS_KEY = _record(
+    '{"type":"struct","optional":false,"name":"stage.STATS.Key","fields":[' + _STATS_FIELDS + "]}",
+    "json_object('APP_NAME', 'BATCH_STATS', 'CASE_NM', 'log', 'EPOCH_ID', 0)::VARCHAR")
+_STATS_VALUE = _record(
+    '{"type":"struct","optional":false,"name":"stage.STATS.Value","fields":[' + _STATS_FIELDS
+    + ',{"field":"STEM_NUM","type":"int64","optional":true},{"field":"MSG","type":"string","optional":true}'
+    + ',{"field":"ROW_CNT","type":"int64","optional":true}]}',
+    "json_object('APP_NAME', 'BATCH_STATS', 'CASE_NM', 'log', 'EPOCH_ID', 0, 'STEM_NUM', n, 'MSG', msg, 'ROW_CNT', c)::VARCHAR")
+
 _FOLDED_ROWS = f"WITH {_NOW} SELECT {_ROW} FROM now"
 _MERGED_ROWS = (f"WITH {_IMG},\n{_GATED},\n{_fold('f2', 'gated')},\n{_BEFORE_AFTER}\n"
                 "SELECT img.user_id, img.amt AS AMT, img.tag AS TAG, img.props AS PROPS, "
@@ -314,6 +326,10 @@ def all_sql() -> dict[str, str]:
         "batch_stats": cl + f"""SELECT 'BATCH_STATS' AS APP_NAME, 'read' AS MSG, CAST(1 AS INTEGER) AS STEM_NUM,
             CAST(COUNT(*) AS BIGINT) AS ROW_CNT FROM cl UNION ALL
             SELECT 'BATCH_STATS', 'effective', 2, CAST(COUNT(*) AS BIGINT) FROM cl WHERE {_EFFECTIVE}""",
+        "batch_stats_records": cl + f"""SELECT {_STATS_KEY} AS key, {_STATS_VALUE} AS value FROM (
+            SELECT 1 AS n, 'read' AS msg, COUNT(*) AS c FROM cl UNION ALL
+            SELECT 2, 'effective', COUNT(*) FROM cl WHERE {_EFFECTIVE})""",
+        "csv_round_trip": "SELECT p_partkey, p_name, p_size FROM part",
         "offset_log_latest": f"WITH {_COMMITTED} SELECT * FROM committed",
         "consumer_lag": f"WITH {_COMMITTED}, " + """ends AS (
             SELECT 't' || (event_id % 3) AS topic, CAST(user_id % 6 AS INTEGER) AS "partition",

@@ -1,10 +1,11 @@
-"""Writing mutation frames to an external hash store from the executors."""
+"""Writing mutation frames to an external hash store, and reading hashes from it, on the executors."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from typing import Protocol
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +18,7 @@ class HashClient(Protocol):
     def hset(self, key: str, mapping: dict[str, str]) -> object: ...
     def hdel(self, key: str, *fields: str) -> object: ...
     def delete(self, *keys: str) -> object: ...
+    def hgetall(self, key: str) -> dict[str, str]: ...
 
 
 def write_mutations(mutations: DataFrame, connect: Callable[[], HashClient], chunk: int = 1000) -> None:
@@ -47,8 +49,30 @@ def write_mutations(mutations: DataFrame, connect: Callable[[], HashClient], chu
                 client.hset(key, mapping=mapping)
 
     is_key_delete = F.col("op") == DEL
-    mutations.filter(is_key_delete).select("rk").distinct().foreachPartition(delete_keys)
-    mutations.filter(~is_key_delete).foreachPartition(write_fields)
+    kept = mutations.persist()  # two steps over one derivation
+    try:
+        kept.filter(is_key_delete).select("rk").distinct().foreachPartition(delete_keys)
+        kept.filter(~is_key_delete).foreachPartition(write_fields)
+    finally:
+        kept.unpersist()
+
+
+def fetch_hashes(wanted: DataFrame, connect: Callable[[], HashClient]) -> DataFrame:
+    """``rk``, ``field``, ``value`` of the hashes named by ``wanted.rk`` that exist in an external store.
+
+    Keys are asked for once each, by as many tasks as there are partitions of distinct
+    keys, with one client per task. The result serves as the store of
+    ``decode_store``, ``index_rows`` and ``versioned_lookup``. Null keys are left out.
+    """
+    def fetch(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        client = connect()
+        for batch in batches:
+            rows = [(key, field, value) for key in batch["rk"].to_pylist() for field, value in client.hgetall(key).items()]
+            columns = [pa.array([row[i] for row in rows], pa.string()) for i in range(3)]
+            yield pa.RecordBatch.from_arrays(columns, ["rk", "field", "value"])
+
+    keys = wanted.select("rk").filter("rk IS NOT NULL").distinct()
+    return keys.mapInArrow(fetch, "rk string, field string, value string")
 
 
 def _chunks(rows: Iterable, size: int):
