@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm.sampling import class_sample, id_remainder
-from tidelog.llm.textnum import codes, gram_buckets, groups_of, is_letter, utf8
+from tidelog.llm.textnum import codes, gram_buckets, groups_of, is_letter, lean, offsets_of
 
 BITS = 13            # n-grams are hashed into 8,192 places
 SIZES = (1, 2, 3)    # the blended spectrum
@@ -91,6 +91,7 @@ def fit_languages(docs: DataFrame, per_class: int = PER_CLASS) -> LanguageModel:
     Rows without a language, and texts without letters, are left out. The sample's
     n-gram presence bits (1 KB a text) reach the driver, however long the texts are.
     """
+    @lean
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first in range(0, len(batch), 64):
@@ -116,9 +117,10 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     every text where the model has no languages. Repeated rows get a row each; other
     columns are ignored; an empty table gives no rows.
     """
+    @lean
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            _, offsets = utf8(batch["text"])
+            offsets = offsets_of(batch["text"])
             for first, last in groups_of(offsets, PART):
                 for low in range(first, last, 256):
                     part = batch.slice(low, min(256, last - low))
@@ -131,9 +133,10 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
 def keep_identified(docs: DataFrame, model: LanguageModel, min_score: float = MIN_SCORE) -> DataFrame:
     """The rows of ``docs``, all columns, whose language is found with ``min_score`` or more; ``und`` goes."""
+    @lean
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            _, offsets = utf8(batch["text"])
+            offsets = offsets_of(batch["text"])
             for first, last in groups_of(offsets, PART):
                 for low in range(first, last, 256):
                     part = batch.slice(low, min(256, last - low))

@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm.graph import components
+from tidelog.llm.textnum import give_back
 from tidelog.sinks.tables import written_table
 
 GROUP_ITEMS = 4_000_000  # set members of a cluster solved in one task (8 bytes each); larger ones are split
+LARGE = 1 << 20          # bytes of a cluster after which a worker gives its memory back
 FEW = 24                 # holders of one member that are compared pair by pair
 
 
@@ -105,6 +107,8 @@ def _solver(percent: int):
     def solve(table: pa.Table) -> pa.Table:
         nodes = table["node"].to_numpy()
         links = np.array(spanning_links(_as_sets(table["items"].combine_chunks()), percent), np.int64).reshape(-1, 2)
+        if table.nbytes > LARGE:
+            give_back()
         return pa.table({"a": nodes[links[:, 0]], "b": nodes[links[:, 1]]})
     return solve
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidelog.llm.graph import components
 from tidelog.llm.linking import GROUP_ITEMS, verified_links
-from tidelog.llm.textnum import BY_SPACE_FOLDED, constants, groups_of, minhash, mix, permutations, shingles, utf8, word_hashes
+from tidelog.llm.textnum import BY_SPACE_FOLDED, constants, groups_of, lean, minhash, mix, permutations, shingles, utf8, word_hashes
 from tidelog.sinks.tables import written_table
 
 ROWS = 3    # minhashes in one half key
@@ -39,6 +39,7 @@ def _signer(words: int):
     functions, places = permutations(2 * HALVES * ROWS, 32), constants(ROWS, 34)
     salt = constants(2 * HALVES, 35)
 
+    @lean
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, first, second, halves = [], [], [], []
@@ -58,6 +59,7 @@ def _signer(words: int):
 
 
 def _set_writer(words: int):
+    @lean
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [s.tobytes() for s in _sets_of(batch, words)]

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm.graph import running_start
-from tidelog.llm.textnum import constants
+from tidelog.llm.textnum import constants, lean
 from tidelog.llm.tokens import token_ids
 from tidelog.session import work_dir
 
@@ -74,6 +74,7 @@ def tokenised(docs: DataFrame, vocabulary: str) -> DataFrame:
     ``ids`` holds the token ids and a closing id 0 as little-endian unsigned 32-bit
     numbers, or 16-bit ones where the vocabulary allows.
     """
+    @lean
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         projection = Projection()
         for batch in batches:
@@ -95,6 +96,7 @@ def tokenised(docs: DataFrame, vocabulary: str) -> DataFrame:
 
 
 def _cutter(length: int):
+    @lean
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = [batch[c].to_pylist() for c in ("doc_id", "doc_tokens", "position")]

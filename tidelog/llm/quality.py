@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm.sampling import class_sample
-from tidelog.llm.textnum import codes, gram_buckets, groups_of, utf8
+from tidelog.llm.textnum import codes, gram_buckets, groups_of, lean, offsets_of
 
 BITS = 11           # n-grams are hashed into 2,048 places
 SIZES = (1, 2, 3)
@@ -85,6 +85,7 @@ def fit_quality(docs: DataFrame, ratings: DataFrame, per_grade: int = PER_GRADE)
     Ratings are joined by ``doc_id``; rows without a grade are left out. The sample's
     features (8 KB a text) reach the driver, however long the texts are.
     """
+    @lean
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [features(t).tobytes() for t in batch["text"].to_pylist()]
@@ -111,9 +112,10 @@ def grade(docs: DataFrame, model: OrdinalModel) -> DataFrame:
     """
     names = np.array(model.grades, np.float64)
 
+    @lean
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            _, offsets = utf8(batch["text"])
+            offsets = offsets_of(batch["text"])
             for first, last in groups_of(offsets):
                 for low in range(first, last, 512):
                     part = batch.slice(low, min(512, last - low))
@@ -131,9 +133,10 @@ def grade(docs: DataFrame, model: OrdinalModel) -> DataFrame:
 
 def keep_good(docs: DataFrame, model: OrdinalModel, select: float = SELECT) -> DataFrame:
     """The rows of ``docs``, all columns, whose tail probability is ``select`` or more; all rows if there are fewer than two grades."""
+    @lean
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            _, offsets = utf8(batch["text"])
+            offsets = offsets_of(batch["text"])
             for first, last in groups_of(offsets):
                 for low in range(first, last, 512):
                     part = batch.slice(low, min(512, last - low))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +52,8 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all values and their offsets; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    values = pc.fill_null(column.cast(pa.large_binary()), b"")
+    values = column.cast(pa.large_binary())
+    values = pc.fill_null(values, b"") if values.null_count else values
     if not len(values):
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     offsets = np.frombuffer(values.buffers()[1], np.int64, len(values) + 1, values.offset * 8)
@@ -59,6 +62,34 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+def offsets_of(column: pa.Array) -> np.ndarray:
+    """Offsets of the values' bytes, without copying these; null counts as empty."""
+    lengths = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    return np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
+
+
+def give_back() -> None:
+    """Return unused memory to the system; idle workers would keep it from the next stage."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+Batches = Iterator[pa.RecordBatch]
+
+
+def lean(work: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """``work`` over the batches of a partition, giving memory back at its end."""
+    @functools.wraps(work)
+    def run(batches: Batches) -> Batches:
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+    return run
+
+
 def groups_of(offsets: np.ndarray, limit: int = PIECE) -> Iterator[tuple[int, int]]:
     """Row ranges of at most ``limit`` bytes, or of one row."""
     first, rows = 0, len(offsets) - 1

@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-from tidelog.llm.textnum import codes, constants, groups_of, mix, utf8
+from tidelog.llm.textnum import codes, constants, groups_of, mix, offsets_of
 
 SPACE, LETTER, NUMBER, OTHER, END = range(5)
 SENTINEL = 0x110000  # stands between texts
@@ -148,6 +148,6 @@ def word_tokens(path: str) -> WordTokens:
 def token_ids(column: pa.Array, path: str) -> Iterator[np.ndarray]:
     """Ids of each text of a column; null counts as empty."""
     vocabulary = word_tokens(path)
-    _, offsets = utf8(column)
+    offsets = offsets_of(column)
     for first, last in groups_of(offsets, 1 << 19):
         yield from vocabulary.encode([t or "" for t in column[first:last].to_pylist()])

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm.sampling import class_sample, id_remainder
-from tidelog.llm.textnum import BY_MARK, groups_of, minhash, mix, permutations, utf8, word_hashes
+from tidelog.llm.textnum import BY_MARK, groups_of, lean, minhash, mix, permutations, utf8, word_hashes
 
 BITS = 17           # words and word beginnings are hashed into 131,072 places each
 PREFIX = 4          # bytes of a word's beginning
@@ -122,6 +122,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS)
     The sample's word numbers (8 bytes a word) reach the driver. Rows without a label
     are left out. Without both labels every sentence is clean.
     """
+    @lean
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, last, features, sentence, _, _, text in sentences_of(batch["text"]):
@@ -162,6 +163,7 @@ def score_texts(docs: DataFrame, model: ToxicityModel, threshold: float = 0.7) -
     """
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("probability", pa.float64())]))
 
+    @lean
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             scores, counts = np.zeros(len(batch)), np.zeros(len(batch), np.int64)
