@@ -115,4 +115,24 @@ SELECT page_id, n AS payload_bytes, sha1(s.html) AS payload_digest,
 FROM sized s LEFT JOIN winners w ON s.html = w.html
 """
 
-SQL: dict[str, str] = {"op2_warc": WARC_SQL, "op6_topk": TOPK_SQL}
+NEAR_DEDUP_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+                      ELSE list_distinct(list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' '))) END AS shingles
+  FROM w),
+n AS (SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n FROM s),
+f AS (SELECT doc_id, unnest(shingles) AS shingle FROM s),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM f a JOIN f b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT x, y FROM shared JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 80 * (nx.n + ny.n - c)),
+both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT doc_id AS node, doc_id AS root FROM n UNION SELECT l.y, r.root FROM reach r JOIN both_ways l ON l.x = r.node)
+SELECT n.doc_id, n.n AS n_shingles, min(root) AS component_id, n.doc_id = min(root) AS kept
+FROM n JOIN reach ON node = n.doc_id GROUP BY n.doc_id, n.n
+"""
+
+SQL: dict[str, str] = {"op2_warc": WARC_SQL, "op6_topk": TOPK_SQL, "op7_near_dedup": NEAR_DEDUP_SQL}
