@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tidelog.llm.graph import components
 from tidelog.llm.linking import verified_links
 from tidelog.llm.textnum import BY_SPACE_FOLDED, constants, groups_of, minhash, mix, permutations, shingles, utf8, word_hashes
+from tidelog.session import work_dir
 from tidelog.sinks.tables import written_table
 
 HASHES = 128    # universal hash permutations in a fingerprint
@@ -47,7 +48,7 @@ def edited(text: str, following: str) -> str:
     return text[:len(text) - half] + following[:half]
 
 
-_COLUMNS = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+_COLUMNS = ("doc_id long, n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, "
             "near_edited double, near_next double")
 _SEAM = "seam string, text string"
 
@@ -58,8 +59,8 @@ def _compared(ids: list, texts: list[str], following: list[str]) -> pa.RecordBat
     own, new, after = (signatures(pa.array(t, pa.large_string())) for t in (texts, changed, following))
     return pa.RecordBatch.from_arrays(
         [pa.array(ids, pa.int64()), pa.array([len(t) for t in texts], pa.int64()),
-         pa.array([hashlib.sha256(t.encode()).hexdigest() for t in changed]),
-         pa.array([s.tobytes().hex() for s in own]), pa.array([s.tobytes().hex() for s in new]),
+         pa.array([hashlib.sha256(t.encode()).digest() for t in changed], pa.binary()),
+         pa.array([s.tobytes() for s in own], pa.binary()), pa.array([s.tobytes() for s in new], pa.binary()),
          pa.array([likeness(a, b) for a, b in zip(own, new)], pa.float64()),
          pa.array([likeness(a, b) for a, b in zip(own, after)], pa.float64())],
         [c.split()[0] for c in _COLUMNS.split(", ")])
@@ -67,8 +68,8 @@ def _compared(ids: list, texts: list[str], following: list[str]) -> pa.RecordBat
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of all documents of a sorted partition but the last; the first and the last as seams."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()),
-                        ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64()),
+    schema = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.binary()), ("fingerprint", pa.binary()),
+                        ("edited_fingerprint", pa.binary()), ("near_edited", pa.float64()), ("near_next", pa.float64()),
                         ("seam", pa.string()), ("text", pa.string())])
 
     def seam(kind: str, doc: int | None, text: str) -> pa.RecordBatch:
@@ -121,7 +122,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = texts.repartitionByRange(parts, "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
     rows = ordered.mapInArrow(_neighbours, f"{_COLUMNS}, {_SEAM}").withColumn("__range", F.spark_partition_id())
-    rows = written_table(rows)
+    folder = work_dir(docs.sparkSession, "fingerprints")
+    rows.write.option("compression", "zstd").parquet(folder)
+    rows = docs.sparkSession.read.parquet(folder)
     seams = rows.filter("seam IS NOT NULL")
     # a range's last document precedes the first of the next range that has any
     order = Window.orderBy("__range")
@@ -131,7 +134,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     pairs = (lasts.select("__range", "doc_id", "text").join(ranges, "__range")
              .join(firsts.select(F.col("__range").alias("__next"), F.col("text").alias("following")), "__next"))
     joined = pairs.select("doc_id", "text", "following").mapInArrow(_compare_pairs, _COLUMNS)
-    return rows.filter("seam IS NULL").drop("seam", "text", "__range").unionByName(joined)
+    result = rows.filter("seam IS NULL").drop("seam", "text", "__range").unionByName(joined)
+    text = {c: F.lower(F.hex(c)) for c in ("edited_sha256", "fingerprint", "edited_fingerprint")}
+    return result.withColumns(text)
 
 
 def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
