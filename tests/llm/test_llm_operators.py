@@ -119,6 +119,17 @@ def test_spanning_links_connect_like_all_links(monkeypatch, few):
         assert [root(i) for i in range(len(sets))] == plain
 
 
+def test_spanning_links_when_a_part_is_overtaken():
+    # the smaller family is held more; the link between both runs through sets skipped in either
+    runs = [(0, 30), (10, 1), (30, 40), (20, 1)]
+    sets = [np.arange(first, first + 90) for first, copies in runs for _ in range(copies)]
+    sets += [np.r_[0:20, 1000 * i:1000 * i + 70] for i in range(1, 61)] + [np.r_[110:120, 1000 * i:1000 * i + 80] for i in range(61, 66)]
+    parent = list(range(len(sets)))
+    for a, b in spanning_links([s.astype(np.uint64) for s in sets], 80):
+        parent = [parent[b] if p == parent[a] else p for p in parent]
+    assert len(set(parent[:72])) == 1 and len(set(parent)) == 66
+
+
 @pytest.mark.parametrize("group_items", [linking.GROUP_ITEMS, 40])
 def test_large_clusters_are_divided_without_loss(spark, group_items):
     sets = [sorted(hash(s) & ((1 << 63) - 1) for s in plain_set(t, 2)) for t in varied_texts(2)]

@@ -33,9 +33,10 @@ def spanning_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]
     member share one within the prefixes (rarest first) of both: the holders of such a
     member are compared in pairs unless already connected. Linked sets that share only
     common members consist of these to ``percent`` or more: the sets that do so, the
-    core, are compared with all of the core, one after the other, until all but one
-    connected part have had their turn. The set whose members are held most goes first,
-    so that one turn connects most of a family of near copies.
+    core, are compared with all of the core, one after the other. Only sets of the part
+    that is the largest in the end may go without a turn: those skipped in a part that
+    another one has overtaken get theirs later. The set whose members are held most goes
+    first, so that one turn connects most of a family of near copies.
     """
     sizes = np.array([len(s) for s in sets])
     _, member, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -54,6 +55,13 @@ def spanning_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]
             parent[max(a, b)] = min(a, b)
             links.append((x, y))
 
+    def largest_part(of: np.ndarray) -> tuple[int, int]:
+        """Root and size of the largest connected part; afterwards ``parent`` holds roots."""
+        while (parent[parent] != parent).any():
+            parent[:] = parent[parent]
+        parts = np.bincount(parent[of])
+        return int(np.argmax(parts)), int(parts.max())
+
     owner = np.repeat(np.arange(len(sets)), sizes)
     common = held[member] > FEW
     core = np.flatnonzero(100 * np.add.reduceat(common, begin, dtype=np.int64) >= percent * sizes)
@@ -63,21 +71,25 @@ def spanning_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]
         edges = np.cumsum(lengths) - lengths
         items = member[np.arange(lengths.sum()) - np.repeat(edges - begin[core], lengths)]
         marked = np.zeros(len(held), bool)
-        for x in core[np.argsort(-popular, kind="stable")]:
-            while (parent[parent] != parent).any():
-                parent[:] = parent[parent]
-            parts = np.bincount(parent[core])
-            largest = int(np.argmax(parts))
-            if parts[largest] == len(core):
-                break
-            if parts[largest] > 1 and parent[x] == largest:
-                continue
-            own = member[begin[x]:begin[x] + sizes[x]]
-            marked[own] = True
-            shared = np.add.reduceat(marked[items], edges, dtype=np.int64)
-            marked[own] = False
-            for y in core[is_link(shared, sizes[x], lengths, percent)].tolist():
-                join(int(x), y)
+        waiting = core[np.argsort(-popular, kind="stable")].tolist()
+        while waiting:
+            skipped = []
+            for x in waiting:
+                largest, size = largest_part(core)
+                if size == len(core):
+                    break
+                if size > 1 and parent[x] == largest:
+                    skipped.append(x)
+                    continue
+                own = member[begin[x]:begin[x] + sizes[x]]
+                marked[own] = True
+                shared = np.add.reduceat(marked[items], edges, dtype=np.int64)
+                marked[own] = False
+                for y in core[is_link(shared, sizes[x], lengths, percent)].tolist():
+                    join(x, y)
+            # another part may have become the largest since a set was skipped
+            largest, _ = largest_part(core)
+            waiting = [x for x in skipped if parent[x] != largest]
     order = np.lexsort((member, held[member], owner))
     ranks = np.arange(len(owner)) - begin[owner]
     near = order[(ranks < prefix_length(sizes, percent)[owner])]
