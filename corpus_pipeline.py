@@ -6,11 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidelog.llm.language import fit_languages, keep_identified
 from tidelog.llm.mixing import repeated_documents
-from tidelog.llm.near_dedup import near_duplicates
+from tidelog.llm.near_dedup import one_per_group
 from tidelog.llm.packing import pack
 from tidelog.llm.quality import fit_quality, keep_good
 from tidelog.sinks.tables import written_table
@@ -30,9 +29,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: the one with the least id."""
-    kept = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("__kept")).hint("shuffle_hash")
-    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("__kept")), "left_semi")
+    """One row of each near-duplicate group, with the least id."""
+    return one_per_group(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ from tidelog.llm.graph import components, running_start
 from tidelog.llm.language import UNKNOWN, fit_languages, identify, keep_identified, language_of
 from tidelog.llm.linking import is_link, spanning_links, verified_links
 from tidelog.llm.mixing import mixed_blocks, repeated_documents, source_targets, taken_words
-from tidelog.llm.near_dedup import near_duplicates
+from tidelog.llm.near_dedup import near_duplicates, one_per_group
 from tidelog.llm.packing import hilbert_keys, pack
 from tidelog.llm.quality import OrdinalModel, fit_quality, grade, keep_good
 from tidelog.llm.sharding import SLOTS, placed, rebalance, shard_documents, slotted, store_map
@@ -175,6 +175,26 @@ def test_near_duplicates_null_and_repeated_ids(spark, none):
     assert near_duplicates(none).count() == 0
 
 
+def test_null_ids_with_different_texts(spark):
+    other, third = BASE.replace("e", "x"), BASE.replace("e", "y")
+    texts = [BASE, BASE + " more", other, other + " more", third, third, "", "lone words"]
+    ids = [5, None, 9, None, None, None, None, None]
+    df = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+    got = near_duplicates(df, 4).collect()
+    assert sorted((str(r.doc_id), str(r.component_id), r.kept) for r in got) == sorted(
+        [("5", "5", True), ("None", "5", False), ("9", "9", True), ("None", "9", False), ("None", "None", True), ("None", "None", False)] + [("None", "None", True)] * 2)
+
+
+def test_one_row_of_each_group(spark, none):
+    other = BASE.replace("e", "x")
+    rows = [(7, BASE), (7, BASE), (7, other), (8, BASE + " more"), (None, "alone here"), (None, "alone here"), (None, other + " more"), (None, ""), (None, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("row", F.lit("clash"))
+    got = one_per_group(df, 4)
+    assert got.columns == df.columns and sorted((str(r.doc_id), r.text) for r in got.collect()) == sorted(
+        [("7", BASE), ("7", other), ("None", "alone here"), ("None", ""), ("None", "")])
+    assert one_per_group(none).count() == 0
+
+
 def test_fingerprints(spark, odd, none):
     texts = [t or "" for t in odd_texts()]
     rows = sorted(fingerprints(odd).collect(), key=lambda r: r.doc_id)

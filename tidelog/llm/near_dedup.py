@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 from tidelog.llm.graph import components
 from tidelog.llm.linking import GROUP_ITEMS, verified_links
 from tidelog.llm.textnum import BY_SPACE_FOLDED, constants, groups_of, lean, minhash, mix, permutations, shingles, utf8, word_hashes
+from tidelog.session import work_dir
 from tidelog.sinks.tables import written_table
 
 ROWS = 3    # minhashes in one half key
 HALVES = 16  # half keys of either side: 2 * 16 * 3 = 96 minhashes serve 16 * 16 = 256 tables of 6 rows
-EMPTY_ID = (1 << 63) - 1
 
 
 def _sets_of(batch: pa.RecordBatch, words: int) -> Iterator[np.ndarray]:
@@ -52,9 +52,9 @@ def _signer(words: int):
             flat = np.concatenate(halves).view(np.int64) if halves else np.zeros(0, np.int64)
             ends = np.arange(len(sizes) + 1, dtype=np.int32) * 2 * HALVES
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(sizes, pa.int64()), pa.array(first, pa.int64()), pa.array(second, pa.int64()),
+                [batch["row"], batch["doc_id"], pa.array(sizes, pa.int64()), pa.array(first, pa.int64()), pa.array(second, pa.int64()),
                  pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
-                ["doc_id", "n_shingles", "k1", "k2", "halves"])
+                ["row", "doc_id", "n_shingles", "k1", "k2", "halves"])
     return sign
 
 
@@ -63,7 +63,7 @@ def _set_writer(words: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [s.tobytes() for s in _sets_of(batch, words)]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(sets, pa.binary())], ["node", "items"])
+            yield pa.RecordBatch.from_arrays([batch["row"], pa.array(sets, pa.binary())], ["node", "items"])
     return write
 
 
@@ -83,8 +83,46 @@ def candidate_keys(signed: DataFrame) -> DataFrame:
     return pairs.select("node", "left", F.explode("right").alias("right")).select("node", F.xxhash64("left", "right").alias("key"))
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with a number each, ``__row``, as a written table: every reading gives a row the same number."""
+    folder = work_dir(rows.sparkSession, "rows")
+    rows.withColumn("__row", F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(folder)
+    return rows.sparkSession.read.parquet(folder)
+
+
+def _grouped(numbered: DataFrame, words: int, percent: int, group_items: int, by_id: bool) -> DataFrame:
+    """``row``, ``doc_id``, ``n_shingles``, and of the row's group ``least_id`` and ``least_row``, the row that stands for it.
+
+    Rows are grouped by links of their texts; with ``by_id`` also by a common ``doc_id``.
+    The row that stands for a group has its least ``doc_id``; null comes last.
+    """
+    texts = numbered.select(F.col("__row").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    signed = written_table(texts.mapInArrow(
+        _signer(words), "row long, doc_id long, n_shingles long, k1 long, k2 long, halves array<long>"))
+    classes = written_table(signed.filter("n_shingles > 0").groupBy("k1", "k2").agg(
+        F.min(F.struct("row", "halves")).alias("least")).select("k1", "k2", F.col("least.row").alias("node"), "least.halves"))
+    keys = written_table(candidate_keys(classes))
+    wanted = keys.select("node").distinct().hint("shuffle_hash")
+    sets = texts.join(wanted, texts["row"] == wanted["node"], "left_semi").mapInArrow(
+        _set_writer(words), "node long, items binary").filter("octet_length(items) > 0")
+    links = verified_links(sets, keys, percent, group_items)
+    # rows of equal sets belong together
+    equal = signed.filter("n_shingles > 0").join(classes.select("k1", "k2", "node"), ["k1", "k2"])
+    links = links.unionByName(equal.select(F.col("row").alias("a"), F.col("node").alias("b")))
+    if by_id:
+        repeated = signed.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(
+            F.min("row").alias("b"), F.max("row").alias("most")).filter("b < most")
+        links = links.unionByName(signed.select("doc_id", F.col("row").alias("a")).join(repeated, "doc_id").select("a", "b"))
+    roots = components(links)
+    found = signed.select("row", "doc_id", "n_shingles").join(roots, F.col("row") == F.col("node"), "left")
+    found = written_table(found.select("row", "doc_id", "n_shingles", F.coalesce("root", "row").alias("root")))
+    least = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("least"))
+    return found.join(least, "root").select(
+        "row", "doc_id", "n_shingles", F.col("least.doc_id").alias("least_id"), F.col("least.row").alias("least_row"))
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, group_items: int = GROUP_ITEMS) -> DataFrame:
-    """Per document ``doc_id``, ``n_shingles``, ``component_id`` and ``kept``.
+    """Per row ``doc_id``, ``n_shingles``, ``component_id`` and ``kept``.
 
     A document's set holds its distinct runs of ``words`` lower-cased (A to Z) words;
     a shorter text counts as one run. Documents are linked if the Jaccard likeness of
@@ -97,26 +135,22 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, group_it
 
     Null and empty texts, and texts without words, have an empty set and are linked
     with nothing. Equal sets are handled once. Rows with the same ``doc_id`` count as
-    one document. A null ``doc_id`` never names a group with other documents; documents
-    with null ids that are linked to no other have a null ``component_id`` and are kept.
-    Other columns are ignored; an empty table gives no rows.
+    one document. Each row with a null ``doc_id`` is a document of its own; it never names
+    a group. A group of null ids alone has a null ``component_id``, and one of its rows
+    is kept. Other columns are ignored; an empty table gives no rows.
     """
-    texts = docs.select(F.coalesce("doc_id", F.lit(EMPTY_ID)).cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = written_table(texts.mapInArrow(
-        _signer(words), "doc_id long, n_shingles long, k1 long, k2 long, halves array<long>"))
-    classes = written_table(signed.filter("n_shingles > 0").groupBy("k1", "k2").agg(
-        F.min(F.struct("doc_id", "halves")).alias("least")).select("k1", "k2", F.col("least.doc_id").alias("node"), "least.halves"))
-    keys = written_table(candidate_keys(classes))
-    wanted = keys.select("node").distinct().hint("shuffle_hash")
-    sets = texts.join(wanted, texts["doc_id"] == wanted["node"], "left_semi").mapInArrow(
-        _set_writer(words), "node long, items binary").filter("octet_length(items) > 0")
-    links = verified_links(sets, keys, percent, group_items)
-    # documents of equal sets, and rows of one id, belong together
-    equal = signed.filter("n_shingles > 0").join(classes.select("k1", "k2", "node"), ["k1", "k2"])
-    equal = equal.select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    roots = components(links.unionByName(equal))
-    joined = signed.select("doc_id", "n_shingles").join(roots, F.col("doc_id") == F.col("node"), "left")
-    root = F.coalesce("root", "doc_id")
-    return joined.select(
-        F.nullif("doc_id", F.lit(EMPTY_ID)).alias("doc_id"), "n_shingles",
-        F.nullif(root, F.lit(EMPTY_ID)).alias("component_id"), (F.col("doc_id") == root).alias("kept"))
+    found = _grouped(_numbered(docs.select("doc_id", "text")), words, percent, group_items, True)
+    kept = F.coalesce(F.col("doc_id") == F.col("least_id"), F.col("least_id").isNull() & (F.col("row") == F.col("least_row")))
+    return found.select("doc_id", "n_shingles", F.col("least_id").alias("component_id"), kept.alias("kept"))
+
+
+def one_per_group(docs: DataFrame, words: int = 5, percent: int = 80, group_items: int = GROUP_ITEMS) -> DataFrame:
+    """One row of ``docs``, all columns, of each group of near duplicates: one with the least ``doc_id``.
+
+    Groups are those of ``near_duplicates``, except that every row is a document of its
+    own, also where ids are repeated: equal rows stay once, different texts of one id
+    all stay. Texts without words are linked with nothing and stay.
+    """
+    numbered = _numbered(docs)
+    kept = _grouped(numbered, words, percent, group_items, False).filter("row = least_row").select("row").hint("shuffle_hash")
+    return numbered.join(kept, numbered["__row"] == kept["row"], "left_semi").select(*[numbered[c] for c in docs.columns])
