@@ -322,6 +322,21 @@ def test_tokens_of_mixed_characters():
         assert ids.tolist() == want.ids, text
 
 
+def test_added_tokens_in_texts():
+    import random
+
+    from tidelog.llm.tokens import token_ids
+    from tokenizers import Tokenizer
+
+    tokenizer, rnd = Tokenizer.from_file(VOCABULARY), random.Random(6)
+    parts = ["<|endoftext|>", "<|endof", "text|>", " ", "  ", "\n", "a", " b", "'s", "é", "中", "1", "."]
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "", "x"] + ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 12))) for _ in range(800)]
+    got = list(token_ids(pa.array([None, *texts]), VOCABULARY))
+    assert got[0].tolist() == [] and got[1].tolist() == [64, 220, 50256, 275]
+    for text, ids, want in zip(texts, got[1:], tokenizer.encode_batch(texts, add_special_tokens=False)):
+        assert ids.tolist() == want.ids, text
+
+
 def test_mixing(spark, odd, none):
     texts = [" ".join(["w"] * (i % 37)) for i in range(600)]
     docs = table(spark, texts).withColumn("source", F.when(F.col("doc_id") % 3 == 0, "hot").when(F.col("doc_id") % 7 == 0, F.lit(None)).otherwise(F.concat(F.lit("s"), F.col("doc_id") % 5)))

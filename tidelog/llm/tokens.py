@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +40,7 @@ def _byte_letters() -> dict[str, int]:
 class WordTokens:
     """Splits texts into words by array operations; only words not seen lately meet the merges.
 
-    Strings of special tokens in a text are ordinary text.
+    ``encode`` takes strings of added tokens as ordinary text; ``encode_added`` gives their ids.
     """
 
     def __init__(self, path: str):
@@ -48,7 +49,14 @@ class WordTokens:
         letters = _byte_letters()
         with open(path, encoding="utf-8") as file:
             model = json.load(file)
-        special = {t["content"] for t in model.get("added_tokens", [])}
+        added = model.get("added_tokens", [])
+        for token in added:  # those that are found in the text as it stands
+            if any(token.get(flag) for flag in ("single_word", "lstrip", "rstrip")) or token.get("normalized") and model.get("normalizer"):
+                raise ValueError(f"added token {token['content']!r} has options that are not supported")
+        special = {t["content"] for t in added}
+        self.added = {t["content"]: np.array([t["id"]], np.uint32) for t in added}
+        # of two that begin at one place the longer is meant
+        self.split = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")").split if added else None
         ranks = {bytes(letters[c] for c in word): number for word, number in model["model"]["vocab"].items() if word not in special}
         # ids rise with the order of the merges, which is all the merging needs
         self.merge = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
@@ -134,6 +142,14 @@ class WordTokens:
         ids = self.ids[np.arange(upto[-1] if len(upto) else 0) - np.repeat(upto - count - at, count)]
         return np.split(ids, upto[stops])[:len(texts)]
 
+    def encode_added(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text, as the library gives them with ``add_special_tokens=False``: the text is first split at added tokens."""
+        if not any(token in text for token in self.added for text in texts):
+            return self.encode(texts)
+        pieces = [self.split(text) for text in texts]  # every second piece is an added token
+        ids = iter(self.encode([p for found in pieces for p in found[::2]]))
+        return [np.concatenate([self.added[p] if i % 2 else next(ids) for i, p in enumerate(found)]) for found in pieces]
+
 
 _LOADED: dict[str, WordTokens] = {}
 
@@ -150,4 +166,4 @@ def token_ids(column: pa.Array, path: str) -> Iterator[np.ndarray]:
     vocabulary = word_tokens(path)
     offsets = offsets_of(column)
     for first, last in groups_of(offsets, 1 << 19):
-        yield from vocabulary.encode([t or "" for t in column[first:last].to_pylist()])
+        yield from vocabulary.encode_added([t or "" for t in column[first:last].to_pylist()])
