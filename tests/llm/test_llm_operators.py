@@ -463,6 +463,26 @@ def test_languages(spark, sf, odd, none):
     assert {r.lang_pred for r in one} == {"en", UNKNOWN}
 
 
+def test_languages_of_very_long_texts(spark, sf):
+    docs, _ = sf
+    rng = np.random.default_rng(4)
+    script = [chr(0x4E00 + i) for i in range(3000)]
+    zipf = 1 / np.arange(1, 3001)
+    chinese = lambda n: "".join(np.array(script)[rng.choice(3000, n, p=zipf / zipf.sum())])
+    model = fit_languages(docs.select("doc_id", "text", "lang").union(
+        spark.createDataFrame([(10**6 + i, chinese(400), "zh") for i in range(60)], "doc_id long, text string, lang string")))
+    texts, want = [], []
+    for lang in ("de", "en", "es", "fr"):
+        own = [r.text for r in docs.filter(F.col("lang") == lang).orderBy("doc_id").limit(60).collect()]
+        long = next(t for t in own if len(t) > 500)
+        texts += [long * (1_000_000 // len(long)), (" ".join(own) + " ") * (1_000_000 // sum(map(len, own)))]
+        want += [lang] * 2
+        short = model.predict([long])
+        assert short[0] == [lang] and abs(short[1][0] - model.predict(texts[-2:-1])[1][0]) < 0.1
+    names, scores = model.predict([*texts, chinese(20_000), chinese(500_000)])
+    assert names == [*want, "zh", "zh"] and (scores > 0.7).all()
+
+
 def test_held_out_languages_are_not_learned(spark, sf):
     docs, _ = sf
     wrong = docs.withColumn("lang", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, "xx").otherwise(F.col("lang")))

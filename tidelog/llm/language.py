@@ -7,62 +7,102 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.llm.sampling import class_sample, id_remainder
-from tidelog.llm.textnum import codes, gram_buckets, groups_of, is_letter, lean, offsets_of
+from tidelog.llm.textnum import codes, groups_of, is_letter, lean, offsets_of
+from tidelog.sinks.tables import written_table
 
-BITS = 13            # n-grams are hashed into 8,192 places
 SIZES = (1, 2, 3)    # the blended spectrum
+WINDOW = 4096        # characters of a window; a longer text is the mean of its windows
 PER_CLASS = 300      # texts of each language that a model is fitted on
-LANDMARKS = 128      # of these texts, over all languages
+LANDMARKS = 128      # windows of these texts, over all languages
 RIDGE = 1e-2
 UNKNOWN = "und"
 MIN_SCORE = 0.4      # a text whose best language scores less is not identified
-PART = 1 << 19       # bytes of text in one matrix product
+PART = 1 << 19       # bytes of text worked on at a time
 
 
-def _presence(text: str, row: np.ndarray) -> bool:
-    """Mark the n-grams of a text; whether it has letters. Letters are lower-cased, all else is one space."""
-    points = codes(text.lower())
+def windows(text: str | None) -> list[np.ndarray]:
+    """The distinct n-grams, sorted, of each window of a text; none for a text without letters.
+
+    Letters are lower-cased, all else is one space. An n-gram is the number made of its
+    up to three code points, so different ones never meet. The windows of a text are of
+    equal length and overlap by two characters: every n-gram of the text is in one.
+    """
+    points = codes((text or "").lower())
     points = np.where(is_letter()[points], points, 0x20)
     letter = points != 0x20
     if not letter.any():
-        return False
+        return []
     gap = np.ones(len(points), bool)
     gap[1:] = letter[1:] | letter[:-1]
-    row[gram_buckets(points[gap], SIZES, BITS)] = 1
-    return True
+    points = points[gap].astype(np.int64) + 1
+    edges = np.linspace(0, len(points), -(-len(points) // WINDOW) + 1).astype(np.int64)
+    found = []
+    for low, high in zip(edges[:-1], edges[1:]):
+        part = points[low:high + max(SIZES) - 1]
+        grams, code = [], np.zeros(len(part), np.int64)
+        for size in SIZES:
+            code = (code[:len(part) - size + 1] << 21) + part[size - 1:]
+            grams.append(code)
+        grams = np.sort(np.concatenate(grams))
+        found.append(grams[np.append(True, grams[1:] != grams[:-1])])
+    return found
 
 
-def presence(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """N-gram presence of each text, and which texts have letters."""
-    marks = np.zeros((len(texts), 1 << BITS), np.float32)
-    return marks, np.array([_presence(text or "", row) for text, row in zip(texts, marks)], bool)
+@dataclass
+class Landmarks:
+    """Windows of texts by their n-grams: all n-grams, and the landmarks that have each."""
+    grams: np.ndarray    # distinct, sorted
+    begin: np.ndarray    # (grams + 1) where the holders of a gram begin
+    holders: np.ndarray
+    sizes: np.ndarray    # n-grams of each landmark
+
+    @staticmethod
+    def of(sets: list[np.ndarray]) -> Landmarks:
+        sizes = np.array([len(s) for s in sets])
+        every, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+        order = np.argsort(every, kind="stable")
+        grams, begin = np.unique(every[order], return_index=True)
+        return Landmarks(grams, np.append(begin, len(every)), owner[order], sizes)
+
+    def places(self, found: np.ndarray) -> np.ndarray:
+        """Places in ``grams`` of those n-grams that any landmark has."""
+        at = np.minimum(np.searchsorted(self.grams, found), len(self.grams) - 1)
+        return at[self.grams[at] == found]
+
+    def kernel(self, sets: list[np.ndarray]) -> np.ndarray:
+        """Presence kernel of a text with each landmark, the mean over the text's windows."""
+        sums = np.zeros(len(self.sizes))
+        for found in sets:
+            at = self.places(found)
+            counts = self.begin[at + 1] - self.begin[at]
+            stops = np.cumsum(counts)
+            held = self.holders[np.arange(counts.sum()) - np.repeat(stops - counts - self.begin[at], counts)]
+            sums += np.bincount(held, minlength=len(self.sizes)) / np.sqrt(len(found) * self.sizes)
+        return sums / len(sets)
 
 
 @dataclass
 class LanguageModel:
     names: list[str]
-    landmarks: np.ndarray   # (landmarks, places), rows of length 1
-    weights: np.ndarray     # (landmarks, languages)
+    grams: np.ndarray       # n-grams of the landmarks, sorted
+    weights: np.ndarray     # (n-grams, languages)
     bias: np.ndarray
 
     @staticmethod
-    def fit(marks: np.ndarray, labels: list[str]) -> LanguageModel:
-        """One-versus-rest kernel ridge regression in the space spanned by the landmarks."""
+    def fit(landmarks: Landmarks, inner: np.ndarray, rows: np.ndarray, labels: list[str]) -> LanguageModel:
+        """One-versus-rest kernel ridge regression in the space spanned by the landmarks.
+
+        ``inner`` and ``rows``: kernels of the landmarks and of the labelled texts with the landmarks.
+        """
         names = sorted(set(labels))
-        rows = marks / np.sqrt(np.maximum(marks.sum(axis=1, keepdims=True), 1))
-        order = np.random.default_rng(7).permutation(len(rows))
-        # landmarks are drawn evenly from the languages
-        by_name = {n: [i for i in order if labels[i] == n] for n in names}
-        turns = [by_name[n][t] for t in range(max(map(len, by_name.values()), default=0)) for n in names if t < len(by_name[n])]
-        landmarks = rows[turns[:LANDMARKS]]
-        values, vectors = np.linalg.eigh((landmarks @ landmarks.T).astype(np.float64))
+        values, vectors = np.linalg.eigh(inner)
         large = values > 1e-8 * max(values.max(initial=0), 1)
         whiten = vectors[:, large] / np.sqrt(values[large])
-        features = (rows @ landmarks.T) @ whiten
+        features = rows @ whiten
         wanted = np.where(np.array(labels)[:, None] == np.array(names)[None, :], 1.0, -1.0)
         # languages count alike, however many texts they have
         share = np.array([1 / labels.count(x) for x in labels])
@@ -71,48 +111,78 @@ class LanguageModel:
         centred = features - mean_x
         gram = (centred * share[:, None]).T @ centred + RIDGE * len(rows) / 100 * np.eye(features.shape[1])
         solved = np.linalg.solve(gram, (centred * share[:, None]).T @ (wanted - mean_y))
-        return LanguageModel(names, landmarks, (whiten @ solved).astype(np.float32), (mean_y - mean_x @ solved).astype(np.float32))
+        # the kernel is a sum over n-grams, so the landmarks' weights can be added up for each n-gram
+        weights = (whiten @ solved) / np.sqrt(landmarks.sizes)[:, None]
+        return LanguageModel(names, landmarks.grams, np.add.reduceat(weights[landmarks.holders], landmarks.begin[:-1]), mean_y - mean_x @ solved)
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         """Language and score of each text."""
-        marks, known = presence(texts)
-        if not self.names:
-            return [UNKNOWN] * len(texts), np.zeros(len(texts))
-        kernel = (marks @ self.landmarks.T) / np.sqrt(np.maximum(marks.sum(axis=1, keepdims=True), 1))
-        values = kernel @ self.weights + self.bias
-        best = values.argmax(axis=1)
-        score = np.clip((values[np.arange(len(best)), best] + 1) / 2, 0, 1) * known
-        return [self.names[b] if k else UNKNOWN for b, k in zip(best, known)], score.astype(np.float64)
+        names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
+        for row, text in enumerate(texts if self.names else []):
+            sets = windows(text)
+            if not sets:
+                continue
+            values = np.zeros(len(self.names))
+            for found in sets:
+                at = np.minimum(np.searchsorted(self.grams, found), len(self.grams) - 1)
+                values += self.weights[at[self.grams[at] == found]].sum(axis=0) / np.sqrt(len(found))
+            values = values / len(sets) + self.bias
+            best = int(values.argmax())
+            names[row], scores[row] = self.names[best], np.clip((values[best] + 1) / 2, 0, 1)
+        return names, scores
+
+
+def _lettered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield batch.filter(pa.array([bool((is_letter()[codes((t or "").lower())]).any()) for t in batch["text"].to_pylist()], pa.bool_()))
+
+
+def _middles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = [windows(t) for t in batch["text"].to_pylist()]
+        middle = [s[len(s) // 2].tobytes() for s in sets]
+        yield pa.RecordBatch.from_arrays([batch["turn"], batch["lang"], pa.array(middle, pa.binary())], ["turn", "lang", "grams"])
 
 
 def fit_languages(docs: DataFrame, per_class: int = PER_CLASS) -> LanguageModel:
     """Model of the languages in ``lang``, fitted on whole texts: about ``per_class`` of each, chosen by a hash of ``doc_id``.
 
-    Rows without a language, and texts without letters, are left out. The sample's
-    n-gram presence bits (1 KB a text) reach the driver, however long the texts are.
+    Rows without a language, and texts without letters, are left out. The landmarks are
+    the middle windows of sampled texts, evenly from the languages. Their n-grams (at
+    most 100 KB each) and the kernels of the sampled whole texts with them (1 KB a text)
+    reach the driver, however long the texts are.
     """
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+    sample = class_sample(rows, "lang", per_class).select("lang", "text").mapInArrow(lean(_lettered), "lang string, text string")
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
+    sample = written_table(sample.withColumn("turn", F.row_number().over(order)))
+    turns = sorted((r.turn, r.lang) for r in sample.select("turn", "lang").collect())
+    if not turns:
+        return LanguageModel([], np.zeros(0, np.int64), np.zeros((0, 0)), np.zeros(0))
+    last = turns[:LANDMARKS][-1]
+    chosen = sample.filter((F.col("turn") < last[0]) | (F.col("turn") == last[0]) & (F.col("lang") <= last[1]))
+    chosen = chosen.select("turn", "lang", "text").mapInArrow(lean(_middles), "turn int, lang string, grams binary").toArrow()
+    chosen = chosen.sort_by([("turn", "ascending"), ("lang", "ascending")])
+    sets = [np.frombuffer(g.as_buffer(), np.int64) for g in chosen["grams"]]
+    landmarks = Landmarks.of(sets)
+
     @lean
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def kernels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first in range(0, len(batch), 64):
-                part = batch.slice(first, 64)
-                marks, known = presence(part["text"].to_pylist())
-                bits = [np.packbits(m > 0).tobytes() if k else None for m, k in zip(marks, known)]
-                yield pa.RecordBatch.from_arrays([part["lang"], pa.array(bits, pa.binary())], ["lang", "bits"])
+            values = [landmarks.kernel(windows(t)).tobytes() for t in batch["text"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch["turn"], batch["lang"], pa.array(values, pa.binary())], ["turn", "lang", "kernel"])
 
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    sample = class_sample(rows, "lang", per_class).select("lang", "text").mapInArrow(mark, "lang string, bits binary")
-    found = sample.filter("bits IS NOT NULL").toArrow().sort_by([("lang", "ascending"), ("bits", "ascending")])
-    if not len(found):
-        none = np.zeros((0, 0), np.float32)
-        return LanguageModel([], none, none, none)
-    marks = np.stack([np.unpackbits(np.frombuffer(b.as_buffer(), np.uint8)) for b in found["bits"]]).astype(np.float32)
-    return LanguageModel.fit(marks, found["lang"].to_pylist())
+    found = sample.select("turn", "lang", "text").mapInArrow(kernels, "turn int, lang string, kernel binary").toArrow()
+    found = found.sort_by([("lang", "ascending"), ("turn", "ascending")])
+    inner = np.stack([landmarks.kernel([s]) for s in sets])
+    return LanguageModel.fit(landmarks, inner, np.stack([np.frombuffer(k.as_buffer()) for k in found["kernel"]]), found["lang"].to_pylist())
 
 
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """``doc_id``, ``lang_pred`` and ``score`` (0 to 1) of every whole text.
 
+    The score of a long text is the mean over its windows, so it does not depend on the length.
+
     Null and empty texts, and texts without letters, are ``und`` with score 0, and so is
     every text where the model has no languages. Repeated rows get a row each; other
     columns are ignored; an empty table gives no rows.
