@@ -145,7 +145,7 @@ def test_change_store_survives_repeats_and_partial_compaction(spark, tmp_path):
     store.retire(old)
     assert as_rows(store.image()) == expected
     store.retire(store.compact())
-    assert store._complete("base") == [f"00000001-{store.buckets}"] and store._complete("delta") == []
+    assert store._complete("manifest") == ["00000001"] and store._complete("delta") == []
     assert as_rows(store.image()) == expected
 
 

@@ -26,6 +26,7 @@ from tidelog.functions.keys import (
 from tidelog.functions.sentinels import decode_value
 from tidelog.functions.skew import SALTS, spread_join
 from tidelog.functions.stored_text import from_stored_text, to_stored_text
+from tidelog.operators.filters import any_not_null
 from tidelog.operators.fold import ALIVE, RESET
 from tidelog.spec import OFFSET, PARTITION, TableSpec
 
@@ -80,11 +81,14 @@ def del_mutations(df: DataFrame, table: str, key_columns: list[str]) -> DataFram
     return emit(df, [entry(DEL, rk, None, None)])
 
 
-def folded_mutations(folded: DataFrame, spec: TableSpec, with_offsets: bool = True) -> DataFrame:
+def folded_mutations(folded: DataFrame, spec: TableSpec, with_offsets: bool = True,
+                     versioned_by: list[str] | None = None) -> DataFrame:
     """Mutations of the primary hash: absent columns are not written.
 
     A key that was deleted in the batch is removed first, also when it lives again.
-    A live key none of whose columns is present writes nothing.
+    A live key none of whose columns is present writes nothing. Where the columns of
+    ``spec`` are a part of the table's, ``versioned_by`` names all of them: partition and
+    offset follow a change of any.
     """
     rk = hash_key(spec.name, [F.col(c) for c in spec.pk])
     alive = F.col(ALIVE)
@@ -94,7 +98,7 @@ def folded_mutations(folded: DataFrame, spec: TableSpec, with_offsets: bool = Tr
         value = to_stored_text(F.col(name)["v"], spec.type_of(name))
         entries.append(F.when(alive & here, entry(SET, rk, F.lit(name), value)))
     if with_offsets:
-        anything = F.array_contains(F.array(*present), True)
+        anything = any_not_null(*[F.col(c) for c in versioned_by or spec.columns])
         for name in (PARTITION, OFFSET):
             entries.append(F.when(alive & anything, entry(
                 SET, rk, F.lit(name), to_stored_text(F.col(name)))))

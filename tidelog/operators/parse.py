@@ -10,26 +10,25 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DateType, StringType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DataType, DateType, StringType, StructType, TimestampNTZType, TimestampType
 
 from tidelog.spec import DELETE, INSERT, OFFSET, OP, PARTITION, UPDATE, TableSpec
 
 
 def typed_value(field: Column, dtype: DataType) -> Column:
-    """Typed value of a variant field.
+    """Typed value of a variant field, null where it is none.
 
     Text is trimmed. Whole numbers in a timestamp column are epoch milliseconds,
     in a date column days since the epoch.
     """
+    plain = F.try_variant_get(field, "$", dtype.simpleString())
     if isinstance(dtype, StringType):
-        return F.trim(field.cast(dtype))
+        return F.trim(plain)
     if isinstance(dtype, (TimestampType, TimestampNTZType)):
-        millis = F.timestamp_millis(F.try_variant_get(field, "$", "bigint"))
-        return F.coalesce(millis.cast(dtype), field.cast(dtype))
+        return F.coalesce(F.timestamp_millis(F.try_variant_get(field, "$", "bigint")).cast(dtype), plain)
     if isinstance(dtype, DateType):
-        days = F.date_from_unix_date(F.try_variant_get(field, "$", "int"))
-        return F.coalesce(days, field.cast(dtype))
-    return field.cast(dtype)
+        return F.coalesce(F.date_from_unix_date(F.try_variant_get(field, "$", "int")), plain)
+    return plain
 
 
 def _payload(text: str, fields: list[str]) -> Column:
@@ -56,34 +55,64 @@ def _evaluate_once(df: DataFrame, passed: list[str]) -> DataFrame:
         *[F.col(c) if c in passed else F.col("__row")[c].alias(c) for c in df.columns])
 
 
-def parse_changes(raw: DataFrame, spec: TableSpec, strict: bool = True) -> DataFrame:
-    """Typed changes: key columns, operation, partition, offset, presence structs.
+def _typed_records(raw: DataFrame, spec: TableSpec, whole: bool = False) -> DataFrame:
+    """Typed columns of every record, and ``__fault``: what keeps it from being a change, null if nothing does.
 
-    ``raw`` has KEY, VALUE, partition and offset. With ``strict`` a record without
-    a complete key or without one of the operations I, U, D fails the job;
-    otherwise its operation is kept as found (and the fold passes it by).
+    With ``whole`` the record as it came goes along as ``__record``.
     """
+    record = [F.struct(*raw.columns).alias("__record")] if whole else []
     docs = raw.select(
         _payload("KEY", spec.pk).alias("__key"),
         _payload("VALUE", [*spec.pk, OP, *spec.columns]).alias("__doc"),
         F.col("VALUE").isNull().alias("__gone"),
-        F.col("partition").alias(PARTITION), F.col("offset").alias(OFFSET))
+        F.col("partition").alias(PARTITION), F.col("offset").alias(OFFSET), *record)
     key, doc = F.col("__key"), F.col("__doc")
+    came = ["__record"] if whole else []
     keys = [F.coalesce(typed_value(key[f.name], f.dataType), typed_value(doc[f.name], f.dataType)).alias(f.name)
             for f in spec.key]
     op = tombstone_op(F.col("__gone"), typed_value(doc[OP], StringType()))
     cells = [F.when(doc[f.name].isNotNull(),
                     F.struct(typed_value(doc[f.name], f.dataType).alias("v"))).alias(f.name)
              for f in spec.values]
-    parsed = docs.select(*keys, op.alias(OP), PARTITION, OFFSET, *cells)
-    if not strict:
-        return _evaluate_once(parsed, [PARTITION, OFFSET])
-    valid = F.coalesce(F.col(OP).isin(INSERT, UPDATE, DELETE), F.lit(False))
-    for name in spec.pk:
-        valid = valid & F.col(name).isNotNull()
-    where = F.concat_ws(" ", F.lit("malformed change, partition and offset:"), PARTITION, OFFSET)
-    checked = parsed.withColumn(OP, F.when(valid, F.col(OP)).otherwise(F.raise_error(where)))
-    return _evaluate_once(checked, [PARTITION, OFFSET])
+    given = [(doc[c].isNotNull() & ~F.is_variant_null(doc[c])).alias(f"__given_{i}") for i, c in enumerate(spec.columns)]
+    parsed = docs.select(*keys, op.alias(OP), PARTITION, OFFSET, *cells, *given, *came)
+    lacking = [F.when(F.col(name).isNull(), F.lit(f"key {name}")) for name in spec.pk]
+    unknown = F.when(~F.coalesce(F.col(OP).isin(INSERT, UPDATE, DELETE), F.lit(False)), F.lit("operation"))
+    unfit = [F.when(F.col(f"__given_{i}") & F.col(c)["v"].isNull(), F.lit(f"value {c}")) for i, c in enumerate(spec.columns)]
+    fault = F.coalesce(*lacking, unknown, *unfit)
+    return parsed.select(*spec.pk, OP, PARTITION, OFFSET, *spec.columns, fault.alias("__fault"), *came)
+
+
+def parse_changes(raw: DataFrame, spec: TableSpec, strict: bool = True) -> DataFrame:
+    """Typed changes: key columns, operation, partition, offset, presence structs.
+
+    ``raw`` has KEY, VALUE, partition and offset. A record is malformed without a complete
+    key or one of the operations I, U, D, and if a value does not fit its column's type (a value
+    that is there but unfit is never taken for null). With ``strict`` such a record fails the job,
+    naming its partition and offset; otherwise it stays, its operation null, so that
+    nothing is done with it (``rejected_changes`` lists these records).
+    """
+    records, fault = _typed_records(raw, spec), F.col("__fault")
+    if strict:
+        where = F.concat_ws(" ", F.lit("malformed change, partition and offset:"), PARTITION, OFFSET, F.lit("in"), fault)
+        op = F.when(fault.isNull(), F.col(OP)).otherwise(F.raise_error(where))
+    else:
+        op = F.when(fault.isNull(), F.col(OP))
+    return _evaluate_once(records.withColumn(OP, op).drop("__fault"), [PARTITION, OFFSET])
+
+
+def rejected_changes(raw: DataFrame, spec: TableSpec) -> DataFrame:
+    """Malformed records as they came, with ``fault``: the first thing that is wrong with them.
+
+    For a topic or table of rejected records, beside ``parse_changes(..., strict=False)``.
+    """
+    rejected = _typed_records(raw, spec, whole=True).filter(F.col("__fault").isNotNull())
+    return rejected.select("__record.*", F.col("__fault").alias("fault"))
+
+
+def parse_operations(raw: DataFrame, spec: TableSpec, strict: bool = True) -> DataFrame:
+    """Key, operation, partition and offset alone: no value column is looked at."""
+    return parse_changes(raw, TableSpec(spec.name, spec.key, StructType()), strict)
 
 
 def flatten(changes: DataFrame, spec: TableSpec) -> DataFrame:

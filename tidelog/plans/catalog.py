@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import datetime
 import itertools
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -26,11 +28,14 @@ from tidelog.sinks.tables import replace_slice_files, written_table
 from tidelog.sources import jdbc as jdbc_source
 from tidelog.sources.change_stream import file_stream, project_raw
 from tidelog.spec import OFFSET, OP, PARTITION, TableSpec
+from tidelog.streaming.alerts import stream_lag_alerts as alerts_stream
 from tidelog.streaming.business import enriched_batch
 from tidelog.streaming.micro_batch import run_micro_batches, sync_hashes, sync_store
 from tidelog.streaming.pending import PendingLookups
-from tidelog.streaming.stateful import stateful_sync
+from tidelog.streaming.progress import ProgressRecords, observed_step
+from tidelog.streaming.stateful import state_rows, stateful_sync
 from tidelog.streaming.stats import STATS_KEY, BatchStats
+from tidelog.streaming.wakeup import lookup_wakeups
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -184,6 +189,45 @@ def change_store_reopened(spark, sf_dir):
     return agreed[0].intersectAll(agreed[1]).intersectAll(agreed[2])
 
 
+@query
+def change_store_compacted(spark, sf_dir):
+    """The image after three compactions, each of the buckets that its deltas touch."""
+    store = ChangeStore(spark, work_dir(spark, "store"), EVT, buckets=32)
+    log = written_table(fx.changes(spark, sf_dir))
+    bounds = [fx.log_position(spark, sf_dir, tenths) for tenths in (0, 4, 6, 9, 10)]
+    for n, (low, high) in enumerate(itertools.pairwise(bounds)):
+        store.append(log.filter(F.col(OFFSET).between(low, high - 1)))
+        if n < 3:
+            store.retire(store.compact())
+    return store.image()
+
+
+@query
+def change_store_changed_since(spark, sf_dir):
+    """Keys changed in the last fifth of the log, deleted ones too, by the store's ranges of offsets."""
+    store = ChangeStore(spark, work_dir(spark, "store"), EVT, buckets=32)
+    log = written_table(fx.changes(spark, sf_dir))
+    since = fx.log_position(spark, sf_dir, 8) - 1
+    for low, high in ((-1, since), (since, fx.log_position(spark, sf_dir, 9)), (fx.log_position(spark, sf_dir, 9), 1 << 62)):
+        store.append(log.filter((F.col(OFFSET) > low) & (F.col(OFFSET) <= high)))
+        if low < since:
+            store.compact()
+    return store.changed_since(since).select("user_id", fold.ALIVE, OFFSET)
+
+
+@query
+def offset_gate_from_store(spark, sf_dir):
+    """The late log gated by the zone maps of a store of a base and a delta."""
+    store = ChangeStore(spark, work_dir(spark, "store"), EVT, buckets=16)
+    log = written_table(fx.changes(spark, sf_dir))
+    middle, end = (fx.log_position(spark, sf_dir, tenths) for tenths in (3, 6))
+    store.append(log.filter(F.col(OFFSET) < middle))
+    store.compact()
+    store.append(log.filter(F.col(OFFSET).between(middle, end - 1)))
+    late = filters.effective_changes(log.filter(F.col(OFFSET) >= fx.log_position(spark, sf_dir, 4)), EVT)
+    return flatten(merge.offset_gate(late, store.applied_offsets()), EVT)
+
+
 # -- keyed hashes ------------------------------------------------------------------
 
 def _stored(spark, sf_dir):
@@ -528,6 +572,15 @@ def _stream(spark, path, files: int):
     return project_raw(records)
 
 
+def _ordered_topic(spark, sf_dir, tenths: list[int]) -> str:
+    """The raw log as one file per part, written one after the other: batches come in the order of the log."""
+    path, raw = work_dir(spark, "topic"), written_table(fx.raw_changes(spark, sf_dir))
+    bounds = [fx.log_position(spark, sf_dir, n) for n in tenths]
+    for low, high in itertools.pairwise(bounds):
+        raw.filter(F.col("offset").between(low, high - 1)).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
 @query
 def stream_sync_image(spark, sf_dir):
     stream = _stream(spark, _log_files(spark, sf_dir, 8), 2)
@@ -541,12 +594,7 @@ def stream_sync_hashes(spark, sf_dir):
     """Row hashes and a secondary hash kept in step with the log: the mutations of all batches, applied."""
     target, batches = work_dir(spark, "mutations"), itertools.count()
     store = ChangeStore(spark, work_dir(spark, "store"), EVT)
-    # one file after the other, so that the batches come in the order of the log
-    path, raw = work_dir(spark, "topic"), written_table(fx.raw_changes(spark, sf_dir))
-    bounds = [fx.log_position(spark, sf_dir, tenths) for tenths in (0, 3, 5, 8, 10)]
-    for low, high in zip(bounds[:-1], bounds[1:]):
-        raw.filter(F.col("offset").between(low, high - 1)).coalesce(1).write.mode("append").parquet(path)
-    stream = _stream(spark, path, 1)
+    stream = _stream(spark, _ordered_topic(spark, sf_dir, [0, 3, 5, 8, 10]), 1)
     sync_hashes(stream, EVT, store, work_dir(spark, "offsets"),
                 lambda m: m.withColumn("n", F.lit(next(batches))).write.mode("append").parquet(target),
                 [["TAG"]], ["AMT", "TAG"], compact_every=3).awaitTermination()
@@ -557,6 +605,22 @@ def stream_sync_hashes(spark, sf_dir):
     return content
 
 
+@query
+def stream_sync_hashes_narrow(spark, sf_dir):
+    """Status of the newest changes against hashes that hold one column of the table: none is stale."""
+    target, batches = work_dir(spark, "mutations"), itertools.count()
+    sync_hashes(_stream(spark, _ordered_topic(spark, sf_dir, [0, 4, 7, 10]), 1), EVT, ChangeStore(spark, work_dir(spark, "store"), EVT),
+                work_dir(spark, "offsets"),
+                lambda m: m.withColumn("n", F.lit(next(batches))).write.mode("append").parquet(target),
+                value_columns=["TAG"]).awaitTermination()
+    written = spark.read.parquet(target)
+    content = spark.createDataFrame([], "rk string, field string, value string")
+    for n in range(next(batches)):
+        content = written_table(hash_store.apply_mutations(content, written.filter(F.col("n") == n).drop("n")))
+    changes = filters.effective_changes(fx.changes(spark, sf_dir), EVT)
+    return versioned_lookup.versioned_lookup(changes, content, EVT.name, EVT.pk, StructType([EVT.values["TAG"]]))
+
+
 @query
 def stream_pending_lookups(spark, sf_dir):
     """Keys looked up in a store that lags behind: the status of what was ready, late or given up.
@@ -577,24 +641,94 @@ def stream_pending_lookups(spark, sf_dir):
     return reduce(DataFrame.unionByName, rows)
 
 
+@contextlib.contextmanager
+def _state_store(spark):
+    """RocksDB as the provider of streaming state, while the block runs.
+
+    Batches without data are switched off: where a state has timers there would be no end of them.
+    """
+    settings = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB, "spark.sql.streaming.noDataMicroBatches.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def _collected(rows, target: str, checkpoint: str) -> None:
+    """Run a stream over what is there, appending its rows with their batch number to ``target``."""
+    run_micro_batches(rows, lambda df, n: df.withColumn("batch", F.lit(n)).write.mode("append").parquet(target),
+                      checkpoint).awaitTermination()
+
+
 @query
 def stream_keyed_state(spark, sf_dir):
     """The same image from the state store: newest emitted row per key, if alive."""
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(provider)
-    spark.conf.set(provider, ROCKSDB)
-    try:
-        target = work_dir(spark, "emitted")
+    target = work_dir(spark, "emitted")
+    with _state_store(spark):
         changes = parse_changes(_stream(spark, _log_files(spark, sf_dir, 8), 4), EVT)
-        run_micro_batches(stateful_sync(changes, EVT),
-                          lambda rows, n: rows.withColumn("batch", F.lit(n)).write.mode("append").parquet(target),
-                          work_dir(spark, "offsets")).awaitTermination()
-    finally:
-        spark.conf.set(provider, before)
+        _collected(stateful_sync(changes, EVT), target, work_dir(spark, "offsets"))
     emitted = filters.latest_by_key(spark.read.parquet(target), EVT.pk, F.col("batch"))
     return emitted.filter(fold.ALIVE).drop(fold.ALIVE, "batch")
 
 
+@query
+def stream_keyed_state_seeded(spark, sf_dir):
+    """The image read back from the state itself, seeded with the early image; deleted keys are forgotten."""
+    checkpoint, path, files = work_dir(spark, "offsets"), work_dir(spark, "topic"), 4
+    raw = written_table(fx.raw_changes(spark, sf_dir).filter(F.col("offset") >= fx.log_position(spark, sf_dir, 6)))
+    raw.repartitionByRange(files, "offset").write.parquet(path)
+    with _state_store(spark):
+        changes = parse_changes(_stream(spark, path, 2), EVT)
+        rows = stateful_sync(changes, EVT, image=fx.early_image(spark, sf_dir), keep_deleted=86_400)
+        _collected(rows, work_dir(spark, "emitted"), checkpoint)
+        state = state_rows(spark, checkpoint, EVT)
+    return state.filter(fold.ALIVE).drop(fold.ALIVE)
+
+
+@query
+def stream_lookup_wakeup(spark, sf_dir):
+    """Outcomes of the newest changes against a store that lags behind and then catches up for even keys.
+
+    The first batch brings the changes, the next one the store's updates; what still waits then is given up.
+    """
+    target, changes_at, updates_at = (work_dir(spark, n) for n in ("outcomes", "changes", "updates"))
+    log = written_table(filters.effective_changes(fx.changes(spark, sf_dir), EVT).select("user_id", OP, OFFSET))
+    stored = lambda image: image.select("user_id", OFFSET, F.lit(False).alias("__gone"), *EVT.columns)
+    seed = stored(fx.early_image(spark, sf_dir))
+    final = stored(written_table(fx.image(fx.changes(spark, sf_dir)))).filter("user_id % 2 = 0")
+    log.coalesce(1).write.parquet(changes_at)
+    final.limit(0).write.parquet(updates_at)
+    with _state_store(spark):
+        stream = lambda at, like: spark.readStream.schema(like.schema).parquet(at)
+        outcomes = lookup_wakeups(stream(changes_at, log), stream(updates_at, final), EVT.pk, EVT.values, seed, max_wait=0.001)
+        checkpoint = work_dir(spark, "offsets")
+        _collected(outcomes, target, checkpoint)
+        final.coalesce(1).write.mode("append").parquet(updates_at)
+        _collected(outcomes, target, checkpoint)
+    return spark.read.parquet(target).drop("batch")
+
+
+@query
+def stream_lag_alerts(spark, sf_dir):
+    """The alarms of ``lag_alerts`` raised batch by batch, with a restart in between."""
+    target, path, checkpoint = (work_dir(spark, n) for n in ("alerts", "samples", "offsets"))
+    samples = written_table(fx.lag_samples(spark, sf_dir).select("consumer", "sample_no", "status"))
+    bounds = [fx.log_position(spark, sf_dir, tenths) for tenths in (0, 3, 5, 8, 10)]
+    alerts = None
+    with _state_store(spark):
+        for n, (low, high) in enumerate(itertools.pairwise(bounds)):
+            samples.filter(F.col("sample_no").between(low, high - 1)).coalesce(1).write.mode("append").parquet(path)
+            if n % 2:
+                stream = spark.readStream.schema(samples.schema).option("maxFilesPerTrigger", 1).parquet(path)
+                alerts = alerts_stream(stream)
+                _collected(alerts, target, checkpoint)
+    return spark.read.parquet(target).drop("batch")
+
+
 @query
 def stream_business_records(spark, sf_dir):
     """Records of the business job: changed BUILDING customers, tombstones for the others."""
@@ -631,6 +765,23 @@ def batch_stats(spark, sf_dir):
         F.sum("ROW_CNT").alias("ROW_CNT"))
 
 
+@query
+def stream_progress_records(spark, sf_dir):
+    """Rows per step from the progress events of the stream; the batch function only writes."""
+    name = f"progress-{uuid.uuid4().hex}"
+    listener = ProgressRecords(name, "BATCH_STATS", "changes by step")
+    read = observed_step(parse_changes(_stream(spark, _log_files(spark, sf_dir, 4), 2), EVT), 1, "read")
+    kept = observed_step(filters.effective_changes(read, EVT), 2, "effective")
+    spark.streams.addListener(listener)
+    try:
+        run_micro_batches(kept, lambda df, n: df.write.format("noop").mode("overwrite").save(), work_dir(spark, "offsets"),
+                          name=name).awaitTermination()
+        listener.wait()
+    finally:
+        spark.streams.removeListener(listener)
+    return listener.flush(spark).groupBy("APP_NAME", "MSG", "STEM_NUM").agg(F.sum("ROW_CNT").alias("ROW_CNT"))
+
+
 @query
 def batch_stats_records(spark, sf_dir):
     """The statistics of one pass over the log as records of a topic."""

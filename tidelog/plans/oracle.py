@@ -189,6 +189,14 @@ _ENCODED_AMT = "CASE WHEN op = 'U' AND amt_p AND amt IS NULL THEN CAST(-99999999
 
 
 def all_sql() -> dict[str, str]:
+    found = _all_sql()
+    # the streaming form of a query has the result of the batch form
+    found["stream_lag_alerts"] = found["lag_alerts"]
+    found["stream_progress_records"] = found["batch_stats"]
+    return found
+
+
+def _all_sql() -> dict[str, str]:
     cl, img, now, lagging = f"WITH {_CL} ", f"WITH {_IMG} ", f"WITH {_NOW} ", f"WITH {_LAGGING} "
     latest = "arg_max(cl, off)"
     return {
@@ -223,6 +231,11 @@ def all_sql() -> dict[str, str]:
         "merge_snapshot_small_batch": _MERGED_ROWS,
         "merge_snapshot_versioned": _FOLDED_ROWS,
         "change_store_reopened": _FOLDED_ROWS,
+        "change_store_compacted": _FOLDED_ROWS,
+        "change_store_changed_since": f"WITH {_CL}, {_fold('f1', 'cl')} SELECT user_id, alive AS __alive, off AS KFK_OFFSET "
+                                      f"FROM f1 WHERE off * 10 >= {_LENGTH} * 8",
+        "offset_gate_from_store": f"WITH {_CL}, mx AS (SELECT ptt, MAX(off) AS mo FROM cl WHERE {_EFFECTIVE} AND {_EARLY} GROUP BY ptt) "
+                                  f"SELECT {_FLAT} FROM cl LEFT JOIN mx USING (ptt) WHERE {_EFFECTIVE} AND {_LATE} AND off > COALESCE(mo, -1)",
         "kv_mutations": f"WITH {_CL}, {_fold('f1', 'cl')} {_mutations('f1')}",
         "kv_row_mutations":
             "SELECT 'CUSTOMER:' || c_nationkey AS rk, c_custkey || ':c_name' AS field, "
@@ -311,6 +324,25 @@ def all_sql() -> dict[str, str]:
                               "WHERE c_mktsegment = 'MACHINERY'",
         "stream_sync_image": _FOLDED_ROWS,
         "stream_keyed_state": _FOLDED_ROWS,
+        "stream_keyed_state_seeded": _FOLDED_ROWS,
+        "stream_lookup_wakeup": f"""WITH early AS ({img} SELECT user_id, off FROM img),
+            final AS ({now} SELECT * FROM now),
+            asked AS (SELECT user_id, arg_max(op, off) AS op, MAX(off) AS off FROM ({cl} SELECT * FROM cl WHERE {_EFFECTIVE}) GROUP BY user_id),
+            judged AS (
+              SELECT a.*, CASE WHEN op = 'I' AND e.user_id IS NOT NULL OR e.off >= a.off THEN 'ok'
+                               WHEN f.user_id IS NOT NULL AND a.user_id % 2 = 0 THEN 'late'
+                               WHEN e.user_id IS NULL THEN 'expired' ELSE 'stale' END AS outcome
+                FROM asked a LEFT JOIN early e USING (user_id) LEFT JOIN final f USING (user_id) WHERE op <> 'D'),
+            held AS ({img} SELECT * FROM img)
+            SELECT j.user_id, j.op AS "__OP_TYPE", j.off AS KFK_OFFSET, outcome,
+                   CASE outcome WHEN 'ok' THEN h.amt WHEN 'late' THEN f.amt END AS AMT,
+                   CASE outcome WHEN 'ok' THEN h.tag WHEN 'late' THEN f.tag END AS TAG,
+                   CASE outcome WHEN 'ok' THEN h.props WHEN 'late' THEN f.props END AS PROPS
+              FROM judged j LEFT JOIN held h USING (user_id) LEFT JOIN final f USING (user_id)""",
+        "stream_sync_hashes_narrow": now + f""", newest AS (SELECT * FROM cl WHERE {_EFFECTIVE}
+                QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY off DESC) = 1)
+            SELECT n.user_id, n.op AS "__OP_TYPE", n.off AS KFK_OFFSET, 'ok' AS status, now.tag AS TAG
+              FROM newest n JOIN now USING (user_id) WHERE n.op <> 'D'""",
         "stream_sync_hashes": "SELECT rk, field, value FROM (" + now + _store("now") + ") WHERE field <> 'PROPS' AND NOT (field = 'TAG' AND value = 'None') "
                               "UNION ALL " + _tag_hash(f"({_FOLDED_ROWS})", ["AMT", "TAG"]),
         "stream_pending_lookups": f"""WITH early AS ({img} SELECT user_id FROM img),

@@ -1,20 +1,26 @@
-"""Durable state of a replicated table: a base and one small delta per micro-batch.
+"""Durable state of a replicated table: a bucketed base, its manifest, and one small delta per micro-batch.
 
 A batch is reduced to one state per key and written to a delta folder of its own; the
-image is never rewritten for it. Reading combines the base with all deltas. As
-combining is idempotent, a batch written twice, a delta already merged into the base,
-or an interrupted compaction does not change the result, so no commit log is needed
-and nothing is overwritten. ``compact`` merges the deltas into a new base, partitioned
-by a bucket of the key so that the lookup of few keys reads few buckets. The number of
-buckets is part of a base's name; whoever opens the store reads each base by its own.
+image is never rewritten for it. Reading combines the base with the deltas that the base does
+not hold yet. ``compact`` merges these into the buckets they touch, writes those buckets as a
+new version, and then a manifest: which folder holds each bucket and the offsets in it, and
+which deltas are contained. The other buckets stay where they are, so a compaction costs what
+the deltas touch, and a delta is read until it is merged and never again.
+
+As combining is idempotent, a batch written twice or a compaction that ended before its
+manifest changes nothing. Beside every delta and every base lies a zone map, the largest
+offset per partition, so that a gate by offset reads neither.
 """
 
 from __future__ import annotations
 
+import json
+import re
 import uuid
+from dataclasses import asdict, dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
@@ -30,7 +36,19 @@ from tidelog.operators.fold import (
 )
 from tidelog.spec import OFFSET, PARTITION, TableSpec
 
-BUCKET = "__bucket"
+BUCKET, VERSION = "__bucket", "__version"
+DELTA_NAME = re.compile(r"[0-9a-f]{32}")
+
+
+@dataclass
+class Manifest:
+    """What the base consists of; its size follows the number of buckets, not of rows."""
+
+    version: int = -1
+    buckets: int = 0
+    written: dict[str, int] = field(default_factory=dict)          # bucket -> version whose folder holds it
+    offsets: dict[str, list[int]] = field(default_factory=dict)    # bucket -> least and largest offset
+    deltas: list[str] = field(default_factory=list)                # merged, as far as their folders still exist
 
 
 class ChangeStore:
@@ -43,18 +61,31 @@ class ChangeStore:
         self.buckets = buckets
 
     # -- folders ---------------------------------------------------------
-    def _files(self, path: str):
-        jvm_path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        return jvm_path, jvm_path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+    def _glob(self, pattern: str) -> list[str]:
+        """Paths below the root that match, relative to it."""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{pattern}")
+        found = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+        depth = pattern.count("/") + 1
+        return sorted("/".join(status.getPath().toUri().getPath().split("/")[-depth:]) for status in found or [])
 
     def _complete(self, kind: str) -> list[str]:
         """Names of the completely written folders of a kind (those with a success marker)."""
-        path, files = self._files(f"{self.root}/{kind}")
-        if not files.exists(path):
-            return []
-        marked = files.globStatus(self._files(f"{self.root}/{kind}/*/_SUCCESS")[0])
-        return sorted(status.getPath().getParent().getName() for status in marked)
+        return [name.split("/")[1] for name in self._glob(f"{kind}/*/_SUCCESS")]
+
+    def manifest(self) -> Manifest:
+        """The newest complete manifest."""
+        versions = [int(name) for name in self._complete("manifest")]
+        if not versions:
+            return Manifest()
+        text = self.spark.read.text(f"{self.root}/manifest/{max(versions):08d}", wholetext=True).first()[0]
+        return Manifest(**json.loads(text))
 
+    def _new_deltas(self, manifest: Manifest) -> list[str]:
+        """Complete deltas that the base does not contain."""
+        merged = set(manifest.deltas)
+        return [name for name in self._complete("delta") if DELTA_NAME.fullmatch(name) and name not in merged]
+
+    # -- layout ----------------------------------------------------------
     def _state_schema(self) -> StructType:
         at = lambda f: StructType([StructField("at", LongType()), StructField("v", f.dataType)])
         return StructType(
@@ -63,69 +94,132 @@ class ChangeStore:
                StructField(DELETED_AT, LongType()), StructField(LIVE_AT, LongType())]
             + [StructField(f.name, at(f)) for f in self.spec.values])
 
-    def _bucket(self, buckets: int):
+    def _zone_schema(self) -> StructType:
+        return StructType([StructField(PARTITION, IntegerType()), StructField(OFFSET, LongType())])
+
+    def _bucket(self, buckets: int) -> Column:
         return F.pmod(F.xxhash64(*self.spec.pk), F.lit(buckets)).cast("int")
 
-    # -- writing ---------------------------------------------------------
+    def _buckets_of(self, df: DataFrame, buckets: int) -> list[int]:
+        """Buckets that the keys of ``df`` fall into; at most ``buckets`` numbers reach the driver."""
+        return sorted(r[0] for r in df.select(self._bucket(buckets).alias("b")).distinct().collect())
+
     def _cast(self, states: DataFrame) -> DataFrame:
         return states.select(*[F.col(f.name).cast(f.dataType).alias(f.name)
                                for f in self._state_schema()])
 
-    def _write_base(self, states: DataFrame) -> None:
-        bases = self._complete("base")
-        number = int(bases[-1].partition("-")[0]) + 1 if bases else 0
-        # adaptive execution sizes the files: large buckets are split, small ones share a task
-        (self._cast(states).withColumn(BUCKET, self._bucket(self.buckets)).hint("rebalance", BUCKET)
-         .write.mode("overwrite").partitionBy(BUCKET)
-         .parquet(f"{self.root}/base/{number:08d}-{self.buckets}"))
+    def _empty(self) -> DataFrame:
+        return self.spark.createDataFrame([], self._state_schema())
 
-    def seed(self, image: DataFrame) -> None:
-        """Take in a table image (offsets -1 if it was bulk loaded)."""
-        rows = self._cast(lift_rows(image, self.spec))
-        self._write_base(combine_states(self.states().unionByName(rows), self.spec))
+    # -- writing ---------------------------------------------------------
+    def _zones(self, states: DataFrame) -> DataFrame:
+        return (states.filter(F.col(PARTITION).isNotNull()).groupBy(PARTITION).agg(F.max(OFFSET).alias(OFFSET))
+                .select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self._zone_schema()]))
 
     def append(self, changes: DataFrame) -> None:
         """Store the net effect of a batch of changes; storing it again is harmless."""
         states = combine_states(lift_changes(changes, self.spec), self.spec)
-        self._cast(states).write.parquet(f"{self.root}/delta/{uuid.uuid4().hex}")
+        name = uuid.uuid4().hex
+        self._cast(states).write.parquet(f"{self.root}/delta/{name}")
+        # a delta whose zone map is lacking is still read, and asked for its offsets itself
+        self._zones(self._read_deltas([name])).coalesce(1).write.parquet(f"{self.root}/zone/{name}")
+
+    def seed(self, image: DataFrame) -> None:
+        """Take in a table image (offsets -1 if it was bulk loaded)."""
+        self._merge(self._cast(lift_rows(image, self.spec)), everything=True)
 
     def compact(self) -> list[str]:
-        """Merge all deltas into a new base; returns the folders it replaces."""
-        merged = [f"base/{n}" for n in self._complete("base")]
-        merged += [f"delta/{n}" for n in self._complete("delta")]
-        self._write_base(self.states())
-        return merged
+        """Merge the deltas into the buckets they touch; returns the folders that are no longer needed."""
+        self._merge(None)
+        return self.replaced()
+
+    def _merge(self, more: DataFrame | None, everything: bool = False) -> None:
+        manifest = self.manifest()
+        deltas = self._new_deltas(manifest)
+        other_layout = manifest.version >= 0 and manifest.buckets != self.buckets
+        if not deltas and more is None and not other_layout:
+            return
+        fresh = [] if more is None else [more]
+        fresh += [self._read_deltas(deltas)] if deltas else []
+        touched = None if everything or other_layout else self._buckets_of(reduce(DataFrame.unionByName, fresh), self.buckets)
+        kept = self._read_base(manifest, touched)
+        states = combine_states(reduce(DataFrame.unionByName, [*([] if kept is None else [kept]), *fresh]), self.spec)
+        version = manifest.version + 1
+        # adaptive execution sizes the files: large buckets are split, small ones share a task
+        (self._cast(states).withColumn(BUCKET, self._bucket(self.buckets)).hint("rebalance", BUCKET)
+         .write.mode("overwrite").partitionBy(BUCKET).parquet(self._version_folder(version)))
+        zones = self._applied(manifest, deltas)
+        if more is not None:
+            zones = zones.unionByName(self._zones(more))
+        self._zones(zones).coalesce(1).write.mode("overwrite").parquet(f"{self.root}/zone/base-{version:08d}")
+        self._commit(manifest, version, deltas, touched is None)
+
+    def _version_folder(self, version: int) -> str:
+        return f"{self.root}/base/{VERSION}={version}"
+
+    def _commit(self, before: Manifest, version: int, deltas: list[str], everything: bool) -> None:
+        """Write the manifest that makes a version's buckets count."""
+        schema = self._state_schema().add(StructField(BUCKET, IntegerType()))
+        rows = self.spark.read.schema(schema).parquet(self._version_folder(version))
+        ranges = rows.groupBy(BUCKET).agg(F.min(OFFSET).alias("low"), F.max(OFFSET).alias("high")).collect()
+        written, offsets = ({}, {}) if everything else (dict(before.written), dict(before.offsets))
+        written.update({str(r[BUCKET]): version for r in ranges})
+        offsets.update({str(r[BUCKET]): [r["low"], r["high"]] for r in ranges})
+        there = set(self._complete("delta"))
+        after = Manifest(version, self.buckets, written, offsets, [d for d in before.deltas if d in there] + deltas)
+        text = self.spark.createDataFrame([(json.dumps(asdict(after)),)], "value string")
+        text.coalesce(1).write.text(f"{self.root}/manifest/{version:08d}")
+
+    def replaced(self) -> list[str]:
+        """Folders that the newest manifest does without: merged deltas, and versions of buckets before it."""
+        manifest = self.manifest()
+        gone = [f"delta/{name}" for name in manifest.deltas] + [f"zone/{name}" for name in manifest.deltas]
+        for name in self._glob(f"base/{VERSION}=*/{BUCKET}=*"):
+            version, bucket = (int(part.partition("=")[2]) for part in name.split("/")[1:])
+            if version <= manifest.version and manifest.written.get(str(bucket)) != version:
+                gone.append(name)
+        gone += [f"manifest/{name}" for name in self._complete("manifest") if int(name) < manifest.version]
+        gone += [name for name in self._glob("zone/base-*") if int(name[-8:]) < manifest.version]
+        return gone
 
     def retire(self, folders: list[str]) -> None:
         """Delete folders a compaction has replaced, once no reader uses them."""
         for name in folders:
-            path, files = self._files(f"{self.root}/{name}")
-            files.delete(path, True)
+            path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
     # -- reading ---------------------------------------------------------
-    def _base(self) -> tuple[DataFrame, int | None] | None:
-        """The newest base and its number of buckets, None if its name does not tell it."""
-        bases = self._complete("base")
-        if not bases:
+    def _read_base(self, manifest: Manifest, buckets: list[int] | None = None) -> DataFrame | None:
+        """States of the given buckets (all, if None); only their folders are listed and read."""
+        wanted = manifest.written if buckets is None else {str(b): None for b in buckets}
+        folders = [f"{self._version_folder(manifest.written[b])}/{BUCKET}={b}" for b in wanted if b in manifest.written]
+        if not folders:
             return None
-        schema = self._state_schema().add(StructField(BUCKET, IntegerType()))
-        layout = bases[-1].partition("-")[2]
-        base = self.spark.read.schema(schema).parquet(f"{self.root}/base/{bases[-1]}")
-        return base, int(layout) if layout else None
+        schema = self._state_schema().add(StructField(VERSION, IntegerType())).add(StructField(BUCKET, IntegerType()))
+        base = self.spark.read.schema(schema).option("basePath", f"{self.root}/base").parquet(*folders)
+        return base.drop(VERSION, BUCKET)
 
-    def _deltas(self) -> DataFrame | None:
-        deltas = self._complete("delta")
-        if not deltas:
-            return None
-        return self.spark.read.schema(self._state_schema()).parquet(
-            *[f"{self.root}/delta/{n}" for n in deltas])
+    def _read_deltas(self, names: list[str]) -> DataFrame:
+        return self.spark.read.schema(self._state_schema()).parquet(*[f"{self.root}/delta/{n}" for n in names])
+
+    def _applied(self, manifest: Manifest, deltas: list[str]) -> DataFrame:
+        """Rows of the zone maps of the base and of ``deltas``."""
+        mapped = set(self._complete("zone"))
+        maps = [f"{self.root}/zone/{n}" for n in deltas if n in mapped]
+        if manifest.version >= 0:
+            maps.append(f"{self.root}/zone/base-{manifest.version:08d}")
+        found = (self.spark.read.schema(self._zone_schema()).parquet(*maps) if maps
+                 else self.spark.createDataFrame([], self._zone_schema()))
+        unmapped = [n for n in deltas if n not in mapped]
+        return found.unionByName(self._zones(self._read_deltas(unmapped))) if unmapped else found
 
-    def _base_of(self, base: DataFrame, buckets: int | None, keys: DataFrame) -> DataFrame:
-        """Base rows of pinned keys, reading only the buckets they fall into."""
-        if buckets:
-            hit = [r[0] for r in keys.select(self._bucket(buckets).alias("b")).distinct().collect()]
-            base = base.filter(F.col(BUCKET).isin(hit))
-        return base.drop(BUCKET).join(F.broadcast(keys), self.spec.pk, "left_semi")
+    def applied_offsets(self) -> DataFrame:
+        """Largest offset held per partition, from the zone maps alone.
+
+        Usable as the image of ``offset_gate``: neither the base nor a delta is read.
+        """
+        manifest = self.manifest()
+        return self._zones(self._applied(manifest, self._new_deltas(manifest)))
 
     def states(self, max_keys: int = SMALL_ROWS) -> DataFrame:
         """One state per key, deleted keys included.
@@ -134,19 +228,26 @@ class ChangeStore:
         part of the base is passed through without a shuffle. Only keys are counted and
         broadcast; the rows of the deltas stay on the executors.
         """
-        found, deltas = self._base(), self._deltas()
-        if deltas is None:
-            empty = self.spark.createDataFrame([], self._state_schema())
-            return empty if found is None else found[0].drop(BUCKET)
-        if found is None:
+        manifest = self.manifest()
+        names = self._new_deltas(manifest)
+        base = self._read_base(manifest)
+        if not names:
+            return self._empty() if base is None else base
+        deltas = self._read_deltas(names)
+        if base is None:
             return self._cast(combine_states(deltas, self.spec))
-        base, buckets = found
         keys, small = pin_small(deltas.select(*self.spec.pk).distinct(), max_keys)
         if not small:
-            return self._cast(combine_states(base.drop(BUCKET).unionByName(deltas), self.spec))
-        touched = combine_states(self._base_of(base, buckets, keys).unionByName(deltas), self.spec)
-        untouched = base.drop(BUCKET).join(F.broadcast(keys), self.spec.pk, "left_anti")
-        return untouched.unionByName(self._cast(touched))
+            return self._cast(combine_states(base.unionByName(deltas), self.spec))
+        hit = self._buckets_of(keys, manifest.buckets)
+        parts = [self._read_base(manifest, [int(b) for b in manifest.written if int(b) not in set(hit)])]
+        held = self._read_base(manifest, hit)
+        fresh = deltas
+        if held is not None:
+            parts.append(held.join(F.broadcast(keys), self.spec.pk, "left_anti"))
+            fresh = held.join(F.broadcast(keys), self.spec.pk, "left_semi").unionByName(deltas)
+        parts.append(self._cast(combine_states(fresh, self.spec)))
+        return reduce(DataFrame.unionByName, [p for p in parts if p is not None])
 
     def image(self) -> DataFrame:
         """Current rows of the table."""
@@ -161,10 +262,31 @@ class ChangeStore:
         wanted, small = pin_small(keys.select(*self.spec.pk).distinct(), max_keys)
         if not small:
             return self.image().join(wanted, self.spec.pk, "left_semi")
-        found, deltas = self._base(), self._deltas()
-        parts = [] if found is None else [self._base_of(*found, wanted)]
-        if deltas is not None:
-            parts.append(deltas.join(F.broadcast(wanted), self.spec.pk, "left_semi"))
-        parts = parts or [self.spark.createDataFrame([], self._state_schema())]
+        manifest = self.manifest()
+        names, parts = self._new_deltas(manifest), []
+        if manifest.written:
+            parts.append(self._read_base(manifest, self._buckets_of(wanted, manifest.buckets)))
+        if names:
+            parts.append(self._read_deltas(names))
+        parts = [p.join(F.broadcast(wanted), self.spec.pk, "left_semi") for p in parts if p is not None] or [self._empty()]
         combined = combine_states(reduce(DataFrame.unionByName, parts), self.spec)
         return current_rows(finish_states(combined, self.spec), self.spec)
+
+    def changed_since(self, offset: int) -> DataFrame:
+        """Folded states of the keys whose newest change is after ``offset``, deleted ones too.
+
+        Reads the deltas not merged yet, their buckets, and the buckets whose range of
+        offsets goes beyond ``offset``.
+        """
+        manifest = self.manifest()
+        names = self._new_deltas(manifest)
+        buckets = {int(b) for b, (_, high) in manifest.offsets.items() if high > offset}
+        parts = []
+        if names:
+            deltas = self._read_deltas(names)
+            parts.append(deltas)
+            buckets |= set(self._buckets_of(deltas, manifest.buckets)) if manifest.written else set()
+        parts.append(self._read_base(manifest, sorted(buckets)))
+        parts = [p for p in parts if p is not None] or [self._empty()]
+        combined = combine_states(reduce(DataFrame.unionByName, parts), self.spec)
+        return finish_states(combined.filter(F.col(OFFSET) > offset), self.spec)

@@ -28,9 +28,9 @@ def kafka_options(servers: str, topics: str, starting: str = "latest",
 
 
 def kafka_stream(spark: SparkSession, servers: str, topics: str, starting: str = "latest",
-                 max_offsets: int = MAX_OFFSETS_PER_TRIGGER) -> DataFrame:
-    """Kafka change stream (needs the Kafka connector on the class path)."""
-    options = kafka_options(servers, topics, starting, max_offsets)
+                 max_offsets: int = MAX_OFFSETS_PER_TRIGGER, fail_on_data_loss: bool = True) -> DataFrame:
+    """Kafka change stream (needs the Kafka connector on the class path); see ``kafka_options``."""
+    options = kafka_options(servers, topics, starting, max_offsets, fail_on_data_loss)
     return project_raw(spark.readStream.format("kafka").options(**options).load())
 
 

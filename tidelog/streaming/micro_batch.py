@@ -21,15 +21,15 @@ BatchFunction = Callable[[DataFrame, int], None]
 
 
 def run_micro_batches(stream: DataFrame, on_batch: BatchFunction, checkpoint: str,
-                      continuous: bool = False, interval: str = "10 seconds") -> StreamingQuery:
-    """Start a query that hands every micro-batch to ``on_batch``.
+                      continuous: bool = False, interval: str = "10 seconds", name: str | None = None) -> StreamingQuery:
+    """Start a query, ``name`` if given, that hands every micro-batch to ``on_batch``.
 
     Offsets are recorded in ``checkpoint`` after the function returns, so a failed
     batch is repeated. Unless ``continuous``, the query ends with the available data.
     """
     trigger = {"processingTime": interval} if continuous else {"availableNow": True}
-    return (stream.writeStream.foreachBatch(on_batch).trigger(**trigger)
-            .option("checkpointLocation", checkpoint).start())
+    writer = stream.writeStream.foreachBatch(on_batch).trigger(**trigger).option("checkpointLocation", checkpoint)
+    return (writer.queryName(name) if name else writer).start()
 
 
 def sync_store(stream: DataFrame, spec: TableSpec, store: ChangeStore, checkpoint: str,
@@ -49,14 +49,15 @@ def sync_store(stream: DataFrame, spec: TableSpec, store: ChangeStore, checkpoin
 
 
 def _compaction(store: ChangeStore, every: int) -> Callable[[int], None]:
-    """Merge the deltas every so many batches; delete what the merge before has replaced."""
-    replaced: list[str] = []
+    """Merge the deltas every so many batches; delete what the merge before has replaced.
 
+    What is replaced stands in the manifest, so a restart in between leaves nothing behind.
+    """
     def step(batch_id: int) -> None:
         if (batch_id + 1) % every == 0:
-            merged = store.compact()
+            replaced = store.replaced()
+            store.compact()
             store.retire(replaced)
-            replaced[:] = [name for name in merged if name not in replaced]
 
     return step
 
@@ -70,11 +71,13 @@ def sync_hashes(stream: DataFrame, spec: TableSpec, store: ChangeStore, checkpoi
     ``store`` keeps the table state and gives the old rows of the touched keys.
     ``write`` receives a mutation frame, for instance
     ``tidelog.sinks.hash_writer.write_mutations``. The first batch after a start is
-    gated by the offsets the store holds: it may have been applied before. Mutations
+    gated by the store's zone maps of offsets: it may have been applied before. Mutations
     are written before the store moves on, so an interrupted batch is derived anew.
     The changes of a key must come in the order of their offsets, as a topic gives them.
     The store keeps all columns of ``spec``; ``value_columns`` only narrows what is
-    written. Its deltas are merged every ``compact_every`` batches.
+    written. Partition and offset are written for every effective change of the table, whatever
+    columns it has, so that a lookup does not take the hash for stale. Deltas are merged every
+    ``compact_every`` batches.
     """
     first = True
     pseudo_keys = pseudo_keys or []
@@ -86,14 +89,14 @@ def sync_hashes(stream: DataFrame, spec: TableSpec, store: ChangeStore, checkpoi
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         nonlocal first
         parsed = parse_changes(batch, spec)
-        changes = (offset_gate(parsed, store.states()) if first else parsed).persist()
+        changes = (offset_gate(parsed, store.applied_offsets()) if first else parsed).persist()
         folded = fold_changes(changes, spec).persist()
         try:
             if pseudo_keys:
                 before = store.rows_of(folded)
                 touched = touched_before_after(before, folded, narrow)
                 write(index_mutations(touched, narrow, pseudo_keys, value_columns))
-            write(folded_mutations(folded, narrow))
+            write(folded_mutations(folded, narrow, versioned_by=spec.columns))
             store.append(changes)
             first = False
             compact(batch_id)

@@ -1,90 +1,185 @@
 """Keyed sync with Spark's state store: emits the new row of every changed key.
 
-The state per key is the one of ``tidelog.operators.fold``: changes are taken in
-any order, one at a time, and nothing but the state is held.
+The state per key is the one of ``tidelog.operators.fold``: changes are taken in any order,
+and nothing but the state is held. Every task first reduces its own changes to one row per
+key and Arrow batch, so a hot key reaches the state as a few rows. Offsets travel as whole numbers with
+a stand-in for null, values as text, so that nothing passes through floating point.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Row
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import BooleanType, DataType, LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, BooleanType, DataType, IntegerType, LongType, StringType, StructField, StructType
 
+from tidelog.functions.reduce_batches import key_codes, newest_rows
 from tidelog.operators.filters import effective_changes
-from tidelog.operators.fold import ALIVE, DELETED_AT, LIVE_AT
-from tidelog.spec import DELETE, OFFSET, OP, PARTITION, TableSpec
+from tidelog.operators.fold import ALIVE, DELETED_AT, LIVE_AT, lift_changes, lift_rows
+from tidelog.spec import OFFSET, PARTITION, TableSpec
+
+NEVER = -(1 << 63)
+STATE = "row"
+# Spark hands a group's rows over as named tuples, so names may not begin with an underscore
+DELETED, LIVE = "x_deleted_at", "x_live_at"
+
+
+def _text(value: Column, dtype: DataType) -> Column:
+    return F.base64(value) if isinstance(dtype, BinaryType) else value.cast("string")
+
+
+def _typed(text: Column, dtype: DataType) -> Column:
+    return F.unbase64(text) if isinstance(dtype, BinaryType) else text.cast(dtype)
+
+
+def _at(i: int) -> str:
+    return f"x_at_{i}"
+
+
+def _cell(i: int) -> str:
+    return f"x_v_{i}"
 
 
 def _state_schema(spec: TableSpec) -> StructType:
-    cells = []
-    for f in spec.values:
-        cells += [StructField(f"{f.name}__at", LongType()), StructField(f.name, f.dataType)]
-    return StructType([StructField(OFFSET, LongType()), StructField(DELETED_AT, LongType()),
-                       StructField(LIVE_AT, LongType()), *cells])
+    """Partition, newest offset, newest delete, newest live change, and each column's offset and text."""
+    marks = [StructField(PARTITION, IntegerType()), *[StructField(n, LongType()) for n in (OFFSET, DELETED, LIVE)]]
+    cells = [f for i in range(len(spec.columns)) for f in (StructField(_at(i), LongType()), StructField(_cell(i), StringType()))]
+    return StructType([*marks, *cells])
 
 
-def _output_schema(spec: TableSpec, partition_type: DataType) -> StructType:
-    return StructType([*spec.key.fields, StructField(ALIVE, BooleanType()), *spec.values.fields,
-                       StructField(PARTITION, partition_type), StructField(OFFSET, LongType())])
+def _output_schema(spec: TableSpec) -> StructType:
+    return StructType([*spec.key.fields, StructField(ALIVE, BooleanType()),
+                       *[StructField(_cell(i), StringType()) for i in range(len(spec.columns))],
+                       StructField(PARTITION, IntegerType()), StructField(OFFSET, LongType())])
 
 
-def _newer(at: int, than: int | None) -> bool:
-    return than is None or at > than
+def _flat(states: DataFrame, spec: TableSpec) -> DataFrame:
+    """States with plain columns, no null among the offsets."""
+    at = lambda c: F.coalesce(c.cast("bigint"), F.lit(NEVER))
+    cells = [c for i, f in enumerate(spec.values)
+             for c in (at(F.col(f.name)["at"]).alias(_at(i)), _text(F.col(f.name)["v"], f.dataType).alias(_cell(i)))]
+    return states.select(*spec.pk, F.coalesce(F.col(PARTITION).cast("int"), F.lit(-1)).alias(PARTITION),
+                         at(F.col(OFFSET)).alias(OFFSET), at(F.col(DELETED_AT)).alias(DELETED), at(F.col(LIVE_AT)).alias(LIVE), *cells)
+
+
+def _reduced(flat: DataFrame, spec: TableSpec) -> DataFrame:
+    """One row per key and Arrow batch, holding the newer of every part."""
+    pk, width = spec.pk, len(spec.columns)
+
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            codes = key_codes(batch, pk)
+            newest = lambda name: newest_rows(codes, batch.column(name).to_numpy())
+            first = newest(OFFSET)
+            places = {name: first for name in (*pk, PARTITION, OFFSET)}
+            places |= {name: newest(name) for name in (DELETED, LIVE)}
+            for i in range(width):
+                places[_at(i)] = places[_cell(i)] = newest(_at(i))
+            yield pa.RecordBatch.from_arrays([batch.column(n).take(pa.array(places[n])) for n in batch.schema.names],
+                                             schema=batch.schema)
+
+    return flat.mapInArrow(reduce, flat.schema)
 
 
 class KeyedSync(StatefulProcessor):
-    def __init__(self, spec: TableSpec):
-        self.columns = spec.columns
-        self.schema = _state_schema(spec)
-        self.names = [*spec.pk, ALIVE, *spec.columns, PARTITION, OFFSET]
+    """Combines states of a key; with ``keep_deleted`` seconds a key deleted so long ago is forgotten."""
+
+    def __init__(self, spec: TableSpec, keep_deleted: float | None = None):
+        self.pk, self.width = spec.pk, len(spec.columns)
+        self.schema, self.keep_deleted = _state_schema(spec), keep_deleted
+        self.output = _output_schema(spec).fieldNames()
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("row", self.schema)
-
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        width = len(self.columns)
-        known = list(self.state.get()) if self.state.exists() else [None] * (3 + 2 * width)
-        seen, deleted, live = known[:3]
-        at, values = known[3::2], known[4::2]
-        partition, moved = None, False
-        for row in rows:
-            offset, partition = row[OFFSET], row[PARTITION]
-            if _newer(offset, seen):
-                seen, moved = offset, True
-            if row[OP] == DELETE:
-                if _newer(offset, deleted):
-                    deleted, moved = offset, True
-                continue
-            if _newer(offset, live):
-                live, moved = offset, True
-            for i, column in enumerate(self.columns):
-                if row[column] is not None and _newer(offset, at[i]):
-                    at[i], values[i], moved = offset, row[column]["v"], True
+        self.handle = handle
+        self.state = handle.getValueState(STATE, self.schema)
+
+    def _combine(self, known: list | None, frame: pd.DataFrame) -> tuple[list, bool]:
+        """The state after the rows of ``frame``, and whether any part became newer."""
+        moved = known is None
+        known = known or [-1, NEVER, NEVER, NEVER, *[NEVER, None] * self.width]
+        # (place of the offset in the state, places of what goes with it)
+        parts = [(1, OFFSET, (0, PARTITION)), (2, DELETED, None), (3, LIVE, None)]
+        parts += [(4 + 2 * i, _at(i), (5 + 2 * i, _cell(i))) for i in range(self.width)]
+        for place, name, beside in parts:
+            at = frame[name].to_numpy()
+            row = int(at.argmax())
+            if at[row] > known[place]:
+                known[place], moved = int(at[row]), True
+                if beside:
+                    value = frame[beside[1]].iat[row]
+                    known[beside[0]] = int(value) if beside[1] == PARTITION else value if isinstance(value, str) else None
+        return known, moved
+
+    def _forget_later(self, alive: bool, timers) -> None:
+        if self.keep_deleted is None:
+            return
+        for due in list(self.handle.listTimers()):
+            self.handle.deleteTimer(due)
+        if not alive:
+            self.handle.registerTimer(timers.getCurrentProcessingTimeInMs() + round(1000 * self.keep_deleted))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        known, moved = list(self.state.get()) if self.state.exists() else None, False
+        for frame in rows:
+            known, more = self._combine(known, frame)
+            moved = moved or more
         if not moved:
             return
-        cells = [x for pair in zip(at, values) for x in pair]
-        self.state.update((seen, deleted, live, *cells))
-        shown = [v if a is not None and _newer(a, deleted) else None for a, v in zip(at, values)]
-        alive = live is not None and _newer(live, deleted)
-        yield Row(**dict(zip(self.names, [*key, alive, *shown, partition, seen])))
+        self.state.update(tuple(known))
+        partition, seen, deleted, live = known[:4]
+        alive = live > deleted
+        self._forget_later(alive, timerValues)
+        shown = [value if at > deleted else None for at, value in zip(known[4::2], known[5::2])]
+        row = [*key, alive, *shown, partition, seen]
+        yield pd.DataFrame({name: pd.Series([value], dtype=object) for name, value in zip(self.output, row)})
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        self.state.update(tuple(self._combine(None, initialState)[0]))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.state.exists():
+            _, _, deleted, live = self.state.get()[:4]
+            if live <= deleted:
+                self.state.clear()
+        return iter(())
 
     def close(self) -> None:
         pass
 
 
-def stateful_sync(changes: DataFrame, spec: TableSpec) -> DataFrame:
+def stateful_sync(changes: DataFrame, spec: TableSpec, image: DataFrame | None = None,
+                  keep_deleted: float | None = None) -> DataFrame:
     """Row-level changes of a streaming change frame: newest row per touched key and batch.
 
+    ``image`` seeds the state in the first batch (one row per key). With ``keep_deleted`` a
+    key is forgotten that many seconds after its delete, by a timer; it must exceed the time
+    by which a change may come late, or an old change brings the key back.
+
     Needs the RocksDB state store provider. A key whose changes were all seen
     before emits nothing. Of two rows of one key the later batch's is current; a
     change delivered late alters the row but not its offset.
     """
     partition_type = changes.schema[PARTITION].dataType
-    offsets = changes.withColumn(OFFSET, F.col(OFFSET).cast("bigint"))
-    return effective_changes(offsets, spec).groupBy(*spec.pk).transformWithState(
-        statefulProcessor=KeyedSync(spec),
-        outputStructType=_output_schema(spec, partition_type),
-        outputMode="Update", timeMode="None")
+    lifted = lift_changes(effective_changes(changes, spec), spec)
+    seed = None if image is None else _flat(lift_rows(image, spec), spec).groupBy(*spec.pk)
+    emitted = _reduced(_flat(lifted, spec), spec).groupBy(*spec.pk).transformWithStateInPandas(
+        statefulProcessor=KeyedSync(spec, keep_deleted), outputStructType=_output_schema(spec), outputMode="Update",
+        timeMode="None" if keep_deleted is None else "ProcessingTime", initialState=seed)
+    cells = [_typed(F.col(_cell(i)), f.dataType).alias(f.name) for i, f in enumerate(spec.values)]
+    return emitted.select(*spec.pk, ALIVE, *cells, F.col(PARTITION).cast(partition_type).alias(PARTITION), OFFSET)
+
+
+def state_rows(spark: SparkSession, checkpoint: str, spec: TableSpec) -> DataFrame:
+    """What the state of a ``stateful_sync`` holds, read from its checkpoint: key, ``ALIVE``, columns, offset."""
+    state = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", STATE).load()
+    value = F.col("value")
+    shown = [_typed(F.when(value[_at(i)] > value[DELETED], value[_cell(i)]), f.dataType).alias(f.name)
+             for i, f in enumerate(spec.values)]
+    return state.select(*[F.col("key")[c].alias(c) for c in spec.pk], (value[LIVE] > value[DELETED]).alias(ALIVE),
+                        *shown, value[PARTITION].alias(PARTITION), value[OFFSET].alias(OFFSET))
