@@ -22,7 +22,7 @@ def test_query_matches_sql(spark, small_sf, name):
     assert canonical(QUERIES[name](spark, small_sf).toArrow()) == canonical(db.sql(SQL[name]).to_arrow_table())
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL) - {"op12_neighbours"}))
 def test_query_has_a_row_per_document(spark, small_sf, name):
     docs = spark.read.parquet(f"{small_sf}/documents.parquet")
     ids = [r.doc_id for r in QUERIES[name](spark, small_sf).select("doc_id").collect()]
