@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -28,6 +28,7 @@ from tidelog.functions.skew import SALTS, spread_join
 from tidelog.functions.stored_text import from_stored_text, to_stored_text
 from tidelog.operators.filters import any_not_null
 from tidelog.operators.fold import ALIVE, RESET
+from tidelog.sinks.tables import written_table
 from tidelog.spec import OFFSET, PARTITION, TableSpec
 
 SET, HDEL, DEL = "set", "hdel", "del"
@@ -242,6 +243,37 @@ def first_keys(store: DataFrame, prefix: str, limit: int = 10, key_width: int =
     return hit.select("rk", *parts, "field", "value")
 
 
+def numbered_pages(store: DataFrame, prefix: str, page_keys: int) -> DataFrame:
+    """All entries below ``prefix`` with ``page``, from 0: pages hold ``page_keys`` keys each, in the order of the keys.
+
+    The keys are dealt out by ranges, numbered inside their range, and the counts of the
+    ranges before (one row per range) are added, so no task sees all keys.
+    """
+    below = store.filter(F.col("rk").startswith(prefix))
+    ranged = written_table(below.select("rk").distinct().repartitionByRange("rk").withColumn("__range", F.spark_partition_id()))
+    inside = Window.partitionBy("__range").orderBy("rk")
+    across = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("__keys"))
+    before = counts.select("__range", F.coalesce(F.sum("__keys").over(across), F.lit(0)).alias("__before"))
+    placed = ranged.withColumn("__at", F.row_number().over(inside) - 1).join(F.broadcast(before), "__range")
+    page = F.floor((F.col("__before") + F.col("__at")) / page_keys).cast("long")
+    return below.join(placed.select("rk", page.alias("page")), "rk").select("rk", "field", "value", "page")
+
+
+def page_after(store: DataFrame, prefix: str, page_keys: int, after: str | None = None) -> DataFrame:
+    """Entries of the next ``page_keys`` keys below ``prefix`` after the key ``after`` (the first ones, if None).
+
+    The cursor is the last key of the page before. It is a condition on the key, so that
+    a store sorted by key, or one that takes conditions, reads nothing before it. An
+    empty page ends the scan.
+    """
+    below = store.filter(F.col("rk").startswith(prefix))
+    if after is not None:
+        below = below.filter(F.col("rk") > after)
+    chosen = below.select("rk").distinct().orderBy("rk").limit(page_keys)
+    return below.join(F.broadcast(chosen), "rk", "left_semi").select("rk", "field", "value")  # at most ``page_keys`` keys
+
+
 def without_prefix(store: DataFrame, prefix: str) -> DataFrame:
     """The store after deleting every key that starts with ``prefix``."""
     return store.filter(~F.col("rk").startswith(prefix))

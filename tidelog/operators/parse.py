@@ -106,7 +106,8 @@ def rejected_changes(raw: DataFrame, spec: TableSpec) -> DataFrame:
 
     For a topic or table of rejected records, beside ``parse_changes(..., strict=False)``.
     """
-    rejected = _typed_records(raw, spec, whole=True).filter(F.col("__fault").isNotNull())
+    records = _evaluate_once(_typed_records(raw, spec, whole=True), [PARTITION, OFFSET])
+    rejected = records.filter(F.col("__fault").isNotNull())
     return rejected.select("__record.*", F.col("__fault").alias("fault"))
 
 

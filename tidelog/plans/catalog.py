@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
 
+from tidelog.functions.keys import NULL_TEXT, hash_key
 from tidelog.functions.sentinels import decode_nulls, encode_nulls
 from tidelog.operators import enrich, filters, fold, hash_store, index_sync, lag, lookup, merge
 from tidelog.operators import records, versioned_lookup
-from tidelog.operators.parse import flatten, parse_changes, presence_flags
+from tidelog.operators.parse import flatten, parse_changes, presence_flags, rejected_changes
 from tidelog.operators.quality import split_keys
 from tidelog.plans import fixtures as fx
 from tidelog.plans.fixtures import EVT
@@ -25,8 +26,11 @@ from tidelog.sinks import jdbc as jdbc_sink
 from tidelog.sinks.change_store import ChangeStore
 from tidelog.sinks.records import write_csv, write_record_files
 from tidelog.sinks.tables import replace_slice_files, written_table
+from tidelog.sinks.hash_writer import fetch_hashes
 from tidelog.sources import jdbc as jdbc_source
+from tidelog.sources import kv_source
 from tidelog.sources.change_stream import file_stream, project_raw
+from tidelog.sources.offset_log import read_offset_log
 from tidelog.spec import OFFSET, OP, PARTITION, TableSpec
 from tidelog.streaming.alerts import stream_lag_alerts as alerts_stream
 from tidelog.streaming.business import enriched_batch
@@ -67,6 +71,18 @@ def changelog_parse(spark, sf_dir):
     return flatten(fx.changes(spark, sf_dir), EVT)
 
 
+@query
+def changelog_parse_lenient(spark, sf_dir):
+    """A log with unfit values, keys and texts: what is malformed has no operation."""
+    return flatten(parse_changes(fx.dirty_changes(spark, sf_dir), EVT, strict=False), EVT).filter(F.col(OP).isNotNull())
+
+
+@query
+def changelog_rejected(spark, sf_dir):
+    """The malformed records of the same log and what is wrong with them."""
+    return rejected_changes(fx.dirty_changes(spark, sf_dir), EVT).select("partition", "offset", "fault")
+
+
 @query
 def changelog_presence(spark, sf_dir):
     flags = presence_flags(fx.changes(spark, sf_dir), EVT)
@@ -330,6 +346,42 @@ def kv_scan(spark, sf_dir):
     return hash_store.matching(_stored(spark, sf_dir), "EVT:[1-4]*")
 
 
+@query
+def kv_scan_pages(spark, sf_dir):
+    """All pages of a scan, seven keys each."""
+    return hash_store.numbered_pages(_stored(spark, sf_dir), "EVT:", 7)
+
+
+def _file_store(spark, sf_dir):
+    """A keyed store in files, written through the data source: the early image, then the mutations up to now."""
+    kv_source.register(spark)
+    options = {"store": "tidelog.sources.kv_source:file_store", "root": work_dir(spark, "kv").removeprefix("file://"), "partitions": "4"}
+    image = fx.early_image(spark, sf_dir)
+    late = fx.changes(spark, sf_dir).filter(F.col(OFFSET) >= fx.log_position(spark, sf_dir, 6))
+    mutations = hash_store.folded_mutations(fold.fold_changes(late, EVT), EVT)
+    seed = hash_store.image_to_store(image, EVT).withColumn("op", F.lit(hash_store.SET))
+    for frame in (seed, mutations):
+        frame.select("rk", "field", "value", "op").write.format(kv_source.FORMAT).options(**options).mode("append").save()
+    return options
+
+
+@query
+def kv_source_scan(spark, sf_dir):
+    """The fields with a value of a range of keys, read through the data source of the keyed store."""
+    rows = spark.read.format(kv_source.FORMAT).options(**_file_store(spark, sf_dir)).load()
+    return rows.filter(F.col("rk").startswith("EVT:1") & (F.col("value") != NULL_TEXT))
+
+
+@query
+def kv_fetch(spark, sf_dir):
+    """Typed rows of the hashes that the changed keys name, asked for by the executors."""
+    options = _file_store(spark, sf_dir)
+    keys = filters.distinct_keys(fx.change_keys(spark, sf_dir), EVT.pk)
+    wanted = keys.select(hash_key(EVT.name, [F.col("user_id")]).alias("rk"))
+    found = fetch_hashes(wanted, lambda: kv_source.file_store(options))
+    return hash_store.decode_store(found, EVT, EVT_STORED)
+
+
 @query
 def kv_delete_prefix(spark, sf_dir):
     primary, index = _stored(spark, sf_dir), _index(spark, sf_dir)
@@ -354,14 +406,14 @@ def kv_timestamp_decode(spark, sf_dir):
 @query
 def kv_lookup(spark, sf_dir):
     store = hash_store.image_to_store(fx.lagging_image(spark, sf_dir), EVT)
-    return versioned_lookup.lookup_keys(fx.changes(spark, sf_dir), store, EVT.name, EVT.pk, EVT.values)
+    return versioned_lookup.lookup_keys(fx.change_keys(spark, sf_dir), store, EVT.name, EVT.pk, EVT.values)
 
 
 @query
 def versioned_lookup_status(spark, sf_dir):
     store = hash_store.image_to_store(fx.lagging_image(spark, sf_dir), EVT)
     return versioned_lookup.versioned_lookup(
-        fx.changes(spark, sf_dir), store, EVT.name, EVT.pk, EVT.values)
+        fx.change_keys(spark, sf_dir), store, EVT.name, EVT.pk, EVT.values)
 
 
 # -- lookups and enrichment ------------------------------------------------------------
@@ -526,6 +578,38 @@ def jdbc_key_lookup(spark, sf_dir):
         {"s_nationkey": '"c_nationkey"'}, ['"c_custkey"', '"c_nationkey"'], keys_per_query=10)
 
 
+@query
+def jdbc_key_ranges(spark, sf_dir):
+    """Orders of many keys: three of ten runs of a hundred, covered by few intervals."""
+    options = _database(spark)
+    orders = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    jdbc_sink.append(orders, options, "orders")
+    wanted = orders.filter("o_orderkey div 100 % 10 < 3").select(F.col("o_orderkey").alias("k"))
+    return jdbc_source.lookup_in_database(
+        spark, options, "orders", wanted, {"k": '"o_orderkey"'}, ['"o_orderkey"', '"o_orderstatus"'], keys_per_query=200, max_pushed_keys=100)
+
+
+@query
+def jdbc_balanced_scan(spark, sf_dir):
+    """A table read by connections of equal share over a column that crowds at its low end."""
+    options = _database(spark)
+    skewed = F.pow(F.col("c_custkey") / 100, F.lit(3)).cast("decimal(18,4)").alias("weight")
+    customer = fx.table(spark, sf_dir, "customer").select("c_custkey", skewed)
+    jdbc_sink.append(customer, options, "customer")
+    return jdbc_source.read_balanced(spark, options, "customer", '"weight"', 5).select("c_custkey")
+
+
+@query
+def jdbc_append_once(spark, sf_dir):
+    """Two loads, the first one repeated."""
+    options = _database(spark)
+    supplier = fx.table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    for load, rows in [("low", supplier.filter("s_nationkey < 12")), ("low", supplier.filter("s_nationkey < 12")),
+                       ("high", supplier.filter("s_nationkey >= 12"))]:
+        jdbc_sink.append_once(rows, options, "supplier", load)
+    return jdbc_source.read_table(spark, options, "supplier")
+
+
 @query
 def jdbc_bulk_copy(spark, sf_dir):
     """A table copied to another one over parallel connections and stamped as a seed."""
@@ -747,6 +831,46 @@ def stream_business_records(spark, sf_dir):
     return spark.read.parquet(target).distinct()
 
 
+@query
+def stream_business_full(spark, sf_dir):
+    """The whole business job in two batches, with the number of the batch that sent each record.
+
+    Filter, freshness-checked lookup, SQL over frames, sensor lookup, hash lookup, enrichment; tombstones before
+    upserts, none for keys that still wait; rows per step.
+    """
+    target, emissions = work_dir(spark, "records"), itertools.count()
+    stored = written_table(hash_store.image_to_store(written_table(fx.image(fx.changes(spark, sf_dir))), EVT))
+    pending = PendingLookups(spark, work_dir(spark, "pending"), EVT.name, EVT.pk, EVT.values)
+    customer, nation, orders = (fx.table(spark, sf_dir, n) for n in ("customer", "nation", "orders"))
+    stats, like = BatchStats("BUSINESS", "full"), fx.changes(spark, sf_dir).limit(0)
+
+    def result(changes, n):
+        ready = pending.resolve(n, changes, stored)
+        named = lookup.query_with_frames(spark, """
+            SELECT r.user_id, n.n_name AS nation FROM df1 r JOIN df2 c ON c.c_custkey = r.user_id
+              JOIN df3 n ON n.n_nationkey = c.c_nationkey""", ready, customer, nation)
+        closed = lookup.semi_join_lookup(orders.filter("o_orderstatus = 'F'"), ready, {"user_id": "o_custkey"}, ["o_custkey", "o_orderkey"])
+        counts = closed.groupBy(F.col("o_custkey").alias("user_id")).agg(F.count(F.lit(1)).alias("orders"))
+        hashes = versioned_lookup.lookup_keys(ready, stored, EVT.name, EVT.pk, StructType([EVT.values["TAG"]]))
+        view = named.join(counts, "user_id", "left").join(hashes, "user_id").withColumn("orders", F.coalesce("orders", F.lit(0).cast("long")))
+        latest = changes.select("user_id", OP, OFFSET)
+        return enrich.enrich_latest(latest, view, EVT.pk).select("user_id", "nation", "orders", "TAG", OFFSET)
+
+    def emit(records):
+        n = next(emissions)
+        records.withColumns({"batch": F.lit(n // 2), "part": F.lit(("tombstone", "upsert")[n % 2])}).write.mode("append").parquet(target)
+
+    on_batch = enriched_batch(
+        EVT, "stage.FULL", select=lambda changes: filters.effective_changes(changes, EVT),
+        touched=lambda changes, n: changes.select("user_id"), result=result, key_columns=["user_id"],
+        value_columns=["user_id", "nation", "orders", "TAG", OFFSET], emit=emit, stats=stats,
+        waiting=lambda n: pending.waiting(n, like))
+    run_micro_batches(_stream(spark, _ordered_topic(spark, sf_dir, [0, 5, 10]), 1), on_batch, work_dir(spark, "offsets")).awaitTermination()
+    steps = stats.flush(spark).select(F.col("MSG").alias("key"), F.col("ROW_CNT").cast("string").alias("value"),
+                                      F.col("EPOCH_ID").cast("int").alias("batch"), F.lit("step").alias("part"))
+    return spark.read.parquet(target).unionByName(steps)
+
+
 @query
 def batch_stats(spark, sf_dir):
     """Rows per step over all micro-batches of the log."""
@@ -809,6 +933,16 @@ def offset_log_latest(spark, sf_dir):
     return lag.offset_log_entries(fx.offset_log_lines(spark, sf_dir))
 
 
+@query
+def offset_log_files(spark, sf_dir):
+    """Newest offsets of written logs whose files are numbered 0, 9 and 10."""
+    root, lines = work_dir(spark, "checkpoints"), written_table(fx.offset_files(spark, sf_dir))
+    for app, n in [(r.app, r.n) for r in lines.select("app", "n").distinct().collect()]:  # three per event type
+        own = lines.filter((F.col("app") == app) & (F.col("n") == n))
+        own.coalesce(1).sortWithinPartitions("line").select("value").write.text(f"{root}/{app}/offsets/{n}")
+    return read_offset_log(spark, root)
+
+
 @query
 def consumer_lag(spark, sf_dir):
     committed = lag.offset_log_entries(fx.offset_log_lines(spark, sf_dir))

@@ -12,7 +12,7 @@ from pyspark.sql.types import DecimalType, LongType, StringType
 
 from tidelog.functions.skew import spread_small_input
 from tidelog.operators.fold import current_rows, fold_changes
-from tidelog.operators.parse import parse_changes
+from tidelog.operators.parse import parse_changes, parse_operations
 from tidelog.sinks.tables import written_table
 from tidelog.spec import OFFSET, PARTITION, TableSpec
 
@@ -54,6 +54,11 @@ def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_changes(raw_changes(spark, sf_dir), EVT)
 
 
+def change_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Key, operation and offset of every change; no value column is parsed."""
+    return parse_operations(raw_changes(spark, sf_dir), EVT)
+
+
 def log_position(spark: SparkSession, sf_dir: str, tenths: int) -> int:
     """First offset after the given tenths of the log."""
     last = table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0]
@@ -93,6 +98,34 @@ def lag_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("t"), event % 3).alias("topic"), (event % 100).alias("current_lag"))
 
 
+def dirty_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log with unfit values: text and overflows in the amount, text in the key, records cut off."""
+    offset, payload = F.col("offset"), F.col("VALUE")
+    amount = lambda text: F.regexp_replace(payload, r'"AMT":[-0-9.E]+', f'"AMT":{text}')
+    value = (F.when(offset % 7 == 0, amount('"abc"')).when(offset % 7 == 1, amount("99999999999.99"))
+             .when(offset % 7 == 2, F.substring(payload, 1, 12)).otherwise(payload))
+    key = F.when(offset % 11 == 0, F.lit('{"payload":{"user_id":"x"}}')).otherwise(F.col("KEY"))
+    without_key = F.regexp_replace(value, r'"user_id":[0-9]+,', "")
+    return raw_changes(spark, sf_dir).withColumns({"VALUE": F.when(offset % 11 == 0, without_key).otherwise(value), "KEY": key})
+
+
+def offset_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Offset files 0, 9 and 10 of one application per event type: after a third, two thirds and all of the log."""
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "user_id")
+    last = [log_position(spark, sf_dir, 10) * part // 3 for part in (1, 2, 3)]
+    number = F.explode(F.array(*[F.when(F.col("event_id") < end, n) for n, end in zip((0, 9, 10), last)])).alias("n")
+    reached = (events.select("*", number).filter("n IS NOT NULL")
+               .groupBy(F.col("event_type").alias("app"), "n", F.concat(F.lit("t"), F.col("event_id") % 3).alias("topic"),
+                        (F.col("user_id") % PARTITIONS).cast("string").alias("p"))
+               .agg(F.max("event_id").alias("o")))
+    topics = reached.groupBy("app", "n", "topic").agg(
+        F.map_from_entries(F.collect_list(F.struct("p", "o"))).alias("partitions"))
+    files = topics.groupBy("app", "n").agg(
+        F.to_json(F.map_from_entries(F.collect_list(F.struct("topic", "partitions")))).alias("offsets"))
+    lines = F.array(F.lit("v1"), F.lit('{"batchWatermarkMs":0,"conf":{}}'), F.col("offsets"))
+    return files.select("app", "n", F.posexplode(lines).alias("line", "value"))
+
+
 def offset_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of the offset logs of one application per event type, 500 events a batch.
 

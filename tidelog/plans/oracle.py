@@ -157,6 +157,21 @@ _CUSTOMER_VALUE = _record(
     + ',{"field":"c_nationkey","type":"int64","optional":true}]}',
     "json_object('user_id', user_id, 'c_name', c_name, 'c_nationkey', c_nationkey)::VARCHAR")
 
+_FULL_KEY = _record(
+    '{"type":"struct","optional":false,"name":"stage.FULL.Key","fields":[' + _USER_FIELD + "]}",
+    "json_object('user_id', user_id)::VARCHAR")
+_FULL_VALUE = _record(
+    '{"type":"struct","optional":false,"name":"stage.FULL.Value","fields":[' + _USER_FIELD
+    + ',{"field":"nation","type":"string","optional":true},{"field":"orders","type":"int64","optional":false}'
+    + ',{"field":"TAG","type":"string","optional":true},{"field":"KFK_OFFSET","type":"int64","optional":true}]}',
+    "json_object('user_id', user_id, 'nation', nation, 'orders', orders, 'TAG', tag, 'KFK_OFFSET', off)::VARCHAR")
+
+# what is wrong with the records of the log with unfit values
+_DIRTY = """dirty AS (
+  SELECT *, CASE WHEN off % 11 = 0 THEN 'key user_id'
+                 WHEN off % 7 = 2 AND op <> 'D' THEN 'operation'
+                 WHEN off % 7 IN (0, 1) AND amt IS NOT NULL THEN 'value AMT' END AS fault FROM cl)"""
+
 _STATS_FIELDS = ('{"field":"APP_NAME","type":"string","optional":true},'
                  '{"field":"CASE_NM","type":"string","optional":true},'
                  '{"field":"EPOCH_ID","type":"int64","optional":true}')
@@ -201,6 +216,8 @@ def _all_sql() -> dict[str, str]:
     latest = "arg_max(cl, off)"
     return {
         "changelog_parse": cl + f"SELECT {_FLAT} FROM cl",
+        "changelog_parse_lenient": f"WITH {_CL}, {_DIRTY} SELECT {_FLAT} FROM dirty WHERE fault IS NULL",
+        "changelog_rejected": f'WITH {_CL}, {_DIRTY} SELECT ptt AS "partition", off AS "offset", fault FROM dirty WHERE fault IS NOT NULL',
         "changelog_presence": cl + 'SELECT user_id, off AS KFK_OFFSET, amt_p AS "AMT_present", '
                                    'tag_p AS "TAG_present", props_p AS "PROPS_present" FROM cl',
         "tombstone_to_delete": 'SELECT user_id, CASE event_type WHEN \'signup\' THEN \'I\' '
@@ -263,6 +280,9 @@ def _all_sql() -> dict[str, str]:
                            "WHERE rk IN (SELECT DISTINCT rk FROM s ORDER BY rk LIMIT 10)",
         "kv_fields": "SELECT unnest(['AMT', 'KFK_OFFSET', 'KFK_PTT', 'PROPS', 'TAG']) AS field",
         "kv_scan": img + f", s AS ({_store('img')}) SELECT * FROM s WHERE substr(rk, 5, 1) BETWEEN '1' AND '4'",
+        "kv_scan_pages": img + f", s AS ({_store('img')}) SELECT rk, field, value, (dense_rank() OVER (ORDER BY rk) - 1) // 7 AS page FROM s",
+        "kv_source_scan": now + f", s AS ({_store('now')}) SELECT * FROM s WHERE rk LIKE 'EVT:1%' AND value <> 'None'",
+        "kv_fetch": now + "SELECT user_id, amt AS AMT, tag AS TAG, props AS PROPS, CAST(ptt AS BIGINT) AS KFK_PTT, off AS KFK_OFFSET FROM now",
         "kv_delete_prefix": img + _store("img"),
         "kv_typed_decode": img + "SELECT user_id, amt AS AMT, tag AS TAG, props AS PROPS, "
                                  "CAST(ptt AS BIGINT) AS KFK_PTT, off AS KFK_OFFSET FROM img",
@@ -313,6 +333,9 @@ def _all_sql() -> dict[str, str]:
                               "WHERE c_mktsegment = 'MACHINERY'",
         "jdbc_key_lookup": "SELECT c_custkey, c_nationkey FROM customer "
                            "WHERE c_nationkey IN (SELECT s_nationkey FROM supplier)",
+        "jdbc_key_ranges": "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey // 100 % 10 < 3",
+        "jdbc_balanced_scan": "SELECT c_custkey FROM customer",
+        "jdbc_append_once": "SELECT s_suppkey, s_nationkey FROM supplier",
         "jdbc_bulk_copy": "SELECT c_custkey, CAST(c_acctbal AS DECIMAL(12,2)) AS c_acctbal, "
                           "CAST(-1 AS INTEGER) AS KFK_PTT, CAST(-1 AS BIGINT) AS KFK_OFFSET, "
                           "TIMESTAMP '2024-11-11 00:00:00' AS KFK_PRDC_TS FROM customer",
@@ -355,6 +378,18 @@ def _all_sql() -> dict[str, str]:
             CASE WHEN c_custkey IS NOT NULL THEN {_CUSTOMER_VALUE} END AS value
             FROM (SELECT DISTINCT user_id FROM cl WHERE {_EFFECTIVE}) t
             LEFT JOIN (SELECT * FROM customer WHERE c_mktsegment = 'BUILDING') ON c_custkey = user_id""",
+        "stream_business_full": now + f""", b AS (
+              SELECT *, CAST(CASE WHEN off * 10 < {_LENGTH} * 5 THEN 0 ELSE 1 END AS INTEGER) AS batch FROM cl WHERE {_EFFECTIVE}),
+            n AS (SELECT * FROM b QUALIFY ROW_NUMBER() OVER (PARTITION BY batch, user_id ORDER BY off DESC) = 1),
+            counted AS (SELECT o_custkey, COUNT(*) AS orders FROM orders WHERE o_orderstatus = 'F' GROUP BY 1),
+            view AS (SELECT now.user_id, now.tag, n_name AS nation, COALESCE(orders, 0) AS orders FROM now JOIN customer ON c_custkey = now.user_id
+                     JOIN nation ON n_nationkey = c_nationkey LEFT JOIN counted ON o_custkey = now.user_id),
+            sent AS (SELECT n.batch, n.off, view.* FROM n JOIN view USING (user_id) WHERE op <> 'D')
+            SELECT {_FULL_KEY} AS key, {_FULL_VALUE} AS value, batch, 'upsert' AS part FROM sent UNION ALL
+            SELECT {_FULL_KEY}, NULL, batch, 'tombstone' FROM n WHERE op = 'D'
+                OR (user_id IN (SELECT user_id FROM now) AND user_id NOT IN (SELECT user_id FROM view)) UNION ALL
+            SELECT 'changes', CAST(COUNT(*) AS VARCHAR), batch, 'step' FROM b GROUP BY batch UNION ALL
+            SELECT 'rows sent', CAST((SELECT COUNT(*) FROM sent s WHERE s.batch = x.batch) AS VARCHAR), batch, 'step' FROM (SELECT DISTINCT batch FROM b) x""",
         "batch_stats": cl + f"""SELECT 'BATCH_STATS' AS APP_NAME, 'read' AS MSG, CAST(1 AS INTEGER) AS STEM_NUM,
             CAST(COUNT(*) AS BIGINT) AS ROW_CNT FROM cl UNION ALL
             SELECT 'BATCH_STATS', 'effective', 2, CAST(COUNT(*) AS BIGINT) FROM cl WHERE {_EFFECTIVE}""",
@@ -362,6 +397,8 @@ def _all_sql() -> dict[str, str]:
             SELECT 1 AS n, 'read' AS msg, COUNT(*) AS c FROM cl UNION ALL
             SELECT 2, 'effective', COUNT(*) FROM cl WHERE {_EFFECTIVE})""",
         "csv_round_trip": "SELECT p_partkey, p_name, p_size FROM part",
+        "offset_log_files": """SELECT event_type AS app, CAST(10 AS BIGINT) AS batch, 't' || (event_id % 3) AS topic,
+            CAST(user_id % 6 AS INTEGER) AS "partition", MAX(event_id) AS committed FROM events GROUP BY 1, 3, 4""",
         "offset_log_latest": f"WITH {_COMMITTED} SELECT * FROM committed",
         "consumer_lag": f"WITH {_COMMITTED}, " + """ends AS (
             SELECT 't' || (event_id % 3) AS topic, CAST(user_id % 6 AS INTEGER) AS "partition",

@@ -173,7 +173,8 @@ class ChangeStore:
     def replaced(self) -> list[str]:
         """Folders that the newest manifest does without: merged deltas, and versions of buckets before it."""
         manifest = self.manifest()
-        gone = [f"delta/{name}" for name in manifest.deltas] + [f"zone/{name}" for name in manifest.deltas]
+        merged = {f"{kind}/{name}" for kind in ("delta", "zone") for name in manifest.deltas}
+        gone = [name for name in (*self._glob("delta/*"), *self._glob("zone/*")) if name in merged]
         for name in self._glob(f"base/{VERSION}=*/{BUCKET}=*"):
             version, bucket = (int(part.partition("=")[2]) for part in name.split("/")[1:])
             if version <= manifest.version and manifest.written.get(str(bucket)) != version:

@@ -57,19 +57,27 @@ def write_mutations(mutations: DataFrame, connect: Callable[[], HashClient], chu
         kept.unpersist()
 
 
-def fetch_hashes(wanted: DataFrame, connect: Callable[[], HashClient]) -> DataFrame:
+def fetch_hashes(wanted: DataFrame, connect: Callable[[], HashClient], keys_per_call: int = 500,
+                 batch_rows: int = 10_000) -> DataFrame:
     """``rk``, ``field``, ``value`` of the hashes named by ``wanted.rk`` that exist in an external store.
 
     Keys are asked for once each, by as many tasks as there are partitions of distinct
-    keys, with one client per task. The result serves as the store of
+    keys, with one client per task: ``keys_per_call`` keys in one round trip where the client has
+    ``hgetall_many``, else one by one. Batches of at most ``batch_rows`` fields are passed on as they
+    fill, also within a large hash. The result serves as the store of
     ``decode_store``, ``index_rows`` and ``versioned_lookup``. Null keys are left out.
     """
+    def hashes(client: HashClient, keys: list[str]) -> Iterable[tuple[str, dict[str, str]]]:
+        many = getattr(client, "hgetall_many", None)
+        for part in _chunks(keys, keys_per_call):
+            yield from zip(part, many(part) if many else map(client.hgetall, part))
+
     def fetch(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         client = connect()
-        for batch in batches:
-            rows = [(key, field, value) for key in batch["rk"].to_pylist() for field, value in client.hgetall(key).items()]
-            columns = [pa.array([row[i] for row in rows], pa.string()) for i in range(3)]
-            yield pa.RecordBatch.from_arrays(columns, ["rk", "field", "value"])
+        entries = ((key, field, value) for batch in batches for key, fields in hashes(client, batch["rk"].to_pylist())
+                   for field, value in fields.items())
+        for rows in _chunks(entries, batch_rows):
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows)], ["rk", "field", "value"])
 
     keys = wanted.select("rk").filter("rk IS NOT NULL").distinct()
     return keys.mapInArrow(fetch, "rk string, field string, value string")
