@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tidelog.session import work_dir
 
@@ -18,6 +18,12 @@ def written_table(df: DataFrame, path: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(target)
 
 
+def drop_table(spark: SparkSession, path: str) -> None:
+    """Delete the folder of a written table that nothing reads any more."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def replace_slice_files(df: DataFrame, path: str, code_column: str) -> None:
     """Replace the partitions of a Parquet table whose code occurs in ``df``."""
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
