@@ -2,45 +2,83 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.sinks.tables import written_table
+from tidelog.session import work_dir
+from tidelog.sinks.tables import drop_table, written_table
+
+
+TASK_LINKS = 1 << 20   # links that one task may hold, 16 MB
+
+
+def _solved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``node``, ``root`` of links that fit into a task, by hooking and pointer jumping."""
+    parts = [np.stack([b.column("a").to_numpy(), b.column("b").to_numpy()]) for b in batches if b.num_rows]
+    if not parts:
+        return
+    nodes, ends = np.unique(np.concatenate(parts, axis=1), return_inverse=True)
+    ends, root = ends.reshape(2, -1), np.arange(len(nodes))
+    while True:
+        high, low = np.maximum(*root[ends]), np.minimum(*root[ends])
+        open_ = high != low
+        if not open_.any():
+            break
+        np.minimum.at(root, high[open_], low[open_])
+        while (root[root] != root).any():
+            root = root[root]
+    for start in range(0, len(nodes), 1 << 16):
+        part = slice(start, start + (1 << 16))
+        yield pa.RecordBatch.from_arrays([pa.array(nodes[part]), pa.array(nodes[root[part]])], ["node", "root"])
 
 
-def _mapped(df: DataFrame, column: str, parents: DataFrame) -> DataFrame:
-    """Replace ``column`` by its parent where it has one."""
-    parents = parents.select(F.col("node").alias("__node"), F.col("parent").alias("__parent"))
-    return (df.join(parents, df[column] == F.col("__node"), "left")
-            .withColumn(column, F.coalesce("__parent", column)).drop("__node", "__parent"))
+def _large_star(links: DataFrame) -> DataFrame:
+    """Every larger neighbour of a node is linked to the least of the node and its neighbours."""
+    both = links.select(F.col("b").alias("u"), F.col("a").alias("v")).unionByName(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    return links.join(least, F.col("b") == F.col("u")).select("a", F.col("m").alias("b")).filter("a <> b").distinct()
+
+
+def _small_star(links: DataFrame) -> DataFrame:
+    """A node and its smaller neighbours are linked to the least of them."""
+    least = links.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m"))
+    hooked = links.join(least, F.col("a") == F.col("u")).select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
+    return hooked.filter("a <> b").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
     """``node``, ``root`` of every node in ``links`` (columns ``a``, ``b``: long).
 
-    ``root`` is the least node reachable. Each round hooks every node to its least
-    smaller neighbour, shortens the chains, and keeps the links between different
-    trees; every round is a written table. Nothing is gathered at the driver.
-    Null ends and loops are ignored; no links give no rows.
+    ``root`` is the least node reachable. Rounds of large and small stars bring all nodes of a
+    component to its least one; their number follows the logarithm of the number of nodes, also for
+    chains. As soon as no more than ``TASK_LINKS`` links are left (counted), one task ends the
+    work. Every round is a written table, the table before it is deleted; nothing is gathered at the
+    driver. Null ends and loops are ignored; no links give no rows.
     """
+    spark = links.sparkSession
     high, low = F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
-    links = written_table(links.filter("a <> b").select(high, low).distinct())
-    labels = None
-    while not links.isEmpty():
-        parents = written_table(links.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("parent")))
-        parents = written_table(_mapped(_mapped(parents, "parent", parents), "parent", parents))
-        ends = links.select("b").distinct().join(parents, F.col("b") == F.col("node"), "left_anti")
-        fresh = parents.select("node", F.col("parent").alias("root")).unionByName(
-            ends.select(F.col("b").alias("node"), F.col("b").alias("root")))
-        if labels is None:
-            labels = written_table(fresh)
-        else:
-            labels = written_table(_mapped(labels, "root", parents))
-        links = _mapped(_mapped(links, "a", parents), "b", parents).filter("a <> b")
-        links = written_table(links.select(high, low).distinct())
-    if labels is None:
-        labels = links.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    return labels
+
+    def step(df: DataFrame, before: str | None) -> tuple[DataFrame, str]:
+        path = work_dir(spark, "links")
+        table = written_table(df, path)
+        if before:
+            drop_table(spark, before)
+        return table, path
+
+    known = links.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).filter("a <> b")
+    links, path = step(known.select(high, low).distinct(), None)
+    while links.count() > TASK_LINKS:
+        links, path = step(_large_star(links), path)
+        links, path = step(_small_star(links), path)
+        if links.select("a").join(links.select(F.col("b").alias("a")).distinct(), "a", "left_semi").isEmpty():
+            # stars: every node but the centres is linked to its centre
+            roots = links.select(F.col("a").alias("node"), F.col("b").alias("root"))
+            return roots.unionByName(links.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+    return links.repartition(1).mapInArrow(_solved, "node long, root long")
 
 
 def running_start(df: DataFrame, group: list[str], order: list[Column], size: str, start: str) -> DataFrame:
