@@ -10,23 +10,21 @@ from pyspark.sql import functions as F
 from tidelog.sinks.tables import written_table
 
 BLOCK_ROWS = 2048   # rows of a candidate block, and of a query block
-LIMIT = 1 << 24     # bound of a quantised component; keeps sums of up to 32,768 products within 64 bits
+SAFE = float(1 << 62)  # sums of products surely below this are exact in 64 bits
+LEAST, MOST = -(1 << 63), (1 << 63) - 1
 NO_ID = (1 << 63) - 1
 
 
 def quantised(vectors: DataFrame, scale: int = 256) -> DataFrame:
     """``row``, ``vec_id``, ``terms``: floor(scale * x) of each component, as a written table.
 
-    Vectors that are null or hold a null or non-finite component are left out. A
-    component whose value reaches 2 ** 24 is an error.
+    Vectors that are null or hold a null or non-finite component are left out. Components
+    beyond 64 bits stay at the last number that fits.
     """
     parts = F.transform("embedding", lambda x: x.cast("double"))
     fit = F.col("embedding").isNotNull() & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < F.lit(float("inf"))))
-    value = lambda x: F.floor(x * scale).cast("long")
-    checked = lambda x: F.when(F.abs(value(x)) < LIMIT, value(x)).otherwise(
-        F.raise_error(F.lit("a component is too large for exact sums")).cast("long"))
     kept = vectors.filter(F.coalesce(fit, F.lit(False)))
-    return written_table(kept.select("vec_id", F.transform(parts, checked).alias("terms"))
+    return written_table(kept.select("vec_id", F.transform(parts, lambda x: F.floor(x * scale).cast("long")).alias("terms"))
                          .withColumn("row", F.monotonically_increasing_id()))
 
 
@@ -40,6 +38,28 @@ def _matrix(lists: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return rows[full], terms[full], weights[full]
 
 
+def _settle(scores: np.ndarray, own: tuple, others: tuple) -> None:
+    """Put right the scores that may have left 64 bits: exact where they fit, else the last number that does.
+
+    ``own`` and ``others`` are rows, terms and weights of the queries and the candidates. 64-bit
+    sums wrap around, so a sum that ends inside the range is right as it is.
+    """
+    def floats(rows, terms, weights, count):
+        most = int(max(own[1].max(initial=-1), others[1].max(initial=-1))) + 1
+        out = np.zeros((count, most))
+        out[rows, terms] = weights
+        return out
+
+    queries, candidates = floats(*own, scores.shape[0]), floats(*others, scores.shape[1])
+    if np.abs(queries).max(initial=0) * np.abs(candidates).max(initial=0) * queries.shape[1] < SAFE:
+        return
+    for q, c in np.argwhere(np.abs(queries) @ np.abs(candidates).T >= SAFE).tolist():
+        mine = dict(zip(own[1][own[0] == q].tolist(), own[2][own[0] == q].tolist()))
+        there = others[0] == c
+        total = sum(mine.get(t, 0) * w for t, w in zip(others[1][there].tolist(), others[2][there].tolist()))
+        scores[q, c] = min(max(total, LEAST), MOST)
+
+
 def _search(k: int):
     def search(queries: pa.Table, candidates: pa.Table) -> pa.Table:
         none = np.zeros(0, np.int64)
@@ -52,13 +72,15 @@ def _search(k: int):
             rows = candidates["other_row"].to_numpy()
             doc, doc_term, weight = _matrix(candidates["other_terms"].combine_chunks())
             order = np.argsort(doc_term, kind="stable")
-            doc, weight, ends = doc[order], weight[order], np.searchsorted(doc_term[order], np.arange(int(doc_term.max(initial=-1)) + 2))
+            doc, doc_term, weight = doc[order], doc_term[order], weight[order]
+            ends = np.searchsorted(doc_term, np.arange(int(doc_term.max(initial=-1)) + 2))
             query, query_term, factor = _matrix(queries["terms"].combine_chunks())
             own, own_ids = queries["row"].to_numpy(), queries["vec_id"].to_numpy()
             # postings of one term after the other are scattered into the score arrays of the queries that have it
             scores = np.zeros((len(queries), len(candidates)), np.int64)
             by_term = np.argsort(query_term, kind="stable")
-            query, factor, heads = query[by_term], factor[by_term], np.searchsorted(query_term[by_term], np.arange(len(ends)))
+            query, query_term, factor = query[by_term], query_term[by_term], factor[by_term]
+            heads = np.searchsorted(query_term, np.arange(len(ends)))
             for term in range(len(ends) - 1):
                 posting, values = doc[ends[term]:ends[term + 1]], weight[ends[term]:ends[term + 1]]
                 dense = len(posting) == len(candidates)
@@ -67,6 +89,7 @@ def _search(k: int):
                         scores[query[at]] += factor[at] * values
                     else:
                         scores[query[at], posting] += factor[at] * values
+            _settle(scores, (query, query_term, factor), (doc, doc_term, weight))
             place = np.arange(len(candidates))
             for q in range(len(queries)):
                 line, others = scores[q], rows != own[q]
@@ -94,8 +117,8 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = 5, scale: int = 256, blo
     about ``block_rows``, every block of queries meets every block of candidates in a
     task of its own, and the block winners are merged.
 
-    Repeated ids are separate rows. A query with fewer candidates gets them all; an
-    empty table gives no rows. Other columns are ignored.
+    A score beyond 64 bits is the last number that fits. Repeated ids are separate rows. A
+    query with fewer candidates gets them all; an empty table gives no rows. Other columns are ignored.
     """
     rows = quantised(vectors, scale)
     queries = rows.filter(F.col("vec_id") % every == 0)
