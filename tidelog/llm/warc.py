@@ -20,7 +20,6 @@ from tidelog.sinks.tables import written_table
 CHUNK = 64 * 1024           # bytes of a payload in one row
 FILE_BYTES = 256 * 1024 * 1024  # a new archive file is begun beyond this
 MIN_REVISIT = 1000          # payloads below are always stored
-HEADER_LIMIT = 64 * 1024
 DATE = "1970-01-01T00:00:00Z"  # capture time where none is given
 # fixed value of the format
 PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
@@ -170,10 +169,10 @@ def _members(stream: BinaryIO) -> Iterator[Iterator[bytes]]:
 
 
 def _head(buffer: bytearray, pieces: Iterator[bytes]) -> dict[str, str]:
-    """Take a header off the front of ``buffer``; header names in lower case."""
-    while (end := buffer.find(b"\r\n\r\n")) < 0:
-        if len(buffer) > HEADER_LIMIT:
-            raise ValueError("a header is too long")
+    """Take a header off the front of ``buffer``, however long its URI; header names in lower case."""
+    searched = 0
+    while (end := buffer.find(b"\r\n\r\n", searched)) < 0:
+        searched = max(0, len(buffer) - 3)
         try:
             buffer += next(pieces)
         except StopIteration:
