@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tidelog.llm import linking, textnum, topk, warc
+from tidelog.llm import graph, linking, textnum, topk, warc
 from tidelog.llm.fingerprints import edited, fingerprints, linked_documents
 from tidelog.llm.graph import components, running_start
 from tidelog.llm.language import UNKNOWN, fit_languages, identify, keep_identified, language_of
@@ -147,6 +147,35 @@ def test_components_of_chains_and_stars(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+@pytest.mark.parametrize("order", ["up", "down", "shuffled"])
+def test_components_of_long_chains_take_few_rounds(spark, monkeypatch, order):
+    monkeypatch.setattr(graph, "TASK_LINKS", 1)
+    ids = list(range(3000))[::-1 if order == "down" else 1]
+    if order == "shuffled":
+        np.random.default_rng(1).shuffle(ids)
+    tables, write = [], graph.written_table
+    monkeypatch.setattr(graph, "written_table", lambda df, path=None: tables.append(path) or write(df, path))
+    links = [(int(a), int(b)) for a, b in zip(ids, ids[1:])] + [(5000 + i, 5000) for i in range(1, 50)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {i: 0 for i in range(3000)} | {i: 5000 for i in range(5000, 5050)}
+    assert len(tables) <= 2 * 16 + 1
+    monkeypatch.setattr(graph, "TASK_LINKS", 1 << 20)
+    assert {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()} == got
+
+
+def test_every_language_has_a_landmark(spark):
+    """More languages than landmarks: the last ones of the alphabet are told as well."""
+    rng = np.random.default_rng(9)
+    letters = [chr(0x4E00 + i) for i in range(4000)]
+    docs = [(i * 10 + j, " ".join("".join(rng.choice(letters[20 * i:20 * i + 20], 4)) for _ in range(30)), f"l{i:03d}") for i in range(150) for j in range(4)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    told = identify(frame, fit_languages(frame)).select("doc_id", "lang_pred").collect()
+    right = [r.lang_pred == f"l{r.doc_id // 10:03d}" for r in told]
+    assert sum(right) >= 0.95 * len(right)
+    late = [r.lang_pred == f"l{r.doc_id // 10:03d}" for r in told if r.doc_id >= 1400]
+    assert sum(late) >= 0.9 * len(late)
+
+
 def test_running_start(spark):
     rows = [(i, ("hot" if i % 3 else None), i % 7) for i in range(300)]
     df = spark.createDataFrame(rows, "id long, g string, n long")
@@ -258,6 +287,13 @@ def test_archives_round_trip(spark, monkeypatch):
     assert warc.archive_round_trip(spark, archive_rows(spark, [])).count() == 0
 
 
+def test_archives_with_long_headers(spark):
+    uri = "http://host/" + "é" * 200_000
+    rows = archive_rows(spark, ["page", "p" * 2000]).withColumn("target_uri", F.lit(uri))
+    chunks = warc.archive_round_trip(spark, rows).collect()
+    assert {r.target_uri for r in chunks} == {uri} and [bytes(r.data) for r in sorted(chunks, key=lambda r: r.record_id)] == [b"page", b"p" * 2000]
+
+
 def test_archives_with_null_and_repeated_ids(spark):
     page = "z" * 1500
     rows = archive_rows(spark, [page, page]).withColumn("record_id", F.when(F.col("record_id") == 1, 1)).withColumn("target_uri", F.lit(None).cast("string"))
@@ -404,8 +440,17 @@ def test_top_k(spark):
         assert sorted(map(repr, got)) == sorted(map(repr, want))
     assert topk.top_k(df.limit(0)).count() == 0
     assert topk.top_k(df.filter("vec_id = 50").limit(1)).count() == 0
-    with pytest.raises(Exception, match="too large"):
-        topk.top_k(spark.createDataFrame([(50, [1e9])], "vec_id long, embedding array<float>")).collect()
+
+
+def test_top_k_of_large_components(spark):
+    """Every finite vector is scored, exactly as far as 64 bits go."""
+    rows = [(50, [70_000.0, 1.0]), (1, [70_000.0, -3.0]), (2, [-1e9, 5.0]), (3, [1e30, 0.0]), (4, [-1e30, 0.0]), (5, [0.0, 1e17]), (6, [2e12, 7.0])]
+    got = [tuple(r)[2:] for r in topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=9).orderBy("rank").collect()]
+    most, least = (1 << 63) - 1, -(1 << 63)
+    floor = lambda x: max(min(int(256 * x), most), least)
+    exact = {i: sum(floor(a) * floor(b) for a, b in zip(rows[0][1], v)) for i, v in rows[1:]}
+    want = sorted(((i, min(max(s, least), most)) for i, s in exact.items()), key=lambda r: (-r[1], r[0]))
+    assert got == want
 
 
 def test_sharding(spark, odd, none):
@@ -422,6 +467,22 @@ def test_sharding(spark, odd, none):
     assert shard_documents(none).count() == 0
 
 
+def test_equal_texts_share_a_shard(spark):
+    """Whatever slot they fall into; only copies that outweigh a fair shard are divided, and evenly."""
+    texts = [f"group {i % 40} " + "x" * (i % 40) * 9 for i in range(800)] + ["single " + str(i) for i in range(50)]
+    rows = shard_documents(table(spark, texts), slots=16).collect()
+    where = {}
+    for r in rows:
+        where.setdefault(texts[r.doc_id], set()).add(r.shard)
+    assert all(len(shards) == 1 for shards in where.values())
+    heavy = table(spark, [None] * 3000 + ["very heavy text"] * 900 + [f"text {i}" for i in range(500)])
+    rows = shard_documents(heavy).collect()
+    loads = [sum(r.size for r in rows if r.shard == s) for s in range(8)]
+    assert max(loads) <= 1.1 * sum(loads) / 8
+    for s in range(8):
+        assert sorted(r.slot for r in rows if r.shard == s) == list(range(sum(r.shard == s for r in rows)))
+
+
 def test_rebalancing_moves_few_slots(spark):
     docs = table(spark, [f"text {i} " + "w" * (i % 90) for i in range(800)])
     folder = work_dir(spark, "maps")

@@ -17,7 +17,7 @@ from tidelog.sinks.tables import written_table
 SIZES = (1, 2, 3)    # the blended spectrum
 WINDOW = 4096        # characters of a window; a longer text is the mean of its windows
 PER_CLASS = 300      # texts of each language that a model is fitted on
-LANDMARKS = 128      # windows of these texts, over all languages
+LANDMARKS = 128      # windows of these texts, over all languages; at least one of each
 RIDGE = 1e-2
 UNKNOWN = "und"
 MIN_SCORE = 0.4      # a text whose best language scores less is not identified
@@ -148,7 +148,7 @@ def fit_languages(docs: DataFrame, per_class: int = PER_CLASS) -> LanguageModel:
     """Model of the languages in ``lang``, fitted on whole texts: about ``per_class`` of each, chosen by a hash of ``doc_id``.
 
     Rows without a language, and texts without letters, are left out. The landmarks are
-    the middle windows of sampled texts, evenly from the languages. Their n-grams (at
+    the middle windows of sampled texts, evenly from the languages and at least one of each. Their n-grams (at
     most 100 KB each) and the kernels of the sampled whole texts with them (1 KB a text)
     reach the driver, however long the texts are.
     """
@@ -159,7 +159,8 @@ def fit_languages(docs: DataFrame, per_class: int = PER_CLASS) -> LanguageModel:
     turns = sorted((r.turn, r.lang) for r in sample.select("turn", "lang").collect())
     if not turns:
         return LanguageModel([], np.zeros(0, np.int64), np.zeros((0, 0)), np.zeros(0))
-    last = turns[:LANDMARKS][-1]
+    languages = sum(turn == 1 for turn, _ in turns)
+    last = turns[:max(LANDMARKS, languages)][-1]
     chosen = sample.filter((F.col("turn") < last[0]) | (F.col("turn") == last[0]) & (F.col("lang") <= last[1]))
     chosen = chosen.select("turn", "lang", "text").mapInArrow(lean(_middles), "turn int, lang string, grams binary").toArrow()
     chosen = chosen.sort_by([("turn", "ascending"), ("lang", "ascending")])
