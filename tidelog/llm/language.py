@@ -116,20 +116,29 @@ class LanguageModel:
         return LanguageModel(names, landmarks.grams, np.add.reduceat(weights[landmarks.holders], landmarks.begin[:-1]), mean_y - mean_x @ solved)
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-        """Language and score of each text."""
+        """Language and score of each text.
+
+        The windows of all texts are the rows of one sparse matrix of n-grams, which is multiplied
+        by the n-grams' weights.
+        """
+        sets = [(row, found) for row, text in enumerate(texts if self.names else []) for found in windows(text)]
         names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
-        for row, text in enumerate(texts if self.names else []):
-            sets = windows(text)
-            if not sets:
-                continue
-            values = np.zeros(len(self.names))
-            for found in sets:
-                at = np.minimum(np.searchsorted(self.grams, found), len(self.grams) - 1)
-                values += self.weights[at[self.grams[at] == found]].sum(axis=0) / np.sqrt(len(found))
-            values = values / len(sets) + self.bias
-            best = int(values.argmax())
-            names[row], scores[row] = self.names[best], np.clip((values[best] + 1) / 2, 0, 1)
-        return names, scores
+        if not sets:
+            return names, scores
+        owner, sizes = np.array([row for row, _ in sets]), np.array([len(found) for _, found in sets])
+        every = np.concatenate([found for _, found in sets])
+        at = np.minimum(np.searchsorted(self.grams, every), len(self.grams) - 1)
+        known = self.grams[at] == every
+        at, window = at[known], np.repeat(np.arange(len(sets)), sizes)[known]
+        values = np.stack([np.bincount(window, self.weights[at, c], len(sets)) for c in range(len(self.names))], axis=1) / np.sqrt(sizes)[:, None]
+        count = np.bincount(owner, minlength=len(texts))
+        means = np.stack([np.bincount(owner, values[:, c], len(texts)) for c in range(len(self.names))], axis=1)
+        means = means / np.maximum(count, 1)[:, None] + self.bias
+        best = means.argmax(axis=1)
+        for row in np.flatnonzero(count).tolist():
+            names[row] = self.names[best[row]]
+        top = np.clip((means[np.arange(len(texts)), best] + 1) / 2, 0, 1)
+        return names, np.where(count > 0, top, 0.0)
 
 
 def _lettered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
