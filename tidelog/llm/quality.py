@@ -78,6 +78,11 @@ class OrdinalModel:
         """P(grade > k) for all grades but the last."""
         return _sigmoid((rows @ self.weights)[:, None] - self.thresholds)
 
+    def tails_of(self, texts: list[str | None]) -> np.ndarray:
+        """The tails of texts; 0 for those of white space only, which have nothing to be good at."""
+        content = np.array([bool(t and t.strip()) for t in texts])
+        return np.where(content[:, None], self.tails(np.stack([features(t) for t in texts])), 0.0)
+
 
 def fit_quality(docs: DataFrame, ratings: DataFrame, per_grade: int = PER_GRADE) -> OrdinalModel:
     """Model of the whole numbers in ``ratings.quality``, fitted on about ``per_grade`` whole texts of each grade.
@@ -106,7 +111,7 @@ def fit_quality(docs: DataFrame, ratings: DataFrame, per_grade: int = PER_GRADE)
 def grade(docs: DataFrame, model: OrdinalModel) -> DataFrame:
     """``doc_id``, ``expected_grade``, ``tail`` (probability of more than the lowest grade) of every whole text.
 
-    Null and empty texts have no features and get what the thresholds alone say. A model
+    Null and empty texts, and texts of white space, get the lowest grade and a tail of 0. A model
     with one grade gives that grade and a tail of 1, one without grades null and 1.
     Repeated rows get a row each; other columns are ignored; an empty table gives no rows.
     """
@@ -120,7 +125,7 @@ def grade(docs: DataFrame, model: OrdinalModel) -> DataFrame:
                 for low in range(first, last, 512):
                     part = batch.slice(low, min(512, last - low))
                     if len(names) > 1:
-                        above = model.tails(np.stack([features(t) for t in part["text"].to_pylist()]))
+                        above = model.tails_of(part["text"].to_pylist())
                         expected, tail = names[0] + above @ np.diff(names), above[:, 0].astype(np.float64)
                     else:
                         expected, tail = np.full(len(part), names[0] if len(names) else np.nan), np.ones(len(part))
@@ -132,7 +137,10 @@ def grade(docs: DataFrame, model: OrdinalModel) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, model: OrdinalModel, select: float = SELECT) -> DataFrame:
-    """The rows of ``docs``, all columns, whose tail probability is ``select`` or more; all rows if there are fewer than two grades."""
+    """The rows of ``docs``, all columns, whose tail probability is ``select`` or more; all rows if there are fewer than two grades.
+
+    Null and empty texts, and texts of white space, go if there are two grades.
+    """
     @lean
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -140,7 +148,6 @@ def keep_good(docs: DataFrame, model: OrdinalModel, select: float = SELECT) -> D
             for first, last in groups_of(offsets):
                 for low in range(first, last, 512):
                     part = batch.slice(low, min(512, last - low))
-                    rows = np.stack([features(t) for t in part["text"].to_pylist()])
-                    yield part.filter(pa.array(model.tails(rows)[:, 0] >= select)) if len(model.thresholds) else part
+                    yield part.filter(pa.array(model.tails_of(part["text"].to_pylist())[:, 0] >= select)) if len(model.thresholds) else part
 
     return docs.mapInArrow(keep, docs.schema)
