@@ -51,7 +51,7 @@ def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity_of(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
-    return scored.withColumn("offending", F.size("offending"))
+    return scored.withColumns({"offending": F.size("offending"), "places": F.col("offending")})
 
 
 def mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,8 +32,8 @@ def sentences_of(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.nd
     start, end and text of each sentence.
 
     A sentence is a run of bytes up to ``.``, ``!``, ``?`` or a line end that has words;
-    words are compared in lower case. Starts and ends are bytes of the text. Texts are
-    numbered within the part.
+    words are compared in lower case. Starts and ends are code points of the text, of which
+    lower case has as many. Texts are numbered within the part.
     """
     lowered = pc.utf8_lower(column.cast(pa.large_string()))
     data, offsets = utf8(lowered)
@@ -50,7 +50,8 @@ def sentences_of(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.nd
         starts = cuts[used]
         ends = cuts[used + 1] if len(used) else starts
         text = np.searchsorted(part, starts, "right") - 1
-        yield first, last, features, sentence, starts - part[text], ends - part[text], text
+        points = np.concatenate([[0], np.cumsum((piece & 0xC0) != 0x80)])
+        yield first, last, features, sentence, points[starts] - points[part[text]], points[ends] - points[part[text]], text
 
 
 def _sums(sentence: np.ndarray, values: np.ndarray, count: int) -> np.ndarray:
@@ -157,7 +158,7 @@ def score_texts(docs: DataFrame, model: ToxicityModel, threshold: float = 0.7) -
     """``doc_id``, ``score`` (0 to 1), ``sentences`` and ``offending`` of every whole text.
 
     ``offending`` lists the sentences whose own probability reaches ``threshold``:
-    ``start`` and ``end`` bytes in the lower-cased text and ``probability``. Null and empty
+    ``start`` and ``end`` (code points of the given text, the end is the one after) and ``probability``. Null and empty
     texts, and texts without words, have no sentences and score 0. Repeated rows get a
     row each; other columns are ignored; an empty table gives no rows.
     """
