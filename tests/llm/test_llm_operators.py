@@ -10,12 +10,12 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tidelog.llm import graph, linking, textnum, topk, warc
+from tidelog.llm import graph, language, linking, textnum, topk, warc
 from tidelog.llm.fingerprints import edited, fingerprints, linked_documents
 from tidelog.llm.graph import components, running_start
 from tidelog.llm.language import UNKNOWN, fit_languages, identify, keep_identified, language_of
 from tidelog.llm.linking import is_link, spanning_links, verified_links
-from tidelog.llm.mixing import mixed_blocks, repeated_documents, source_targets, taken_words
+from tidelog.llm.mixing import _permuted, mixed_blocks, repeated_documents, source_targets, taken_words
 from tidelog.llm.near_dedup import near_duplicates, one_per_group
 from tidelog.llm.packing import hilbert_keys, pack
 from tidelog.llm.quality import OrdinalModel, fit_quality, grade, keep_good
@@ -163,6 +163,22 @@ def test_components_of_long_chains_take_few_rounds(spark, monkeypatch, order):
     assert {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()} == got
 
 
+def test_language_scores_equal_plain_kernels(spark, sf):
+    """Scores of a batch against presence kernels computed with sets, window by window."""
+    docs, _ = sf
+    model = fit_languages(docs)
+    texts = [r.text for r in docs.limit(60).collect()] + ["", None, "12 34", "ab " * 9000, "Ein Satz. Une phrase."]
+    names, scores = model.predict(texts)
+    weight = dict(zip(model.grams.tolist(), model.weights))
+    for text, name, score in zip(texts, names, scores):
+        sets = [set(w.tolist()) for w in language.windows(text)]
+        if not sets:
+            assert (name, score) == (UNKNOWN, 0)
+            continue
+        values = np.mean([sum((weight[g] for g in s if g in weight), np.zeros(len(model.names))) / len(s) ** 0.5 for s in sets], axis=0) + model.bias
+        assert name == model.names[int(values.argmax())] and score == pytest.approx(np.clip((values.max() + 1) / 2, 0, 1))
+
+
 def test_every_language_has_a_landmark(spark):
     """More languages than landmarks: the last ones of the alphabet are told as well."""
     rng = np.random.default_rng(9)
@@ -400,6 +416,43 @@ def test_mixing(spark, odd, none):
     assert taken_words(odd).count() == odd.count() and repeated_documents(odd).columns == odd.columns
 
 
+@pytest.mark.parametrize("count", [1, 2, 3, 64, 65, 1000, 4097])
+def test_permutations_reach_every_number_once(spark, count):
+    rows = spark.range(count).select(_permuted(F.col("id"), F.lit(count).cast("long"), F.lit(7)).alias("p")).collect()
+    assert sorted(r.p for r in rows) == list(range(count))
+    if count == 4097:
+        # no arithmetic progression: the steps between neighbours are all over the place
+        assert len({(b.p - a.p) % count for a, b in zip(rows, rows[1:])}) > count // 2
+
+
+def test_source_counts_of_shards_are_drawn(spark):
+    """Mean and variance over shards are those of draws without putting back, not those of an even deal."""
+    docs = spark.range(6000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("w "), 1400).alias("text"), F.lit(1).alias("__turn"),
+                                    F.concat(F.lit("s"), F.col("id") % 3).alias("source"))
+    drawn = mixed_blocks(docs).select("shard", "slot", "source").distinct().groupBy("shard", "source").count().collect()
+    sizes = {}
+    for r in drawn:
+        sizes[r.shard] = sizes.get(r.shard, 0) + r["count"]
+    full = [s for s, n in sizes.items() if n == 1024]
+    slots = sum(sizes.values())
+    assert len(full) >= 40
+    for source in ("s0", "s1", "s2"):
+        counts = np.array([sum(r["count"] for r in drawn if r.shard == s and r.source == source) for s in full])
+        share = sum(r["count"] for r in drawn if r.source == source) / slots
+        variance = 1024 * share * (1 - share) * (slots - 1024) / (slots - 1)
+        assert abs(counts.mean() - 1024 * share) < 5 * (variance / len(full)) ** 0.5 + 1
+        assert 0.4 * variance < counts.var() < 2.2 * variance
+
+
+def test_stages_keep_clashing_columns(spark):
+    texts = [BASE, BASE, "other words that are not the same as those " * 3, None]
+    docs = table(spark, texts).withColumns({n: F.col("doc_id") + 77 for n in ("__row", "__turn", "__times", "__doc", "__TIMES_")})
+    for stage in (one_per_group, repeated_documents):
+        got = stage(docs)
+        assert got.columns == docs.columns
+        assert all(r[n] == r.doc_id + 77 for r in got.collect() for n in ("__row", "__turn", "__times", "__doc", "__TIMES_"))
+
+
 def plain_targets(sizes, weights=(3, 1, 2)):
     names = sorted((n for n in sizes if n is not None)) + ([None] if None in sizes else [])
     weight = {n: weights[i % 3] for i, n in enumerate(names)}
@@ -576,6 +629,14 @@ def test_ordinal_model_orders_more_grades():
     assert np.corrcoef(tails.sum(axis=1), hidden)[0, 1] > 0.9
 
 
+def test_texts_without_content_are_not_selected(spark, sf):
+    docs, labels = sf
+    model = fit_quality(docs, labels)
+    hollow = spark.createDataFrame([(1, None), (2, ""), (3, " \n\t")], "doc_id long, text string")
+    assert {(r.expected_grade, r.tail) for r in grade(hollow, model).collect()} == {(float(model.grades[0]), 0.0)}
+    assert keep_good(hollow, model).count() == 0
+
+
 def test_toxicity(spark, sf, odd, none):
     docs, labels = sf
     rows = toxicity_of(docs, labels).join(labels, "doc_id").collect()
@@ -592,6 +653,17 @@ def test_toxicity(spark, sf, odd, none):
     assert {r.score < 1e-6 for r in score_texts(odd, fit_toxicity(docs, labels.limit(0))).collect()} == {True}
 
 
+def test_places_are_those_of_the_given_text(spark):
+    """Also behind letters whose lower case has another length."""
+    words = np.random.default_rng(9).integers(0, 400, (200, 60))
+    texts = [" ".join(f"İw{w}ẞ" for w in words[i]) + f". Line {i}. All İs so." + (" You vile wretch! İye." if i % 2 else "") for i in range(200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(200)], "doc_id long, quality int, toxic int")
+    for r in score_texts(docs, fit_toxicity(docs, labels)).collect():
+        if r.doc_id % 2:
+            assert [texts[r.doc_id][o.start:o.end].strip() for o in r.offending] == ["You vile wretch!"]
+
+
 def test_offending_sentences_are_located(spark):
     words = np.random.default_rng(9).integers(0, 400, (200, 60))
     texts = [" ".join(f"w{w}" for w in words[i]) + f". Line {i}. All is so." + (" You vile wretch! Bye." if i % 2 else "") for i in range(200)]

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.llm.graph import running_start
+from tidelog.llm.names import free_name
 from tidelog.sinks.tables import written_table
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -13,18 +14,29 @@ BLOCK = 256          # words in a block
 MIN_BLOCKS = 64      # a small source gets shorter blocks, so that it has about as many
 SHARD_SLOTS = 1024   # blocks in an output shard
 CELLS = 4096         # cells of the slot line, for finding a slot's source
-MULTIPLIERS = (2305843009213693951, 4611686018427387847, 9223372036854775783)  # primes
+WALKS = 63           # steps of a walk back into the range; each has a chance of a half at least
 
 
 def _permuted(x: Column, n: Column, *seed: Column) -> Column:
-    """Pseudorandom permutation of 0 to n - 1: x * a + b mod n with a prime ``a`` that does not divide ``n``."""
-    first = F.pmod(F.xxhash64(*seed), F.lit(len(MULTIPLIERS)))
-    wide = lambda v: v.cast("decimal(20,0)")
-    tried = F.array(*[F.lit(MULTIPLIERS[i % len(MULTIPLIERS)]) for i in range(2 * len(MULTIPLIERS))])
-    multiplier = F.coalesce(*[F.when(F.get(tried, first + i) % n != 0, F.pmod(F.get(tried, first + i), n))
-                              for i in range(len(MULTIPLIERS))])
-    moved = F.pmod(wide(x) * wide(multiplier) + wide(F.pmod(F.xxhash64(*seed, F.lit("b")), n)), wide(n))
-    return moved.cast("long")
+    """Pseudorandom permutation of 0 to n - 1, n below 2 ** 50.
+
+    A number's two halves are mixed with hashes of each other, four times, which permutes the
+    numbers of as many bits; what comes to lie beyond the range is mixed again until it is inside.
+    """
+    bits = F.greatest(F.length(F.bin(n - 1)), F.lit(2))
+    low = F.pow(F.lit(2.0), F.floor(bits / 2)).cast("long")
+    high = F.pow(F.lit(2.0), bits - F.floor(bits / 2)).cast("long")
+
+    def mixed(v: Column) -> Column:
+        mask = lambda turn, half, size: F.pmod(F.xxhash64(half, F.lit(turn), *seed), size)
+        left, right = F.floor(v / low).cast("long"), F.pmod(v, low)
+        for turn in range(2):
+            left = left.bitwiseXOR(mask(2 * turn, right, high))
+            right = right.bitwiseXOR(mask(2 * turn + 1, left, low))
+        return left * low + right
+
+    walk = F.sequence(F.lit(1), F.lit(WALKS))
+    return F.aggregate(walk, mixed(x.cast("long")), lambda v, _: F.when(v < n, v).otherwise(mixed(v)))
 
 
 def source_targets(records: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: int = 2) -> DataFrame:
@@ -94,9 +106,10 @@ def mixed_blocks(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: f
     """The mix: ``shard``, ``slot``, ``doc_id``, ``source``, ``from_word``, ``words``, a row per piece of a document.
 
     A source's documents, by ``doc_id``, are one line of words, cut into blocks of
-    ``block`` words (shorter ones in small sources). The slots of the output shards are
-    dealt to the sources by a pseudorandom permutation: the source counts of a shard are
-    multinomial, given that every source gets its target over all shards. A source's
+    ``block`` words (shorter ones in small sources). Source counts are drawn per output shard: its slots
+    are drawn, without putting back, from all sources' slots by a pseudorandom permutation, so
+    that the counts are multinomial on condition that every source gets its target over all
+    shards (their variance is that of a multinomial less the shard's share of the mix). A source's
     n-th slot takes the block given by the source's own permutation, another one in every
     turn; so a block is taken once more only after all others, and at most twice.
 
@@ -125,9 +138,10 @@ def repeated_documents(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), sh
     of the rest by a hash of ``doc_id``, so the sources still come near their targets.
     Documents without words stay once. Rows of one id are counted together.
     """
+    doc, many, turn = (free_name(docs.columns, name) for name in ("__doc", "__times", "__turn"))
     taken = taken_words(docs, weights, share, block).groupBy("doc_id").agg(F.sum("taken").alias("taken"), F.sum("size").alias("size"))
     chance = F.pmod(F.xxhash64("doc_id", F.lit("mix")), F.lit(1 << 20)) / (1 << 20)
     times = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + chance)).otherwise(1)
-    times = taken.select(F.col("doc_id").alias("__doc"), times.cast("int").alias("__times")).filter("__times > 0").hint("shuffle_hash")
-    joined = docs.join(times, docs["doc_id"].eqNullSafe(F.col("__doc")))
-    return joined.withColumn("__turn", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*[docs[c] for c in docs.columns])
+    times = taken.select(F.col("doc_id").alias(doc), times.cast("int").alias(many)).filter(F.col(many) > 0).hint("shuffle_hash")
+    joined = docs.join(times, docs["doc_id"].eqNullSafe(times[doc]))
+    return joined.withColumn(turn, F.explode(F.sequence(F.lit(1), F.col(many)))).select(*[docs[c] for c in docs.columns])

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm.graph import components
+from tidelog.llm.names import free_name
 from tidelog.llm.linking import GROUP_ITEMS, verified_links
 from tidelog.llm.textnum import BY_SPACE_FOLDED, constants, groups_of, lean, minhash, mix, permutations, shingles, utf8, word_hashes
 from tidelog.session import work_dir
@@ -83,20 +84,20 @@ def candidate_keys(signed: DataFrame) -> DataFrame:
     return pairs.select("node", "left", F.explode("right").alias("right")).select("node", F.xxhash64("left", "right").alias("key"))
 
 
-def _numbered(rows: DataFrame) -> DataFrame:
-    """``rows`` with a number each, ``__row``, as a written table: every reading gives a row the same number."""
-    folder = work_dir(rows.sparkSession, "rows")
-    rows.withColumn("__row", F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(folder)
-    return rows.sparkSession.read.parquet(folder)
+def _numbered(rows: DataFrame) -> tuple[DataFrame, str]:
+    """``rows`` with a number each, as a written table, and the number's column: every reading gives a row the same one."""
+    folder, name = work_dir(rows.sparkSession, "rows"), free_name(rows.columns, "__row")
+    rows.withColumn(name, F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(folder)
+    return rows.sparkSession.read.parquet(folder), name
 
 
-def _grouped(numbered: DataFrame, words: int, percent: int, group_items: int, by_id: bool) -> DataFrame:
+def _grouped(numbered: DataFrame, number: str, words: int, percent: int, group_items: int, by_id: bool) -> DataFrame:
     """``row``, ``doc_id``, ``n_shingles``, and of the row's group ``least_id`` and ``least_row``, the row that stands for it.
 
     Rows are grouped by links of their texts; with ``by_id`` also by a common ``doc_id``.
     The row that stands for a group has its least ``doc_id``; null comes last.
     """
-    texts = numbered.select(F.col("__row").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = numbered.select(F.col(number).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = written_table(texts.mapInArrow(
         _signer(words), "row long, doc_id long, n_shingles long, k1 long, k2 long, halves array<long>"))
     classes = written_table(signed.filter("n_shingles > 0").groupBy("k1", "k2").agg(
@@ -139,7 +140,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, group_it
     a group. A group of null ids alone has a null ``component_id``, and one of its rows
     is kept. Other columns are ignored; an empty table gives no rows.
     """
-    found = _grouped(_numbered(docs.select("doc_id", "text")), words, percent, group_items, True)
+    found = _grouped(*_numbered(docs.select("doc_id", "text")), words, percent, group_items, True)
     kept = F.coalesce(F.col("doc_id") == F.col("least_id"), F.col("least_id").isNull() & (F.col("row") == F.col("least_row")))
     return found.select("doc_id", "n_shingles", F.col("least_id").alias("component_id"), kept.alias("kept"))
 
@@ -151,6 +152,6 @@ def one_per_group(docs: DataFrame, words: int = 5, percent: int = 80, group_item
     own, also where ids are repeated: equal rows stay once, different texts of one id
     all stay. Texts without words are linked with nothing and stay.
     """
-    numbered = _numbered(docs)
-    kept = _grouped(numbered, words, percent, group_items, False).filter("row = least_row").select("row").hint("shuffle_hash")
-    return numbered.join(kept, numbered["__row"] == kept["row"], "left_semi").select(*[numbered[c] for c in docs.columns])
+    numbered, number = _numbered(docs)
+    kept = _grouped(numbered, number, words, percent, group_items, False).filter("row = least_row").select("row").hint("shuffle_hash")
+    return numbered.join(kept, numbered[number] == kept["row"], "left_semi").select(*[numbered[c] for c in docs.columns])
