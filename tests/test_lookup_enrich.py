@@ -122,7 +122,7 @@ def test_enrichment(spark):
     assert {tuple(r) for r in enrich.vanished_keys(
         touched, spark.createDataFrame([(1, 1)], "a bigint, b bigint"), ["a", "b"]).collect()} == {(2, 5), (3, 1)}
     stamped = enrich.with_load_time(view, "2024-11-11 00:00:00").first()
-    assert str(stamped.L_DT).startswith("2024-11-1") and "L_DT" in enrich.with_load_time(view).columns
+    assert str(stamped.LOADED_AT).startswith("2024-11-1") and "LOADED_AT" in enrich.with_load_time(view).columns
     row = spark.sql("SELECT timestamp'2024-11-11 01:02:03' AS t, 'Jack' AS n").select(
-        enrich.compact_time(F.col("t")), enrich.category_code(F.col("n")), enrich.category_code(F.lit("jim")))
+        enrich.compact_time(F.col("t")), enrich.category_code(F.col("n"), "J%", "02", "01"), enrich.category_code(F.lit("jim"), "J%", "02", "01"))
     assert tuple(row.first()) == ("20241111010203", "02", "01")

@@ -8,7 +8,8 @@ from pyspark.sql.types import DateType, DecimalType, LongType, StringType, Times
 
 from tests.model import ABSENT, SPEC, frame, record
 from tidelog.functions.sentinels import decode_nulls, default_for, encode_nulls
-from tidelog.operators.parse import flatten, parse_changes, presence_flags
+from tidelog.operators.fold import current_rows, fold_changes
+from tidelog.operators.parse import flatten, parse_changes, parse_operations, presence_flags, rejected_changes
 from tidelog.spec import TableSpec
 
 
@@ -57,6 +58,37 @@ def test_malformed_changes_fail_the_job(spark, key, value):
     assert parse_changes(raw, SPEC, strict=False).count() == 1
 
 
+LENIENT = TableSpec.of("T", {"ID": LongType()}, {"A": StringType(), "N": DecimalType(5, 2), "TS": TimestampType(), "DAY": DateType()})
+
+
+@pytest.mark.parametrize("key,value,fault", [
+    ('{"payload":{"ID":"x"}}', '{"payload":{"A":"x","__OP_TYPE":"I"}}', "key ID"),
+    ('{"payload":{}}', '{"payload":{"ID":"y","__OP_TYPE":"I"}}', "key ID"),
+    ('{"payload":{"ID":1}}', '{"payload":{"N":"abc","__OP_TYPE":"U"}}', "value N"),
+    ('{"payload":{"ID":1}}', '{"payload":{"N":1234.5,"__OP_TYPE":"U"}}', "value N"),
+    ('{"payload":{"ID":1}}', '{"payload":{"TS":"yesterday","__OP_TYPE":"U"}}', "value TS"),
+    ('{"payload":{"ID":1}}', '{"payload":{"DAY":{"d":1},"__OP_TYPE":"U"}}', "value DAY"),
+    ('{"payload":{"ID":1}}', '{"payload":{"A":"x","__OP_TYPE":7}}', "operation"),
+    ('{"payload":{"ID":1}}', "cut off", "operation"),
+])
+def test_unfit_values_stay_without_operation(spark, key, value, fault):
+    good = ('{"payload":{"ID":5}}', '{"payload":{"N":null,"A":" x ","__OP_TYPE":"U"}}', "t", 0, 3)
+    raw = frame(spark, [(key, value, "t", 2, 9), good])
+    rows = {r.KFK_OFFSET: r for r in parse_changes(raw, LENIENT, strict=False).collect()}
+    assert rows[9]["__OP_TYPE"] is None and rows[3]["__OP_TYPE"] == "U" and rows[3].N.v is None and rows[3].A.v == "x"
+    rejected = rejected_changes(raw, LENIENT).collect()
+    assert [tuple(r) for r in rejected] == [(key, value, "t", 2, 9, fault)]
+    assert [r.ID for r in current_rows(fold_changes(parse_changes(raw, LENIENT, strict=False), LENIENT), LENIENT).collect()] == [5]
+    with pytest.raises(Exception, match=f"malformed change, partition and offset: 2 9 in {fault}"):
+        parse_changes(raw, LENIENT).collect()
+
+
+def test_operations_alone_do_not_look_at_values(spark):
+    raw = frame(spark, [('{"payload":{"ID":1}}', '{"payload":{"N":"abc","__OP_TYPE":"U"}}', "t", 2, 9)])
+    row = parse_operations(raw, LENIENT).first()
+    assert row.asDict() == {"ID": 1, "__OP_TYPE": "U", "KFK_PTT": 2, "KFK_OFFSET": 9}
+
+
 def test_sentinels_round_trip(spark):
     raw = frame(spark, [record(1, "U", 0, A=None, B=None), record(2, "I", 1, A=None, B=3),
                         record(3, "U", 2, A="v")])

@@ -16,7 +16,7 @@ def enrich_latest(changes: DataFrame, view: DataFrame, keys: list[str]) -> DataF
 
 
 def with_load_time(df: DataFrame, at: datetime.datetime | str | None = None,
-                   name: str = "L_DT") -> DataFrame:
+                   name: str = "LOADED_AT") -> DataFrame:
     """``df`` with the time of loading: the given one, or the query's current time."""
     return df.withColumn(name, F.current_timestamp() if at is None else F.lit(at).cast("timestamp"))
 
@@ -26,7 +26,7 @@ def compact_time(column: Column) -> Column:
     return F.date_format(column, "yyyyMMddHHmmss")
 
 
-def category_code(column: Column, pattern: str = "J%", match: str = "02", other: str = "01") -> Column:
+def category_code(column: Column, pattern: str, match: str, other: str) -> Column:
     """Two-way code by a LIKE pattern."""
     return F.when(column.like(pattern), match).otherwise(other)
 

@@ -52,13 +52,16 @@ def consumer_lag(committed: DataFrame, ends: DataFrame) -> DataFrame:
     counts from 0. A commit without an end offset, and a topic nobody commits to
     (``app`` null), are shown with what is known.
     """
-    apps = committed.select("topic", "app").distinct()
-    expected = ends.join(apps, "topic", "left")
-    c, e = committed.alias("c"), expected.alias("e")
-    same = [F.col(f"c.{k}").eqNullSafe(F.col(f"e.{k}")) for k in ("app", "topic", "partition")]
-    known = lambda k: F.coalesce(f"c.{k}", f"e.{k}").alias(k)
-    joined = c.join(e, same, "full_outer").select(
-        known("app"), known("topic"), known("partition"), "committed", "end_offset")
+    # per topic the partitions are few; both sides are read once and meet in one join on the topic
+    commits = committed.groupBy("topic", "app").agg(F.collect_list(F.struct("partition", "committed")).alias("commits"))
+    reached = ends.groupBy("topic").agg(F.collect_list(F.struct("partition", "end_offset")).alias("ends"))
+    none = F.lit(None).cast("bigint")
+    known = F.concat(
+        F.coalesce(F.transform("commits", lambda c: F.struct(c["partition"].alias("p"), c["committed"].cast("bigint").alias("c"), none.alias("e"))), F.array()),
+        F.coalesce(F.transform("ends", lambda e: F.struct(e["partition"].alias("p"), none.alias("c"), e["end_offset"].cast("bigint").alias("e"))), F.array()))
+    joined = (commits.join(reached, "topic", "full_outer").select("app", "topic", F.explode(known).alias("k"))
+              .groupBy("app", "topic", F.col("k.p").alias("partition"))
+              .agg(F.max("k.c").alias("committed"), F.max("k.e").alias("end_offset")))
     lag = F.when(F.col("end_offset").isNotNull(),
                  F.greatest(F.col("end_offset") - F.coalesce("committed", F.lit(0)), F.lit(0)))
     return joined.withColumn("lag", lag)

@@ -49,23 +49,28 @@ def overlay(image: DataFrame, folded: DataFrame, spec: TableSpec, how: str = "fu
 
 
 def merge_snapshot(image: DataFrame, changes: DataFrame, spec: TableSpec,
-                   partitions: int | None = None) -> DataFrame:
-    """Next image: gate, fold, overlay, and optionally repartition by key."""
-    folded = fold_changes(offset_gate(effective_changes(changes, spec), image), spec)
+                   partitions: int | None = None, applied: DataFrame | None = None) -> DataFrame:
+    """Next image: gate, fold, overlay, and optionally repartition by key.
+
+    ``applied`` holds the largest offset per partition where it is known (``ChangeStore.applied_offsets``);
+    without it the image is read for it.
+    """
+    folded = fold_changes(offset_gate(effective_changes(changes, spec), image if applied is None else applied), spec)
     merged = overlay(image, folded, spec)
     return merged.repartition(partitions, *spec.pk) if partitions else merged
 
 
 def merge_small_batch(image: DataFrame, changes: DataFrame, spec: TableSpec,
-                      max_keys: int = SMALL_ROWS) -> DataFrame:
+                      max_keys: int = SMALL_ROWS, applied: DataFrame | None = None) -> DataFrame:
     """``merge_snapshot`` for a micro-batch against a large image.
 
     When the changes mention at most ``max_keys`` keys (checked before they are
     folded) the image is filtered by the broadcast keys and never shuffled;
-    otherwise this is the plain merge. Only keys pass through the driver.
+    otherwise this is the plain merge. Only keys pass through the driver. ``applied`` is that of
+    ``merge_snapshot`` and spares a scan of the image.
     """
     effective = effective_changes(changes, spec)
-    folded = fold_changes(offset_gate(effective, image), spec)
+    folded = fold_changes(offset_gate(effective, image if applied is None else applied), spec)
     keys, small = pin_small(effective.select(*spec.pk).distinct(), max_keys)
     if not small:
         return overlay(image, folded, spec)

@@ -453,16 +453,15 @@ def enrich_latest(spark, sf_dir):
     events = fx.table(spark, sf_dir, "events").select(F.col("event_id").alias(OFFSET), "ts")
     joined = enrich.enrich_latest(changes, customer, EVT.pk).join(events, OFFSET)
     result = joined.select("user_id", OP, OFFSET, "AMT", "c_name", "c_mktsegment",
-                           enrich.compact_time(F.col("ts")).alias("A_DT"))
-    return enrich.with_load_time(result, LOAD_TIME).withColumn("L_DT", F.col("L_DT").cast("timestamp_ntz"))
+                           enrich.compact_time(F.col("ts")).alias("changed_at"))
+    return enrich.with_load_time(result, LOAD_TIME, "loaded_at").withColumn("loaded_at", F.col("loaded_at").cast("timestamp_ntz"))
 
 
 @query
 def case_code_projection(spark, sf_dir):
     return fx.table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("A_PK"),
-        enrich.category_code(F.col("p_name"), "r%").alias("B_BK"),
-        F.lit("00000").alias("CODE")).distinct()
+        "p_partkey", enrich.category_code(F.col("p_name"), "r%", "red", "other").alias("category"),
+        F.lit("part").alias("kind")).distinct()
 
 
 @query
@@ -815,8 +814,8 @@ def stream_lag_alerts(spark, sf_dir):
 
 @query
 def stream_business_records(spark, sf_dir):
-    """Records of the business job: changed BUILDING customers, tombstones for the others."""
-    target = work_dir(spark, "records")
+    """Records of the business job: changed BUILDING customers, tombstones for the others, with their batch."""
+    target, emissions = work_dir(spark, "records"), itertools.count()
     customer = (fx.table(spark, sf_dir, "customer").filter(F.col("c_mktsegment") == "BUILDING")
                 .select(F.col("c_custkey").alias("user_id"), "c_name", "c_nationkey"))
     on_batch = enriched_batch(
@@ -825,10 +824,10 @@ def stream_business_records(spark, sf_dir):
         touched=lambda changes, n: changes.select("user_id"),
         result=lambda changes, n: enrich.enrich_latest(changes, customer, EVT.pk).select(*customer.columns),
         key_columns=["user_id"], value_columns=customer.columns,
-        emit=lambda sent: write_record_files(sent, target))
-    stream = _stream(spark, _log_files(spark, sf_dir, 4), 2)
-    run_micro_batches(stream, on_batch, work_dir(spark, "offsets")).awaitTermination()
-    return spark.read.parquet(target).distinct()
+        # every batch sends its tombstones, then its upserts
+        emit=lambda sent: write_record_files(sent.withColumn("batch", F.lit(next(emissions) // 2)), target))
+    run_micro_batches(_stream(spark, _ordered_topic(spark, sf_dir, [0, 5, 10]), 1), on_batch, work_dir(spark, "offsets")).awaitTermination()
+    return spark.read.parquet(target)
 
 
 @query

@@ -307,11 +307,11 @@ def _all_sql() -> dict[str, str]:
         "mapping_max": "SELECT o_custkey, MAX(o_orderkey) AS o_orderkey FROM orders "
                        "WHERE o_custkey IS NOT NULL GROUP BY o_custkey",
         "enrich_latest": cl + """SELECT l.user_id, l.op AS "__OP_TYPE", l.off AS KFK_OFFSET, l.amt AS AMT,
-            c_name, c_mktsegment, strftime(e.ts, '%Y%m%d%H%M%S') AS A_DT,
-            TIMESTAMP '2024-11-11 00:00:00' AS L_DT FROM (SELECT * FROM cl QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY off DESC) = 1) l
+            c_name, c_mktsegment, strftime(e.ts, '%Y%m%d%H%M%S') AS changed_at,
+            TIMESTAMP '2024-11-11 00:00:00' AS loaded_at FROM (SELECT * FROM cl QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY off DESC) = 1) l
             JOIN customer ON c_custkey = l.user_id JOIN events e ON e.event_id = l.off""",
-        "case_code_projection": "SELECT DISTINCT p_partkey AS A_PK, CASE WHEN p_name LIKE 'r%' THEN '02' "
-                                "ELSE '01' END AS B_BK, '00000' AS CODE FROM part",
+        "case_code_projection": "SELECT DISTINCT p_partkey, CASE WHEN p_name LIKE 'r%' THEN 'red' "
+                                "ELSE 'other' END AS category, 'part' AS kind FROM part",
         "anti_join_deletes": "SELECT DISTINCT c_custkey AS K FROM customer WHERE NOT EXISTS (SELECT 1 "
                              "FROM orders WHERE o_orderstatus = 'P' AND o_custkey = c_custkey)",
         "reload_or_keep": "SELECT o_custkey, MAX(o_orderkey) AS o_orderkey FROM orders "
@@ -374,9 +374,9 @@ def _all_sql() -> dict[str, str]:
             SELECT user_id, CAST(CASE WHEN user_id IN (FROM early) THEN 0 WHEN user_id IN (FROM final) THEN 1 ELSE 2 END AS INTEGER) AS batch,
                    CASE WHEN user_id IN (FROM early) OR user_id IN (FROM final) THEN 'ready' ELSE 'expired' END AS outcome
               FROM asked""",
-        "stream_business_records": cl + f"""SELECT DISTINCT {_CUSTOMER_KEY} AS key,
-            CASE WHEN c_custkey IS NOT NULL THEN {_CUSTOMER_VALUE} END AS value
-            FROM (SELECT DISTINCT user_id FROM cl WHERE {_EFFECTIVE}) t
+        "stream_business_records": cl + f"""SELECT {_CUSTOMER_KEY} AS key,
+            CASE WHEN c_custkey IS NOT NULL THEN {_CUSTOMER_VALUE} END AS value, batch
+            FROM (SELECT DISTINCT user_id, CAST(CASE WHEN off * 10 < {_LENGTH} * 5 THEN 0 ELSE 1 END AS INTEGER) AS batch FROM cl WHERE {_EFFECTIVE}) t
             LEFT JOIN (SELECT * FROM customer WHERE c_mktsegment = 'BUILDING') ON c_custkey = user_id""",
         "stream_business_full": now + f""", b AS (
               SELECT *, CAST(CASE WHEN off * 10 < {_LENGTH} * 5 THEN 0 ELSE 1 END AS INTEGER) AS batch FROM cl WHERE {_EFFECTIVE}),

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+# The columns of a statistics record.
 STATS_SCHEMA = ("APP_NAME string, CASE_NM string, EPOCH_ID bigint, STEM_NUM int, "
                 "ENT_TS timestamp, MSG string, ROW_CNT bigint")
 STATS_KEY = ["APP_NAME", "CASE_NM", "EPOCH_ID"]
