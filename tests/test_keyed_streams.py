@@ -1,20 +1,23 @@
 """Streams with keyed state: seeded sync, lookups woken by the store, lag alarms, progress records."""
 
 import time
+from types import SimpleNamespace
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from tests.model import SPEC, as_rows, frame, record, replay
-from tidelog.operators.fold import ALIVE, lift_changes
+from tidelog.operators.fold import ALIVE, lift_changes, lift_rows
 from tidelog.operators.lag import lag_alerts
 from tidelog.operators.parse import parse_changes
 from tidelog.sources.change_stream import file_stream
 from tidelog.streaming.alerts import SILENT, stream_lag_alerts
 from tidelog.streaming.micro_batch import run_micro_batches
 from tidelog.streaming.progress import ProgressRecords, observed_step
-from tidelog.spec import OFFSET
+from tidelog.spec import OFFSET, PARTITION, TableSpec
+from tidelog.streaming import stateful
 from tidelog.streaming.stateful import _flat, _reduced, state_rows, stateful_sync
 from tidelog.streaming.wakeup import fail_on_stale, lookup_wakeups
 
@@ -69,6 +72,80 @@ def test_deleted_keys_are_forgotten(spark, tmp_path):
     assert held == {2: True, 3: True}
 
 
+def test_keys_share_the_groups_of_the_state(spark, tmp_path, monkeypatch):
+    """Forty keys in three groups, whose seed and changes come in frames of four rows."""
+    monkeypatch.setattr(stateful, "BUCKETS", 3)
+    topic, checkpoint = str(tmp_path / "topic"), str(tmp_path / "cp")
+    first = [record(2**60 + i, "I", i, partition=i % 2, A=f"a{i}", B=i) for i in range(30)]
+    later = [[record(2**60 + i, "U", 100 + i, B=2**60 + i) for i in range(20, 40)],
+             [record(2**60 + i, "tombstone", 200 + i) for i in range(15, 25)] + [record(2**60 + 30, "U", 50, A="late")]]
+    image = spark.createDataFrame([(k, v["A"], v["B"], p, o) for k, (v, p, o) in replay(first).items()],
+                                  "ID bigint, A string, B bigint, KFK_PTT int, KFK_OFFSET bigint")
+    for part in later:
+        deliver(frame(spark, part), topic)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        drain(stateful_sync(parse_changes(file_stream(spark, topic), SPEC), SPEC, image=image), checkpoint)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    held = state_rows(spark, checkpoint, SPEC)
+    assert as_rows(held.filter(ALIVE)) == replay(first + later[0] + later[1]) and held.count() == 40
+    groups = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", stateful.STATE).load()
+    assert 1 <= groups.select("key").distinct().count() <= 3
+
+
+class MapOfState(dict):
+    """A map of the state held in memory."""
+
+    exists, getValue, updateValue, removeKey = dict.__len__, dict.get, dict.__setitem__, lambda self, key: self.pop(key, None)
+    iterator = lambda self: iter(self.items())
+
+
+def test_a_group_emits_one_frame_and_forgets_each_key_in_its_time():
+    maps, timers = {}, set()
+    handle = SimpleNamespace(getMapState=lambda name, *_: maps.setdefault(name, MapOfState()), listTimers=lambda: iter(timers),
+                             registerTimer=timers.add, deleteTimer=timers.discard)
+    at = lambda ms: SimpleNamespace(getCurrentProcessingTimeInMs=lambda: ms, getExpiryTimeInMs=lambda: ms)
+    sync = stateful.KeyedSync(SPEC, keep_deleted=1)
+    sync.init(handle)
+
+    def change(key, offset, deleted, a=None):
+        live = stateful.NEVER if deleted else offset
+        return {"x_bucket": 0, "x_k_0": key, PARTITION: 0, OFFSET: offset, "x_deleted_at": offset if deleted else stateful.NEVER,
+                "x_live_at": live, "x_at_0": live, "x_v_0": a, "x_at_1": stateful.NEVER, "x_v_1": None}
+
+    def batch(ms, *changes):
+        return [[tuple(r)[:3] for r in f.itertuples(index=False)] for f in sync.handleInputRows((0,), iter([pd.DataFrame(changes)]), at(ms))]
+
+    def expire(ms):
+        assert timers and min(timers) <= ms
+        due = min(timers)
+        assert list(sync.handleExpiredTimer((0,), at(ms), at(due))) == []
+        timers.discard(due)
+        return {key for key, in maps[stateful.STATE]}
+
+    assert batch(0, *[change(k, i, False, k) for i, k in enumerate("abcd")]) == [[(k, True, k) for k in "abcd"]]
+    assert timers == set()
+    assert batch(100, change("a", 10, True), change("b", 11, True)) == [[("a", False, None), ("b", False, None)]]
+    assert batch(500, change("c", 12, True), change("b", 13, False, "back"), change("d", 3, False, "d")) == [
+        [("c", False, None), ("b", True, "back")]]
+    assert expire(1100) == {"b", "c", "d"} and timers == {1500}
+    assert expire(1500) == {"b", "d"} and timers == set()
+
+
+def test_keys_of_the_hour_that_comes_twice_stay_apart(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spec = TableSpec.of("T", {"ID": TimestampType()}, {"A": StringType()})
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        rows = spark.sql("SELECT timestamp_seconds(1730610000 + 3600 * id) AS ID, 'x' AS A, 0 AS KFK_PTT, id AS KFK_OFFSET FROM range(3)")
+        flat = _flat(lift_rows(rows, spec), spec)
+        back = flat.select(F.unix_seconds(stateful._typed(F.col("x_k_0"), TimestampType())).alias("s"))
+        assert sorted(r.s - 1730610000 for r in back.collect()) == [0, 3600, 7200] and flat.select("x_k_0").distinct().count() == 3
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_hot_key_reaches_the_state_as_few_rows(spark):
     log = parse_changes(frame(spark, [record(1, "U", i, A=f"v{i}") for i in range(500)] + [record(1, "U", 600, B=3)]).coalesce(1), SPEC)
     reduced = _reduced(_flat(lift_changes(log, SPEC), SPEC), SPEC).collect()
