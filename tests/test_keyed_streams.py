@@ -12,6 +12,7 @@ from tests.model import SPEC, as_rows, frame, record, replay
 from tidelog.operators.fold import ALIVE, lift_changes, lift_rows
 from tidelog.operators.lag import lag_alerts
 from tidelog.operators.parse import parse_changes
+from tidelog.plans import catalog
 from tidelog.sources.change_stream import file_stream
 from tidelog.streaming.alerts import SILENT, stream_lag_alerts
 from tidelog.streaming.micro_batch import run_micro_batches
@@ -153,6 +154,22 @@ def test_hot_key_reaches_the_state_as_few_rows(spark):
     assert (reduced[0]["x_at_0"], reduced[0]["x_v_0"], reduced[0]["x_at_1"], reduced[0]["x_v_1"]) == (499, "v499", 600, "3")
 
 
+def test_one_file_of_a_log_is_read_by_many_tasks(spark):
+    """A row group is read by one task: half a million changes in a single file must not be one."""
+    rows = spark.range(500_000).select(
+        F.format_string('{"payload":{"ID":%d}}', "id").alias("KEY"), F.format_string('{"payload":{"A":"%s"}}', F.sha1(F.hex("id"))).alias("VALUE"),
+        F.lit("t").alias("topic"), (F.col("id") % 2).cast("int").alias("partition"), F.col("id").alias("offset"))
+    path = catalog._log_files(spark, rows, 1)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2m")
+    try:
+        log = spark.read.parquet(path)
+        shares = [r["count"] for r in log.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(log.inputFiles()) == 1 and sum(shares) == 500_000 and max(shares) <= 250_000
+    assert log.agg(F.sum("offset")).first()[0] == 500_000 * 499_999 // 2
+
+
 def wakeups(spark, tmp_path, seed, batches, max_wait=3600.0):
     """Outcomes per batch of (changes, store updates)."""
     asked, stored = str(tmp_path / "asked"), str(tmp_path / "stored")

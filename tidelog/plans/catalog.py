@@ -50,6 +50,8 @@ INDEX_KEYS = [["TAG"], ["TAG", "AMT"]]
 INDEX_VALUES = ["AMT", "PROPS"]
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 LOAD_TIME = "2024-11-11 00:00:00"
+# bytes of a row group of the files of a stream: a row group is read by one task
+TOPIC_BLOCK = 8 << 20
 
 
 def query(fn: Query) -> Query:
@@ -640,11 +642,13 @@ def file_slice_replace(spark, sf_dir):
 
 # -- streams -----------------------------------------------------------------------------------
 
-def _log_files(spark, sf_dir, parts: int) -> str:
-    """The raw log as files of a stream; offsets rise inside each Kafka partition."""
+def _log_files(spark, raw, parts: int) -> str:
+    """The raw log as files of a stream; offsets rise inside each Kafka partition.
+
+    Row groups are small, so that the few files of a batch keep all cores busy, however long the log.
+    """
     path = work_dir(spark, "topic")
-    raw = fx.raw_changes(spark, sf_dir)
-    raw.repartitionByRange(parts, "offset").write.parquet(path)
+    raw.repartitionByRange(parts, "offset").write.option("parquet.block.size", TOPIC_BLOCK).parquet(path)
     return path
 
 
@@ -666,7 +670,7 @@ def _ordered_topic(spark, sf_dir, tenths: list[int]) -> str:
 
 @query
 def stream_sync_image(spark, sf_dir):
-    stream = _stream(spark, _log_files(spark, sf_dir, 8), 2)
+    stream = _stream(spark, _log_files(spark, fx.raw_changes(spark, sf_dir), 8), 2)
     store = ChangeStore(spark, work_dir(spark, "store"), EVT)
     sync_store(stream, EVT, store, work_dir(spark, "offsets")).awaitTermination()
     return store.image()
@@ -752,7 +756,7 @@ def stream_keyed_state(spark, sf_dir):
     """The same image from the state store: newest emitted row per key, if alive."""
     target = work_dir(spark, "emitted")
     with _state_store(spark):
-        changes = parse_changes(_stream(spark, _log_files(spark, sf_dir, 8), 4), EVT)
+        changes = parse_changes(_stream(spark, _log_files(spark, fx.raw_changes(spark, sf_dir), 8), 4), EVT)
         _collected(stateful_sync(changes, EVT), target, work_dir(spark, "offsets"))
     emitted = filters.latest_by_key(spark.read.parquet(target), EVT.pk, F.col("batch"))
     return emitted.filter(fold.ALIVE).drop(fold.ALIVE, "batch")
@@ -761,11 +765,10 @@ def stream_keyed_state(spark, sf_dir):
 @query
 def stream_keyed_state_seeded(spark, sf_dir):
     """The image read back from the state itself, seeded with the early image; deleted keys are forgotten."""
-    checkpoint, path, files = work_dir(spark, "offsets"), work_dir(spark, "topic"), 4
+    checkpoint = work_dir(spark, "offsets")
     raw = written_table(fx.raw_changes(spark, sf_dir).filter(F.col("offset") >= fx.log_position(spark, sf_dir, 6)))
-    raw.repartitionByRange(files, "offset").write.parquet(path)
     with _state_store(spark):
-        changes = parse_changes(_stream(spark, path, 2), EVT)
+        changes = parse_changes(_stream(spark, _log_files(spark, raw, 4), 2), EVT)
         rows = stateful_sync(changes, EVT, image=fx.early_image(spark, sf_dir), keep_deleted=86_400)
         _collected(rows, work_dir(spark, "emitted"), checkpoint)
         state = state_rows(spark, checkpoint, EVT)
@@ -882,7 +885,7 @@ def batch_stats(spark, sf_dir):
         kept.write.format("noop").mode("overwrite").save()
         stats.flush(spark).write.mode("append").parquet(target)
 
-    stream = _stream(spark, _log_files(spark, sf_dir, 4), 2)
+    stream = _stream(spark, _log_files(spark, fx.raw_changes(spark, sf_dir), 4), 2)
     run_micro_batches(stream, on_batch, work_dir(spark, "offsets")).awaitTermination()
     return spark.read.parquet(target).groupBy("APP_NAME", "MSG", "STEM_NUM").agg(
         F.sum("ROW_CNT").alias("ROW_CNT"))
@@ -893,7 +896,7 @@ def stream_progress_records(spark, sf_dir):
     """Rows per step from the progress events of the stream; the batch function only writes."""
     name = f"progress-{uuid.uuid4().hex}"
     listener = ProgressRecords(name, "BATCH_STATS", "changes by step")
-    read = observed_step(parse_changes(_stream(spark, _log_files(spark, sf_dir, 4), 2), EVT), 1, "read")
+    read = observed_step(parse_changes(_stream(spark, _log_files(spark, fx.raw_changes(spark, sf_dir), 4), 2), EVT), 1, "read")
     kept = observed_step(filters.effective_changes(read, EVT), 2, "effective")
     spark.streams.addListener(listener)
     try:
